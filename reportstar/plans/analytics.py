@@ -24,7 +24,7 @@ from reportstar.plans.views import (
 # Importance is text; an average needs an order. Other values are not rated.
 SEVERITY = {"low": 1, "medium": 2, "high": 3, "critical": 4}
 
-KNOWN = ~F.col("is_unknown_member")
+KNOWN = "NOT is_unknown_member"
 
 
 def _severity_of(label: Column, scale: Mapping[str, int]) -> Column:

@@ -52,7 +52,7 @@ UNIQUE_KEYS = {
 }
 
 
-def _stack(rows: list[DataFrame]) -> DataFrame:
+def stack(rows: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -74,7 +74,7 @@ def coverage_rates(star: Star) -> DataFrame:
 
 
 def unknown_rates(star: Star) -> DataFrame:
-    return _stack(
+    return stack(
         [
             star[name].agg(
                 F.lit(name).alias("bridge"),
@@ -107,7 +107,7 @@ def freshness(star: Star, now: datetime) -> DataFrame:
         age("updated_at").alias("refresh_age_seconds"),
         age("report_updated_at").alias("newest_age_seconds"),
     )
-    return _stack([*dims, reports])
+    return stack([*dims, reports])
 
 
 def _dangling(
@@ -147,7 +147,7 @@ def referential(star: Star) -> DataFrame:
             ["id"],
         )
     )
-    return _stack(checks)
+    return stack(checks)
 
 
 def weight_sums(star: Star) -> DataFrame:
@@ -167,11 +167,11 @@ def weight_sums(star: Star) -> DataFrame:
                 F.round(F.max("total"), 6).alias("max_total"),
             )
         )
-    return _stack(checks)
+    return stack(checks)
 
 
 def uniqueness(star: Star) -> DataFrame:
-    return _stack(
+    return stack(
         [
             star[name]
             .groupBy(*keys)
@@ -203,4 +203,4 @@ def member_coverage(star: Star) -> DataFrame:
                 ),
             )
         )
-    return _stack(checks)
+    return stack(checks)
