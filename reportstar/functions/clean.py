@@ -34,9 +34,10 @@ def parse_timestamp(c: Column) -> Column:
     A failed parse with a format costs a Java exception per row, so the shape picks the
     one format that can fit: only the slash formats have a slash as third character, only
     the one with a time has a blank, and a month above 12 leaves only month/day/year.
-    This gives the same result as trying all four in order, at about a third of the time.
+    Blank text fits none. This gives the same result as trying all four in order, at about a
+    third of the time.
     """
-    text = blank_to_null(c)
+    text = F.trim(c)
 
     def with_format(fmt: str) -> Column:
         return F.try_to_timestamp(text, F.lit(fmt))

@@ -27,19 +27,25 @@ def resolve_members(
 ) -> DataFrame:
     """One row per (set, resolved id), weights adding up to 1 per set.
 
-    `lookup` is (member, `id_col`). Equal sets are merged before they are exploded, so a
-    set that a third of all reports share is one row from here on. Unresolved members of a
-    set collapse into one unknown row that keeps the smallest of them.
+    `lookup` is (member, `id_col`). Equal sets are merged, map-side first, before they are
+    exploded, so a set that a third of all reports share is one row from here on. Unresolved
+    members of a set collapse into one unknown row that keeps the smallest of them, and so
+    do members that resolve to the same id.
+
+    The collapse is a window over the set and not a groupBy(set, id): both windows then
+    need the rows by set only, which is how the merge left them if `lookup` is broadcast,
+    and one exchange away if it is not.
     """
-    sets = reports.select(key, members).distinct()
-    exploded = sets.select(key, F.explode(members).alias("member"))
-    resolved = exploded.join(lookup, "member", "left").select(
-        key, unknown_if_null(id_col).alias(id_col), "member"
+    sets = reports.groupBy(key).agg(F.first(members).alias(members))
+    resolved = (
+        sets.select(key, F.explode(members).alias("member"))
+        .join(lookup, "member", "left")
+        .select(key, unknown_if_null(id_col).alias(id_col), "member")
     )
-    # One exchange on the set key serves both the collapse and the count per set.
+    in_set = Window.partitionBy(key).orderBy(id_col, "member")
     collapsed = (
-        resolved.repartition(key)
-        .groupBy(key, id_col)
-        .agg(F.min("member").alias("member_value"))
+        resolved.withColumn("_previous", F.lag(id_col).over(in_set))
+        .filter(~F.col("_previous").eqNullSafe(F.col(id_col)))
+        .select(key, id_col, F.col("member").alias("member_value"))
     )
     return with_weights(collapsed, [key], id_col)

@@ -37,7 +37,8 @@ def summarize_reports_by(
     With unique report ids the distinct count is a sum of row counts per set. Otherwise the
     same id may sit in two sets, and the distinct count is done in full.
     """
-    named = members.groupBy(key, *by).agg(
+    # By set only: one exchange then serves this aggregation and the join after it.
+    named = members.repartition(key).groupBy(key, *by).agg(
         F.count("*").alias("_rows"), F.sum("weight_factor").alias("_weight")
     )
     if unique_report_ids:

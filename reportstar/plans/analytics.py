@@ -13,13 +13,7 @@ from pyspark.sql import functions as F
 
 from reportstar.operators.counting import rows_per_set, summarize_reports_by
 from reportstar.plans.pipeline import Star
-from reportstar.plans.views import (
-    adversary_members,
-    adversary_targets,
-    country_members,
-    entity_members,
-    group_members,
-)
+from reportstar.plans.views import adversary_targets, country_members, entity_members
 
 # Importance is text; an average needs an order. Other values are not rated.
 SEVERITY = {"low": 1, "medium": 2, "high": 3, "critical": 4}
@@ -226,18 +220,18 @@ def _agreement_by_set_pair(star: Star) -> DataFrame:
     outer join, done once per distinct pair of sets and as a union that is summed up."""
     pairs = rows_per_set(star["fact_report"], SET_PAIR)
 
-    def side(members: DataFrame, key: str, named: bool) -> DataFrame:
-        ids = members.filter(KNOWN).select(key, "adversary_id").distinct()
-        return pairs.join(ids, key).select(
+    def side(bridge: str, key: str, named: bool) -> DataFrame:
+        members = star[bridge].filter(KNOWN).select(key, "adversary_dim_id")
+        return pairs.join(members, key).select(
             *SET_PAIR,
             "reports",
-            "adversary_id",
+            F.col("adversary_dim_id").alias("adversary_id"),
             F.lit(named).alias("named"),
             F.lit(not named).alias("attributed"),
         )
 
-    named = side(group_members(star), "group_group_key", True)
-    attributed = side(adversary_members(star), "adversary_group_key", False)
+    named = side("bridge_group_adversary", "group_group_key", True)
+    attributed = side("bridge_adversary", "adversary_group_key", False)
     return (
         named.unionByName(attributed)
         .groupBy(*SET_PAIR, "reports", "adversary_id")

@@ -60,7 +60,10 @@ def build_star(
 
     def refresh(models: Mapping[str, Callable[[], DataFrame]]) -> None:
         with ThreadPoolExecutor(parallel_models) as pool:
-            pending = {n: pool.submit(store.replace, n, build()) for n, build in models.items()}
+            pending = {
+                name: pool.submit(lambda n=name, build=build: store.replace(n, build()))
+                for name, build in models.items()
+            }
             tables.update({name: job.result() for name, job in pending.items()})
 
     refresh(

@@ -110,44 +110,61 @@ def freshness(star: Star, now: datetime) -> DataFrame:
     return stack([*dims, reports])
 
 
-def _dangling(
-    relation: str, child: DataFrame, keys: list[str], parent: DataFrame, parent_keys: list[str]
-) -> DataFrame:
-    used = child.groupBy(*keys).count()
-    there = parent.select(
-        *(F.col(p).alias(f"_p{i}") for i, p in enumerate(parent_keys))
-    ).distinct()
-    match = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_p{i}") for i, k in enumerate(keys)))
-    any_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    rows = F.col("count")
-    return used.join(there, match, "left").agg(
-        F.lit(relation).alias("relation"),
-        F.coalesce(F.sum(F.when(any_null, rows)), F.lit(0)).alias("null_keys"),
-        F.coalesce(F.sum(F.when(~any_null & F.col("_p0").isNull(), rows)), F.lit(0)).alias(
-            "orphan_rows"
-        ),
-    )
+def _pairs(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """(relation, key) for several columns of a table in one pass."""
+    return df.select(
+        F.explode(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(relation).alias("relation"), F.col(c).cast("string").alias("key")
+                    )
+                    for relation, c in columns.items()
+                )
+            )
+        ).alias("pair")
+    ).select("pair.*")
 
 
 def referential(star: Star) -> DataFrame:
-    fact = star["fact_report"]
-    checks = [
-        _dangling(f"fact_report.{d}_id", fact, [f"{d}_id"], star[LABEL_DIM_TABLES[d]], ["id"])
-        for d in REPORT_LABELS
-    ]
-    for name, (key, fk, dim) in REPORT_BRIDGES.items():
-        checks.append(_dangling(f"fact_report.{key}", fact, [key], star[name], [key]))
-        checks.append(_dangling(f"{name}.{fk}", star[name], [fk], star[dim], ["id"]))
-    checks.append(
-        _dangling(
-            "bridge_adversary_country.country_id",
-            star["bridge_adversary_country"],
-            ["country_id"],
-            star["dim_country"],
-            ["id"],
+    """Per reference: NULL keys, and rows whose key its target does not have.
+
+    Keys are counted before they meet their targets, so a key shared by many rows is one
+    row, and all references are checked in one join.
+    """
+    fact_keys: dict[str, str] = {f"fact_report.{d}_id": f"{d}_id" for d in REPORT_LABELS}
+    used, targets = [], []
+    for d in REPORT_LABELS:
+        targets.append(_pairs(star[LABEL_DIM_TABLES[d]], {f"fact_report.{d}_id": "id"}))
+    bridges = {**REPORT_BRIDGES, "bridge_adversary_country": (None, "country_id", "dim_country")}
+    for name, (key, fk, dim) in bridges.items():
+        used.append(_pairs(star[name], {f"{name}.{fk}": fk}))
+        targets.append(_pairs(star[dim], {f"{name}.{fk}": "id"}))
+        if key:
+            fact_keys[f"fact_report.{key}"] = key
+            targets.append(_pairs(star[name], {f"fact_report.{key}": key}))
+    used.append(_pairs(star["fact_report"], fact_keys))
+
+    relations = [*fact_keys, *(f"{name}.{fk}" for name, (_, fk, _) in bridges.items())]
+    none_yet = star["fact_report"].sparkSession.range(1).select(
+        F.explode(F.array(*(F.lit(r) for r in relations))).alias("relation"),
+        F.lit(None).cast("string").alias("key"),
+        F.lit(0).cast("long").alias("count"),
+    )
+    counts = stack(used).groupBy("relation", "key").count().unionByName(none_yet)
+    there = stack(targets).distinct().withColumn("there", F.lit(True))
+    rows = F.col("count")
+    no_key = F.col("key").isNull()
+    return (
+        counts.join(there, ["relation", "key"], "left")
+        .groupBy("relation")
+        .agg(
+            F.sum(F.when(no_key, rows).otherwise(0)).alias("null_keys"),
+            F.sum(F.when(~no_key & F.col("there").isNull(), rows).otherwise(0)).alias(
+                "orphan_rows"
+            ),
         )
     )
-    return stack(checks)
 
 
 def weight_sums(star: Star) -> DataFrame:

@@ -21,6 +21,15 @@ from reportstar.functions.sets import COMMA, PIPE
 
 REPORT_TYPE = "threat"
 
+REPORT_DATES = ("creation_date", "publication_date", "report_date")
+# Raw column -> staged label.
+REPORT_TEXTS = {
+    "classification": "classification_name",
+    "evidence_type": "evidence_type_name",
+    "importance": "importance_level",
+    "observation_source": "source_name",
+    "threat_type": "threat_type_name",
+}
 ENTITY_ATTRIBUTES = (
     "name_en", "name_native", "alt_id", "country", "category", "sector", "entity_type", "domain",
 )
@@ -61,34 +70,33 @@ def stage_reports(
     report with a lower-case id is never linked."""
     reports = of_type(raw_report, report_type)
     entity_source = first_non_blank(F.col("entity_ids"), F.col("entity_names"))
-    members = reports.withColumns(
-        {
-            "country_members": member_set(tokens(F.col("country"), COMMA)),
-            "entity_members": member_set(tokens(entity_source, PIPE)),
-            "group_members": member_set(tokens(F.col("related_groups"), PIPE)),
-            "country_labels": labels(F.col("country"), COMMA),
-        }
-    )
-    linked = members.join(
-        adversary_links.withColumnRenamed("report_id", "linked_id"),
-        F.col("id") == F.col("linked_id"),
-        "left",
-    ).withColumn("adversary_members", member_set(F.col("adversary_ids")))
-    return linked.select(
+    # In two steps, so that each list is split once although its set looks at it twice.
+    split = reports.select(
         F.col("id").alias("report_id"),
         "title",
         "description",
         "actions",
         "analysis",
-        parse_date(F.col("creation_date")).alias("creation_date"),
-        parse_date(F.col("publication_date")).alias("publication_date"),
-        parse_date(F.col("report_date")).alias("report_date"),
+        *(parse_date(F.col(c)).alias(c) for c in REPORT_DATES),
         parse_timestamp(F.col("updated_at")).alias("updated_at"),
-        clean_text(F.col("classification")).alias("classification_name"),
-        clean_text(F.col("evidence_type")).alias("evidence_type_name"),
-        clean_text(F.col("importance")).alias("importance_level"),
-        clean_text(F.col("observation_source")).alias("source_name"),
-        clean_text(F.col("threat_type")).alias("threat_type_name"),
+        *(clean_text(F.col(raw)).alias(label) for raw, label in REPORT_TEXTS.items()),
+        tokens(F.col("country"), COMMA).alias("country_tokens"),
+        tokens(entity_source, PIPE).alias("entity_tokens"),
+        tokens(F.col("related_groups"), PIPE).alias("group_tokens"),
+        labels(F.col("country"), COMMA).alias("country_labels"),
+    )
+    members = split.withColumns(
+        {
+            "country_members": member_set(F.col("country_tokens")),
+            "entity_members": member_set(F.col("entity_tokens")),
+            "group_members": member_set(F.col("group_tokens")),
+        }
+    )
+    linked = members.join(adversary_links, "report_id", "left").withColumn(
+        "adversary_members", member_set(F.col("adversary_ids"))
+    )
+    return linked.select(
+        *(c for c in split.columns if not c.endswith("_tokens") and c != "country_labels"),
         "country_members",
         "entity_members",
         "group_members",
@@ -127,7 +135,7 @@ def report_entity_labels(raw_report: DataFrame, report_type: str = REPORT_TYPE)
 
 
 def unregistered_labels(report_labels: DataFrame, registered: DataFrame) -> DataFrame:
-    known = registered.select(F.upper("name_native").alias("known_name"))
+    known = registered.select(F.upper("name_native").alias("known_name")).distinct()
     return report_labels.join(known, F.upper("name_native") == F.col("known_name"), "left_anti")
 
 
