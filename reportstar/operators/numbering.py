@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,11 @@ _POSITION_BITS = 33
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str], id_col: str, within: str | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    id_col: str,
+    within: str | None = None,
+    cut: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> DataFrame:
     """1..n in the order of `order_by` (NULLs first), restarted for every value of `within`.
 
@@ -24,11 +28,13 @@ def number_rows(
     partitions plus the number of `within` values, never more with more data. `within`
     must have few values (it names a dimension). The columns of `order_by` together must
     be unique, or nearly, so that no hot value has to stay in one range.
+
+    `cut` writes its argument where all executors can read it, and reads it back.
     """
     group = [within] if within else []
     keys = [*group, *order_by]
     # Written before it is counted: both passes must see the very same partitions.
-    placed = cut_lineage(
+    placed = cut(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_position", F.monotonically_increasing_id())

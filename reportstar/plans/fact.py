@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reportstar.operators.bridging import unknown_if_null
 from reportstar.operators.numbering import number_rows
 from reportstar.plans.keys import REPORT_LABELS
+from reportstar.sinks.store import cut_lineage
 
 GROUP_KEYS = ("country_group_key", "entity_group_key", "group_group_key", "adversary_group_key")
 
@@ -21,7 +22,10 @@ def with_row_key(stg_report: DataFrame) -> DataFrame:
 
 
 def report_fact(
-    stg_report: DataFrame, label_dims: Mapping[str, DataFrame], as_of: datetime
+    stg_report: DataFrame,
+    label_dims: Mapping[str, DataFrame],
+    as_of: datetime,
+    cut: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> DataFrame:
     """`stg_report` carries the stored `row_key`; `label_dims` maps dimension -> table.
 
@@ -35,7 +39,7 @@ def report_fact(
         narrow = narrow.join(dim, label, "left")
     fks = [f"{d}_id" for d in REPORT_LABELS]
     narrow = narrow.select("row_key", "report_id", *(unknown_if_null(c).alias(c) for c in fks))
-    numbered = number_rows(narrow, ["report_id", "row_key"], "id")
+    numbered = number_rows(narrow, ["report_id", "row_key"], "id", cut=cut)
     return stg_report.join(numbered.drop("report_id"), "row_key").select(
         "id",
         "report_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reportstar.functions.sets import UNKNOWN
 from reportstar.operators.numbering import number_rows
+from reportstar.sinks.store import cut_lineage
 
 # Dimension -> label column of the staged reports.
 REPORT_LABELS = {
@@ -62,7 +64,10 @@ def key_candidates(
 
 
 def register(
-    candidates: DataFrame, existing: DataFrame | None, first_seen_at: datetime
+    candidates: DataFrame,
+    existing: DataFrame | None,
+    first_seen_at: datetime,
+    cut: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> DataFrame:
     """The registry rows to append: keys not seen before, numbered on from the highest id of
     their dimension in the order of the natural key. Known keys and labels never change."""
@@ -71,7 +76,7 @@ def register(
         unseen = candidates.join(
             existing.select("dimension", "natural_key"), ["dimension", "natural_key"], "left_anti"
         )
-    numbered = number_rows(unseen, ["natural_key"], "id", within="dimension")
+    numbered = number_rows(unseen, ["natural_key"], "id", within="dimension", cut=cut)
     if existing is not None:
         # One row per dimension, and there are eight dimensions.
         high_water = existing.groupBy("dimension").agg(F.max("id").alias("max_id"))

@@ -11,10 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportstar.plans import bridges, dims, fact, keys, staging
-from reportstar.sinks.store import TableStore
+from reportstar.sinks.store import Store
 from reportstar.sources.raw import RawTables
 
 LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
+STAR_INFO = "star_info"
+STAR_TABLES = (
+    "stg_adversary", "stg_entity", "adversary_links", "stg_report", "dim_key",
+    *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup", "fact_report",
+    "bridge_country", "bridge_entity", "bridge_group_adversary", "bridge_adversary",
+    "bridge_adversary_country",
+)
 
 
 @dataclass(frozen=True)
@@ -45,7 +52,7 @@ def report_ids_are_unique(stg_report: DataFrame) -> bool:
 
 def build_star(
     raw: RawTables,
-    store: TableStore,
+    store: Store,
     as_of: datetime,
     report_type: str = staging.REPORT_TYPE,
     parallel_models: int = 4,
@@ -57,68 +64,93 @@ def build_star(
     One run at a time per store.
     """
     tables: dict[str, DataFrame] = {}
+    with ThreadPoolExecutor(parallel_models) as pool:
 
-    def refresh(models: Mapping[str, Callable[[], DataFrame]]) -> None:
-        with ThreadPoolExecutor(parallel_models) as pool:
+        def refresh(models: Mapping[str, Callable[[], DataFrame]]) -> None:
             pending = {
                 name: pool.submit(lambda n=name, build=build: store.replace(n, build()))
                 for name, build in models.items()
             }
             tables.update({name: job.result() for name, job in pending.items()})
 
-    refresh(
-        {
-            "stg_adversary": lambda: staging.stage_adversaries(raw.adversary),
-            "stg_entity": lambda: staging.stage_entities(raw.entity, raw.report, report_type),
-        }
-    )
-    refresh({"adversary_links": lambda: staging.link_adversaries(tables["stg_adversary"])})
-    refresh(
-        {
-            "stg_report": lambda: fact.with_row_key(
-                staging.stage_reports(raw.report, tables["adversary_links"], report_type)
-            )
-        }
-    )
-    candidates = keys.key_candidates(
-        tables["stg_report"], tables["stg_adversary"], tables["stg_entity"]
-    )
-    unseen = keys.register(candidates, store.read_if_exists("dim_key"), as_of)
-    registry = tables["dim_key"] = store.append("dim_key", unseen, partition_by=["dimension"])
-
-    def label_dim(dimension: str) -> Callable[[], DataFrame]:
-        return lambda: dims.label_dimension(registry, dimension, as_of)
-
-    refresh(
-        {
-            **{table: label_dim(d) for d, table in LABEL_DIM_TABLES.items()},
-            "dim_adversary": lambda: dims.adversary_dimension(
-                registry, tables["stg_adversary"], as_of
-            ),
-            "dim_entity": lambda: dims.entity_dimension(registry, tables["stg_entity"], as_of),
-        }
-    )
-    reports = tables["stg_report"]
-    star = Star(tables, report_ids_are_unique(reports), as_of)
-    refresh({"entity_lookup": lambda: bridges.entity_lookup(tables["dim_entity"])})
-    refresh(
-        {
-            "fact_report": lambda: fact.report_fact(reports, star.label_dims(), as_of),
-            "bridge_country": lambda: bridges.country_bridge(
-                reports, tables["dim_country"], as_of
-            ),
-            "bridge_entity": lambda: bridges.entity_bridge(
-                reports, tables["entity_lookup"], as_of
-            ),
-            "bridge_group_adversary": lambda: bridges.group_bridge(
-                reports, tables["dim_adversary"], as_of
-            ),
-            "bridge_adversary": lambda: bridges.adversary_bridge(
-                reports, tables["dim_adversary"], as_of
-            ),
-            "bridge_adversary_country": lambda: bridges.adversary_country_bridge(
-                tables["stg_adversary"], tables["dim_country"], as_of
-            ),
-        }
+        def scratch(name: str) -> Callable[[DataFrame], DataFrame]:
+            """Overwritten by the next run, so that scratch tables do not pile up."""
+            return lambda df: store.replace(f"scratch_{name}", df)
+
+        def staged_adversaries() -> DataFrame:
+            return staging.stage_adversaries(raw.adversary)
+
+        refresh(
+            {
+                "stg_adversary": staged_adversaries,
+                "adversary_links": lambda: staging.link_adversaries(staged_adversaries()),
+                "stg_entity": lambda: staging.stage_entities(raw.entity, raw.report, report_type),
+            }
+        )
+        refresh(
+            {
+                "stg_report": lambda: fact.with_row_key(
+                    staging.stage_reports(raw.report, tables["adversary_links"], report_type)
+                )
+            }
+        )
+        reports, adversaries = tables["stg_report"], tables["stg_adversary"]
+        unique_report_ids = pool.submit(report_ids_are_unique, reports)
+
+        candidates = keys.key_candidates(reports, adversaries, tables["stg_entity"])
+        unseen = keys.register(
+            candidates, store.read_if_exists("dim_key"), as_of, scratch("key_positions")
+        )
+        registry = tables["dim_key"] = store.append("dim_key", unseen, partition_by=["dimension"])
+
+        def label_dim(dimension: str) -> Callable[[], DataFrame]:
+            return lambda: dims.label_dimension(registry, dimension, as_of)
+
+        def adversary_dim() -> DataFrame:
+            return dims.adversary_dimension(registry, adversaries, as_of)
+
+        def entity_dim() -> DataFrame:
+            return dims.entity_dimension(registry, tables["stg_entity"], as_of)
+
+        refresh(
+            {
+                "dim_entity": entity_dim,
+                "dim_adversary": adversary_dim,
+                **{table: label_dim(d) for d, table in LABEL_DIM_TABLES.items()},
+            }
+        )
+        label_dims = {d: tables[table] for d, table in LABEL_DIM_TABLES.items()}
+        countries, actors = tables["dim_country"], tables["dim_adversary"]
+
+        def entity_bridge() -> DataFrame:
+            lookup = store.replace("entity_lookup", bridges.entity_lookup(tables["dim_entity"]))
+            tables["entity_lookup"] = lookup
+            return bridges.entity_bridge(reports, lookup, as_of)
+
+        refresh(
+            {
+                "fact_report": lambda: fact.report_fact(
+                    reports, label_dims, as_of, scratch("fact_positions")
+                ),
+                "bridge_entity": entity_bridge,
+                "bridge_country": lambda: bridges.country_bridge(reports, countries, as_of),
+                "bridge_group_adversary": lambda: bridges.group_bridge(reports, actors, as_of),
+                "bridge_adversary": lambda: bridges.adversary_bridge(reports, actors, as_of),
+                "bridge_adversary_country": lambda: bridges.adversary_country_bridge(
+                    adversaries, countries, as_of
+                ),
+            }
+        )
+        star = Star(tables, unique_report_ids.result(), as_of)
+    known = reports.sparkSession.range(1).select(
+        F.lit(star.unique_report_ids).alias("unique_report_ids"), F.lit(as_of).alias("as_of")
     )
+    store.replace(STAR_INFO, known)
     return star
+
+
+def load_star(store: Store) -> Star:
+    """The star of an earlier run, for sessions that only read."""
+    known = store.read(STAR_INFO).first()
+    tables = {name: store.read(name) for name in STAR_TABLES}
+    return Star(tables, known["unique_report_ids"], known["as_of"])

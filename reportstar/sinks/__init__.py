@@ -1,5 +1,12 @@
 """Where results go: full-refresh and append tables, views, and a checked JDBC export."""
 
-from reportstar.sinks.store import TableStore, cut_lineage, replace_view, shared_folder
+from reportstar.sinks.store import (
+    CatalogStore,
+    Store,
+    TableStore,
+    cut_lineage,
+    replace_view,
+    shared_folder,
+)
 
-__all__ = ["TableStore", "cut_lineage", "replace_view", "shared_folder"]
+__all__ = ["CatalogStore", "Store", "TableStore", "cut_lineage", "replace_view", "shared_folder"]

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+# Error conditions of a table that is not there, or has no rows yet.
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
+
 _local_folders: dict[str, str] = {}
 
 
@@ -40,8 +44,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() in MISSING:
+            return None
+        raise
+
+
+class Store(Protocol):
+    """Where the layers of the model are kept."""
+
+    spark: SparkSession
+
+    def read(self, name: str) -> DataFrame: ...
+
+    def read_if_exists(self, name: str) -> DataFrame | None: ...
+
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """Full refresh; column changes are taken over. `df` must not read `name`."""
+        ...
+
+    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Add rows; `df` may read the table it is appended to."""
+        ...
+
+
 class TableStore:
-    """Named parquet tables under one root."""
+    """Named parquet tables under one folder."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -54,31 +85,46 @@ class TableStore:
         return self.spark.read.parquet(self.path(name))
 
     def read_if_exists(self, name: str) -> DataFrame | None:
-        try:
-            return self.read(name)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+        return _if_there(lambda: self.read(name))
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Full refresh; column changes are taken over. `df` must not read `name`."""
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Add rows; `df` may read the table it is appended to."""
         df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
-def replace_table(df: DataFrame, table: str, provider: str = "parquet") -> None:
-    """Full refresh of a catalog table. With a provider that supports it (Delta, Iceberg)
-    the swap is atomic; parquet tables are overwritten in place."""
-    if provider == "parquet":
-        df.write.format(provider).mode("overwrite").saveAsTable(table)
-    else:
-        df.writeTo(table).using(provider).createOrReplace()
+class CatalogStore:
+    """Tables of a catalog schema. A provider with atomic replacement (Delta, Iceberg) gives
+    readers the old or the new table; parquet tables are overwritten in place."""
+
+    def __init__(self, spark: SparkSession, schema: str, provider: str = "parquet"):
+        self.spark = spark
+        self.schema = schema
+        self.provider = provider
+
+    def table(self, name: str) -> str:
+        return f"{self.schema}.{name}"
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.table(self.table(name))
+
+    def read_if_exists(self, name: str) -> DataFrame | None:
+        return _if_there(lambda: self.read(name))
+
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        if self.provider == "parquet":
+            df.write.format("parquet").mode("overwrite").saveAsTable(self.table(name))
+        else:
+            df.writeTo(self.table(name)).using(self.provider).createOrReplace()
+        return self.read(name)
+
+    def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        writer = df.write.format(self.provider).mode("append").partitionBy(*partition_by)
+        writer.saveAsTable(self.table(name))
+        return self.read(name)
 
 
 def replace_view(df: DataFrame, name: str) -> None:

@@ -12,7 +12,7 @@ from reportstar.operators.bridging import resolve_members
 from reportstar.plans import analytics, fact, staging, views
 from reportstar.plans.keys import REPORT_LABELS
 from reportstar.plans.pipeline import LABEL_DIM_TABLES, Star
-from reportstar.sinks.store import TableStore
+from reportstar.sinks.store import TableStore, cut_lineage
 
 
 def plan_of(df, executed: bool = False) -> str:
@@ -91,7 +91,7 @@ def test_narrow_consumers_do_not_read_texts(spark):
     assert schema == "struct<report_type:string,entity_ids:string,entity_names:string>"
 
 
-def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast, monkeypatch):
+def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast):
     raw = feeds(spark, reports=[{"id": "1"}])
     links = staging.link_adversaries(staging.stage_adversaries(raw.adversary))
     staged = fact.with_row_key(staging.stage_reports(raw.report, links))
@@ -101,11 +101,12 @@ def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast, m
         for d, c in REPORT_LABELS.items()
     }
     ranged = []
-    from reportstar.operators import numbering
 
-    cut = numbering.cut_lineage
-    monkeypatch.setattr(numbering, "cut_lineage", lambda df: ranged.append(plan_of(df)) or cut(df))
-    built = fact.report_fact(stored, dims, AS_OF)
+    def cut(df):
+        ranged.append(plan_of(df))
+        return cut_lineage(df)
+
+    built = fact.report_fact(stored, dims, AS_OF, cut)
     assert "rangepartitioning(report_id" in ranged[0]
     assert "SinglePartition" not in ranged[0] and "title" not in ranged[0]
     wide = [line for line in plan_of(built).splitlines() if "Exchange hashpartitioning(row_key" in line]

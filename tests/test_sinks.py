@@ -5,9 +5,11 @@ from conftest import AS_OF, rows_of, star_of
 from pyspark.errors import AnalysisException, ArithmeticException
 from pyspark.sql.types import StructType
 
+from reportstar.plans.analytics import weighted_country
+from reportstar.plans.pipeline import STAR_TABLES, load_star
 from reportstar.sinks import jdbc
 from reportstar.sinks.contracts import CONTRACTS, conform, overlong_keys
-from reportstar.sinks.store import TableStore, cut_lineage, replace_table, shared_folder
+from reportstar.sinks.store import CatalogStore, TableStore, cut_lineage, shared_folder
 
 
 def test_page_count():
@@ -92,11 +94,23 @@ def test_append_may_read_its_own_table(spark):
     assert rows_of(store.append("t", more, ["d"]), "d", "id") == [("a", 1), ("a", 2)]
 
 
-def test_catalog_table_is_replaced(spark):
-    replace_table(spark.range(3), "star_table")
-    replace_table(spark.range(2).selectExpr("id AS n"), "star_table")
-    assert rows_of(spark.table("star_table"), "n") == [(0,), (1,)]
-    spark.sql("DROP TABLE star_table")
+def test_star_in_a_catalog_schema_is_built_twice_and_loaded(spark):
+    spark.sql("CREATE SCHEMA gold")
+    store = CatalogStore(spark, "gold")
+    for ids in (["1"], ["1", "2"]):
+        star_of(
+            spark, store, reports=[{"id": i, "country": f"C{i}"} for i in ids],
+        )
+    star = load_star(CatalogStore(spark, "gold"))
+    assert star.unique_report_ids and star.as_of == AS_OF
+    assert set(star.tables) == set(STAR_TABLES)
+    assert rows_of(star["dim_country"], "id", "country_name") == [
+        (-1, "Unknown"), (1, "C1"), (2, "C2"),
+    ]
+    assert rows_of(weighted_country(star), "country_name", "weighted_reports") == [
+        ("C1", 1.0), ("C2", 1.0),
+    ]
+    spark.sql("DROP SCHEMA gold CASCADE")
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
