@@ -272,7 +272,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda s: dims.entity_dimension(s["dim_key"], s["stg_entity"], s.as_of)
         ),
         "fact_report": _table(
-            lambda s: fact.report_fact(s["stg_report"], s.label_dims(), s.as_of)
+            lambda s: fact.report_fact(
+                s["stg_report"], s["stg_report_adversary"], s.label_dims(), s.as_of
+            )
         ),
         "entity_lookup": _on_star(lambda s: bridges.entity_lookup(s["dim_entity"])),
         "bridge_country": _table(
@@ -285,7 +287,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda s: bridges.group_bridge(s["stg_report"], s["dim_adversary"], s.as_of)
         ),
         "bridge_adversary": _table(
-            lambda s: bridges.adversary_bridge(s["stg_report"], s["dim_adversary"], s.as_of)
+            lambda s: bridges.adversary_bridge(
+                s["stg_report_adversary"], s["dim_adversary"], s.as_of
+            )
         ),
         "bridge_adversary_country": _table(
             lambda s: bridges.adversary_country_bridge(

@@ -76,13 +76,13 @@ def group_bridge(stg_report: DataFrame, dim_adversary: DataFrame, as_of: datetim
 
 
 def adversary_bridge(
-    stg_report: DataFrame, dim_adversary: DataFrame, as_of: datetime
+    report_adversaries: DataFrame, dim_adversary: DataFrame, as_of: datetime
 ) -> DataFrame:
     """Adversaries that claim a report, matched by exact id."""
     lookup = dim_adversary.filter(F.col("adversary_id").isNotNull()).select(
         F.col("adversary_id").alias("member"), F.col("id").alias("adversary_dim_id")
     )
-    claimed = stg_report.filter(F.size("adversary_members") > 0)
+    claimed = report_adversaries.filter(F.size("adversary_members") > 0)
     rows = resolve_members(
         claimed, "adversary_group_key", "adversary_members", lookup, "adversary_dim_id"
     )

@@ -23,11 +23,13 @@ def with_row_key(stg_report: DataFrame) -> DataFrame:
 
 def report_fact(
     stg_report: DataFrame,
+    report_adversaries: DataFrame,
     label_dims: Mapping[str, DataFrame],
     as_of: datetime,
     cut: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> DataFrame:
-    """`stg_report` carries the stored `row_key`; `label_dims` maps dimension -> table.
+    """`stg_report` carries the stored `row_key`, `report_adversaries` is keyed by it, and
+    `label_dims` maps dimension -> table.
 
     Labels are looked up, and rows numbered, on a narrow projection; the wide rows with
     their texts are shuffled once, on a key that is unique and so free of skew, whatever
@@ -40,7 +42,9 @@ def report_fact(
     fks = [f"{d}_id" for d in REPORT_LABELS]
     narrow = narrow.select("row_key", "report_id", *(unknown_if_null(c).alias(c) for c in fks))
     numbered = number_rows(narrow, ["report_id", "row_key"], "id", cut=cut)
-    return stg_report.join(numbered.drop("report_id"), "row_key").select(
+    adversary_keys = report_adversaries.select("row_key", "adversary_group_key")
+    wide = stg_report.join(numbered.drop("report_id"), "row_key").join(adversary_keys, "row_key")
+    return wide.select(
         "id",
         "report_id",
         "title",

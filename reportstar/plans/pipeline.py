@@ -17,8 +17,8 @@ from reportstar.sources.raw import RawTables
 LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
 STAR_INFO = "star_info"
 STAR_TABLES = (
-    "stg_adversary", "stg_entity", "adversary_links", "stg_report", "dim_key",
-    *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup", "fact_report",
+    "stg_adversary", "stg_entity", "adversary_links", "stg_report", "stg_report_adversary",
+    "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup", "fact_report",
     "bridge_country", "bridge_entity", "bridge_group_adversary", "bridge_adversary",
     "bridge_adversary_country",
 )
@@ -62,6 +62,10 @@ def build_star(
     A second run over the same store refreshes every table and appends to the registry, so
     ids stay. Models of one layer do not read each other and are submitted together.
     One run at a time per store.
+
+    Staged reports are two tables: `stg_report` with what a report says itself, written in
+    one pass, and `stg_report_adversary` with who claims it, joined on report ids without
+    the texts. The fact brings them together in the one shuffle that moves texts.
     """
     tables: dict[str, DataFrame] = {}
     with ThreadPoolExecutor(parallel_models) as pool:
@@ -85,18 +89,18 @@ def build_star(
                 "stg_adversary": staged_adversaries,
                 "adversary_links": lambda: staging.link_adversaries(staged_adversaries()),
                 "stg_entity": lambda: staging.stage_entities(raw.entity, raw.report, report_type),
-            }
-        )
-        refresh(
-            {
                 "stg_report": lambda: fact.with_row_key(
-                    staging.stage_reports(raw.report, tables["adversary_links"], report_type)
-                )
+                    staging.stage_report_fields(raw.report, report_type)
+                ),
             }
         )
         reports, adversaries = tables["stg_report"], tables["stg_adversary"]
         unique_report_ids = pool.submit(report_ids_are_unique, reports)
 
+        def report_adversaries() -> DataFrame:
+            rows = reports.select("row_key", "report_id")
+            return staging.with_adversaries(rows, tables["adversary_links"])
+
         candidates = keys.key_candidates(reports, adversaries, tables["stg_entity"])
         unseen = keys.register(
             candidates, store.read_if_exists("dim_key"), as_of, scratch("key_positions")
@@ -114,12 +118,14 @@ def build_star(
 
         refresh(
             {
+                "stg_report_adversary": report_adversaries,
                 "dim_entity": entity_dim,
                 "dim_adversary": adversary_dim,
                 **{table: label_dim(d) for d, table in LABEL_DIM_TABLES.items()},
             }
         )
         label_dims = {d: tables[table] for d, table in LABEL_DIM_TABLES.items()}
+        claims = tables["stg_report_adversary"]
         countries, actors = tables["dim_country"], tables["dim_adversary"]
 
         def entity_bridge() -> DataFrame:
@@ -130,12 +136,12 @@ def build_star(
         refresh(
             {
                 "fact_report": lambda: fact.report_fact(
-                    reports, label_dims, as_of, scratch("fact_positions")
+                    reports, claims, label_dims, as_of, scratch("fact_positions")
                 ),
                 "bridge_entity": entity_bridge,
                 "bridge_country": lambda: bridges.country_bridge(reports, countries, as_of),
                 "bridge_group_adversary": lambda: bridges.group_bridge(reports, actors, as_of),
-                "bridge_adversary": lambda: bridges.adversary_bridge(reports, actors, as_of),
+                "bridge_adversary": lambda: bridges.adversary_bridge(claims, actors, as_of),
                 "bridge_adversary_country": lambda: bridges.adversary_country_bridge(
                     adversaries, countries, as_of
                 ),

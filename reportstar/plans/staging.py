@@ -63,11 +63,8 @@ def link_adversaries(stg_adversary: DataFrame) -> DataFrame:
     )
 
 
-def stage_reports(
-    raw_report: DataFrame, adversary_links: DataFrame, report_type: str = REPORT_TYPE
-) -> DataFrame:
-    """Adversaries list report ids in upper case while a report keeps its own spelling, so a
-    report with a lower-case id is never linked."""
+def stage_report_fields(raw_report: DataFrame, report_type: str = REPORT_TYPE) -> DataFrame:
+    """All that a report says itself. One pass over the feed, without a shuffle."""
     reports = of_type(raw_report, report_type)
     entity_source = first_non_blank(F.col("entity_ids"), F.col("entity_names"))
     # In two steps, so that each list is split once although its set looks at it twice.
@@ -80,35 +77,39 @@ def stage_reports(
         *(parse_date(F.col(c)).alias(c) for c in REPORT_DATES),
         parse_timestamp(F.col("updated_at")).alias("updated_at"),
         *(clean_text(F.col(raw)).alias(label) for raw, label in REPORT_TEXTS.items()),
-        tokens(F.col("country"), COMMA).alias("country_tokens"),
-        tokens(entity_source, PIPE).alias("entity_tokens"),
-        tokens(F.col("related_groups"), PIPE).alias("group_tokens"),
+        tokens(F.col("country"), COMMA).alias("country_members"),
+        tokens(entity_source, PIPE).alias("entity_members"),
+        tokens(F.col("related_groups"), PIPE).alias("group_members"),
         labels(F.col("country"), COMMA).alias("country_labels"),
     )
-    members = split.withColumns(
-        {
-            "country_members": member_set(F.col("country_tokens")),
-            "entity_members": member_set(F.col("entity_tokens")),
-            "group_members": member_set(F.col("group_tokens")),
-        }
-    )
-    linked = members.join(adversary_links, "report_id", "left").withColumn(
-        "adversary_members", member_set(F.col("adversary_ids"))
-    )
-    return linked.select(
-        *(c for c in split.columns if not c.endswith("_tokens") and c != "country_labels"),
-        "country_members",
-        "entity_members",
-        "group_members",
-        "adversary_members",
-        "country_labels",
-        group_key(F.col("country_members")).alias("country_group_key"),
-        group_key(F.col("entity_members")).alias("entity_group_key"),
-        group_key(F.col("group_members")).alias("group_group_key"),
-        group_key(F.col("adversary_members")).alias("adversary_group_key"),
+    sets = ("country", "entity", "group")
+    return split.withColumns(
+        {f"{s}_members": member_set(F.col(f"{s}_members")) for s in sets}
+    ).withColumns({f"{s}_group_key": group_key(F.col(f"{s}_members")) for s in sets})
+
+
+def with_adversaries(reports: DataFrame, adversary_links: DataFrame) -> DataFrame:
+    """Add the set of adversaries that claim the report, and its key.
+
+    Adversaries list report ids in upper case while a report keeps its own spelling, so a
+    report with a lower-case id is never linked.
+    """
+    return (
+        reports.join(adversary_links, "report_id", "left")
+        .withColumn("adversary_members", member_set(F.col("adversary_ids")))
+        .withColumn("adversary_group_key", group_key(F.col("adversary_members")))
+        .drop("adversary_ids")
     )
 
 
+def stage_reports(
+    raw_report: DataFrame, adversary_links: DataFrame, report_type: str = REPORT_TYPE
+) -> DataFrame:
+    """The staged report as one table. The build keeps its two halves apart, see
+    `build_star`, since joining them moves all texts through a shuffle."""
+    return with_adversaries(stage_report_fields(raw_report, report_type), adversary_links)
+
+
 def registered_entities(raw_entity: DataFrame) -> DataFrame:
     """One row per trimmed registry id: the smallest English name (NULL first), the other
     columns break ties. min() combines before the shuffle, a window would not."""

@@ -94,8 +94,13 @@ def test_narrow_consumers_do_not_read_texts(spark):
 def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast):
     raw = feeds(spark, reports=[{"id": "1"}])
     links = staging.link_adversaries(staging.stage_adversaries(raw.adversary))
-    staged = fact.with_row_key(staging.stage_reports(raw.report, links))
-    stored = TableStore(spark).replace("stg_report", staged)
+    store = TableStore(spark)
+    staged = fact.with_row_key(staging.stage_report_fields(raw.report))
+    assert exchanges(plan_of(staged)) == 0
+    stored = store.replace("stg_report", staged)
+    claims = store.replace(
+        "claims", staging.with_adversaries(stored.select("row_key", "report_id"), links)
+    )
     dims = {
         d: spark.createDataFrame([(-1, "Unknown")], f"id long, {c} string")
         for d, c in REPORT_LABELS.items()
@@ -106,11 +111,11 @@ def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast):
         ranged.append(plan_of(df))
         return cut_lineage(df)
 
-    built = fact.report_fact(stored, dims, AS_OF, cut)
+    built = fact.report_fact(stored, claims, dims, AS_OF, cut)
     assert "rangepartitioning(report_id" in ranged[0]
     assert "SinglePartition" not in ranged[0] and "title" not in ranged[0]
     wide = [line for line in plan_of(built).splitlines() if "Exchange hashpartitioning(row_key" in line]
-    assert len(wide) == 2  # the reports, and their ids
+    assert len(wide) == 3  # the reports, their ids, and their adversaries
     # The only one-task exchange is over the row counts of the ranges.
     single = plan_of(built).split("SinglePartition")
     assert len(single) == 2 and "_rows" in single[1].splitlines()[1]
