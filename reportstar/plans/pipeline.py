@@ -18,9 +18,9 @@ LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
 STAR_INFO = "star_info"
 STAR_TABLES = (
     "stg_adversary", "stg_entity", "adversary_links", "stg_report", "stg_report_adversary",
-    "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup", "fact_report",
-    "bridge_country", "bridge_entity", "bridge_group_adversary", "bridge_adversary",
-    "bridge_adversary_country",
+    "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup",
+    "fact_report", "bridge_country", "bridge_entity", "bridge_group_adversary",
+    "bridge_adversary", "bridge_adversary_country",
 )
 
 
