@@ -134,23 +134,61 @@ def test_bridge_needs_one_more_on_each_side_if_not(spark, no_broadcast):
     assert exchanges(plan_of(resolve_members(reports, "k", "m", lookup, "id"))) == 4
 
 
-def test_member_view_splits_the_hot_key(spark, no_broadcast, skewed_star):
+@pytest.fixture
+def small_partitions(spark, no_broadcast):
+    """Thresholds of the adaptive skew join scaled down to the size of the test data."""
     settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
     }
+    before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        view = views.vw_report_country(skewed_star)
-        assert view.count() == 40000
-        joined = re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#", plan_of(view, executed=True))
-        assert "country_group_key" in joined
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def split_joins(df) -> list[str]:
+    """The keys of the joins in the executed plan that had their hot partitions split."""
+    return re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#", plan_of(df, executed=True))
+
+
+def test_member_view_splits_the_hot_key(small_partitions, skewed_star):
+    view = views.vw_report_country(skewed_star)
+    assert view.count() == 40000
+    assert "country_group_key" in split_joins(view)
+
+
+def test_bridge_splits_a_hot_member(spark, small_partitions):
+    """Every set holds the same member next to one of its own."""
+    own = F.sha2(F.col("id").cast("string"), 256)
+    sets = spark.range(0, 20000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("k"), F.array(F.lit("hot"), own).alias("m")
+    )
+    store = TableStore(spark)
+    lookup = store.replace("lookup", spark.createDataFrame([("hot", 7)], "member string, id long"))
+    bridge = resolve_members(store.replace("sets", sets), "k", "m", lookup, "id")
+    assert "member" in split_joins(bridge)
+    counts = {r["id"]: r["count"] for r in bridge.groupBy("id").count().collect()}
+    assert counts == {7: 20000, -1: 20000}
+
+
+def test_adversary_join_splits_a_hot_report_id(spark, small_partitions):
+    rows = spark.range(0, 20000, 1, 8).select(
+        F.col("id").alias("row_key"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+        .when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+        .alias("report_id"),
+    )
+    store = TableStore(spark)
+    links = spark.createDataFrame([("HOT", ["A"])], "report_id string, adversary_ids array<string>")
+    claims = staging.with_adversaries(store.replace("rows", rows), store.replace("links", links))
+    assert "report_id" in split_joins(claims)
+    assert claims.filter("adversary_members[0] = 'A'").count() == 6667
 
 
 def test_counts_never_join_report_rows(spark, no_broadcast, skewed_star):
