@@ -7,6 +7,7 @@ once per session and data folder (as the daily build does) and contain all rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,11 +54,12 @@ class Build:
     def raw(self) -> RawTables:
         if self._raw is None:
             derived = derive_raw_tables(self.spark, self.sf_dir)
-            self._raw = RawTables(
-                self.store.replace("raw_report", derived.report),
-                self.store.replace("raw_adversary", derived.adversary),
-                self.store.replace("raw_entity", derived.entity),
-            )
+            with ThreadPoolExecutor() as pool:
+                written = [
+                    pool.submit(self.store.replace, f"raw_{name}", getattr(derived, name))
+                    for name in ("report", "adversary", "entity")
+                ]
+            self._raw = RawTables(*(w.result() for w in written))
         return self._raw
 
     @property
@@ -78,7 +80,7 @@ def build(spark: SparkSession, sf_dir: str) -> Build:
 
 
 def comparable(df: DataFrame, build_times: tuple[str, ...] = ()) -> DataFrame:
-    """Build times dropped, lists and timestamps as text: what the SQL twin returns."""
+    """Build times dropped, lists, dates and timestamps as text: what the SQL twin returns."""
     shown = [f for f in df.schema.fields if f.name not in build_times]
     columns = []
     for field in shown:
@@ -86,6 +88,8 @@ def comparable(df: DataFrame, build_times: tuple[str, ...] = ()) -> DataFrame:
         kind = field.dataType.simpleString()
         if kind.startswith("array"):
             column = F.array_join(column, "|")
+        elif kind == "date":
+            column = column.cast("string")
         elif kind == "timestamp":
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         columns.append(column.alias(field.name))
@@ -161,7 +165,7 @@ def _second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = F.col("publication_date") < oracle.FIRST_RUN_BEFORE
     first = keys.key_candidates(
         b.star["stg_report"].filter(published),
-        b.star["stg_adversary"].limit(0),
+        b.star["stg_adversary"].filter(F.lit(False)),
         staging.stage_entities(b.raw.entity, b.raw.report.filter(published)),
     )
     store = TableStore(spark)
