@@ -30,6 +30,13 @@ from reportstar.sinks.jdbc import page_plan
 from reportstar.sinks.store import TableStore
 from reportstar.sources import RawTables, derive_raw_tables
 
+try:
+    import corpus_pipeline
+    from reportstar.llm import queries as llm_queries
+    from reportstar.llm import sql as llm_sql
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = datetime(2026, 1, 1)
 DAY = timedelta(days=1)
@@ -206,6 +213,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["bi_weighted_country"](spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if corpus_pipeline is None:
+        return {}
+    return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if corpus_pipeline is None:
+        return {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm_sql.ORACLE_SQL, **whole}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     label_dims = {
         table: _table(lambda s, d=d: dims.label_dimension(s["dim_key"], d, s.as_of))
@@ -326,8 +346,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_append_roundtrip": _sink_append,
         "sink_page_plan": _on_star(lambda s: page_plan(_row_counts(s), rows_per_page=1000)),
         "pipeline_row_counts": _on_star(_row_counts),
+        **_llm_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracle.build(name) for name in oracle.QUERIES}
+    return {**{name: oracle.build(name) for name in oracle.QUERIES}, **_llm_sql()}
