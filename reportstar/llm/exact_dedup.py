@@ -120,3 +120,26 @@ def exact_groups(
         F.col("seen").alias("group_size"),
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay: one of each group of equal texts, with all its columns."""
+    kept = (
+        exact_groups(docs, id_col, text_col)
+        .filter("kept")
+        .groupBy("digest", "id")
+        .agg((F.count("*") > 1).alias("repeated"))
+    )
+    kept = cut_lineage(kept)
+    digest = sha256(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"),
+        digest.alias("digest"),
+        F.col(id_col).cast("long").alias("row_id"),
+    )
+    staying = rows.join(kept, ["digest"]).filter(F.col("row_id").eqNullSafe(F.col("id")))
+    once = staying.filter("NOT repeated").select("record.*")
+    if kept.filter("repeated").isEmpty():
+        return once
+    again = staying.filter("repeated").groupBy("digest").agg(F.first("record").alias("record"))
+    return once.unionByName(again.select("record.*"))

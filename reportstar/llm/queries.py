@@ -7,15 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import exact_dedup, sharding, topk
+from reportstar.llm import (
+    cotraining,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    sharding,
+    token_counts,
+    topk,
+)
 
 SHARDS = 40
+GOOD = 0.5
+PIECES, RANKS, BYTE_BPE = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unigram_pieces():
+    import public_tokenizers
+
+    return token_counts.zipf_pieces(public_tokenizers.path(PIECES))
+
+
+def byte_bpe() -> packing.Encoder:
+    import public_tokenizers
+
+    return packing.byte_bpe_encoder(public_tokenizers.path(RANKS), public_tokenizers.path(BYTE_BPE))
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), unigram_pieces)
+    return counts.withColumnRenamed("id", "doc_id")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -27,6 +55,36 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe, with_tokens=False)
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        "class_id",
+        F.col("id").eqNullSafe(F.col("class_id")).alias("kept"),
+        "n_copies",
+    )
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "record.doc_id", F.col("mix_source").alias("source"), "tokens", "target_tokens", "epoch", "order_key"
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = cotraining.fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = cotraining.score_quality(docs, model)
+    return scored.select(
+        "record.doc_id", "p_content", "p_metadata", "p_good", (F.col("p_good") >= GOOD).alias("kept")
+    )
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
 
@@ -49,7 +107,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_packing": op3_packing,
+    "op5_near_dedup": op5_near_dedup,
+    "op6_mixing": op6_mixing,
+    "op8_quality": op8_quality,
     "op9_exact_topk": op9_exact_topk,
     "op10_sharding": op10_sharding,
 }
