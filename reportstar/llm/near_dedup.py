@@ -5,10 +5,15 @@ registers of the signature; a register keeps the first to arrive. Processes stop
 registers are filled, so a document costs about m ln m arrivals beside one per shingle. Two registers agree
 with the probability Jaccard similarity of the documents.
 
-Bands of registers make buckets. In a bucket all members are compared with one pivot, exactly. What is not
-similar to it stays for a next round with a new pivot, along with the members that could still be similar to
-one of those: the distance is a metric, so a pair whose distances to the pivot differ by more than the threshold
-needs no comparison. Each round settles the pivot, and no pair of a bucket is left out.
+Bands of registers make buckets. One byte of every register is kept as a sketch: pairs of a bucket whose sketches
+agree too little cannot be similar, all others are compared exactly on their texts.
+
+* Buckets of bounded size become distinct sets of documents (near copies meet in many bands, but once as a set). In a
+  set, leaders are compared with the members near them, which joins the copies of a text into one component; then all
+  pairs of a set that lie near and are still apart are compared.
+* A larger bucket has all members compared with one pivot. What is not similar to it stays for the next round, along with
+  the members that could still be similar to one of those: the distance is a metric, so a pair whose distances to the
+  pivot differ by more than the threshold needs no comparison. A bucket that becomes small goes the way of the others.
 """
 
 from __future__ import annotations
@@ -75,7 +80,7 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs:
         cells, times, names, arrival = [], [], [], 0
         while len(doc):
             arrival += 1
-            draw = mixed(element + np.uint64(arrival) * GOLDEN)
+            draw = mixed(element + np.uint64(arrival * int(GOLDEN) % (1 << 64)))
             at = at - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / rate
             kept = at <= horizon[doc]
             doc, element, rate, at, draw = doc[kept], element[kept], rate[kept], at[kept], draw[kept]
@@ -101,29 +106,31 @@ def band_keys(registers: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def banded(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """key, node: one row per band of each row of `docs` (node, text as bytes) that has a word."""
-    schema = pa.schema([("node", pa.int64()), ("keys", pa.list_(pa.int64()))])
+def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
+    """node, digest, keys (of its bands), sketch, for each row of `docs` (node, digest, text as bytes) that has a word."""
+    schema = pa.schema([("node", pa.int64()), ("digest", pa.string()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BATCH_BYTES):
-            nodes, own, element, weight = [], [], [], []
-            for node, text in zip(batch["node"].to_pylist(), batch["text"], strict=True):
+            nodes, digests, own, element, weight = [], [], [], [], []
+            for node, digest, text in zip(
+                batch["node"].to_pylist(), batch["digest"].to_pylist(), batch["text"], strict=True
+            ):
                 found, counts = weighted(text.as_py(), size)
                 if len(found):
                     own.append(np.full(len(found), len(nodes)))
                     nodes.append(node)
+                    digests.append(digest)
                     element.append(found)
                     weight.append(counts)
             if nodes:
                 registers = signatures(
                     np.concatenate(own), np.concatenate(element), np.concatenate(weight), len(nodes), bands * rows
                 )
-                yield pa.record_batch([nodes, list(band_keys(registers, rows))], schema=schema)
+                sketches = [row.tobytes() for row in (registers & np.uint64(255)).astype(np.uint8)]
+                yield pa.record_batch([nodes, digests, list(band_keys(registers, rows)), sketches], schema=schema)
 
-    return docs.mapInArrow(signed, "node long, keys array<long>").select(
-        F.explode("keys").alias("key"), "node"
-    )
+    return docs.mapInArrow(sign, "node long, digest string, keys array<long>, sketch binary")
 
 
 def similarities(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -147,38 +154,142 @@ def similarities(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     )
 
 
-def links_of_buckets(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """node, pivot of pairs at or above the threshold: enough of them to connect, in every bucket of `members` (key,
-    node), all that are similar."""
-    spark = members.sparkSession
-    far = 1 - threshold
-    found = checked = None
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of equal bytes, for every row of `a` with every row of `b`."""
+    return (a[:, None, :] == b[None, :, :]).mean(axis=2, dtype=np.float32)
+
+
+def near_pairs(nodes: np.ndarray, sketches: np.ndarray, labels: np.ndarray | None, least: float) -> list[tuple[int, int]]:
+    """Pairs (larger, smaller) of one set to compare. Without labels: leaders with the members near them, each member
+    having one leader at least. With labels: all near pairs of different labels."""
+    out, size = [], max(1, 4_000_000 // max(1, sketches.size))
+    if labels is None:
+        waiting = np.arange(len(nodes))
+        while len(waiting) > 1:
+            leader = waiting[0]
+            near = agreement(sketches[leader : leader + 1], sketches)[0] >= least
+            near[leader] = False
+            mine = np.flatnonzero(near)
+            out += [(max(nodes[leader], x), min(nodes[leader], x)) for x in nodes[mine].tolist()]
+            waiting = waiting[1:][~near[waiting[1:]]]
+        return out
+    for at in range(0, len(nodes), size):
+        near = agreement(sketches[at : at + size], sketches) >= least
+        near &= labels[at : at + size, None] != labels[None, :]
+        for i, j in zip(*np.nonzero(near), strict=True):
+            if nodes[at + i] > nodes[j]:
+                out.append((int(nodes[at + i]), int(nodes[j])))
+    return out
+
+
+def pairs_of_sets(sets: DataFrame, known: DataFrame, labelled: bool, least: float) -> DataFrame:
+    """node, pivot to compare in `sets` (members: ids); `known`: node, sketch (and label)."""
+    schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64())])
+    gathered = (
+        sets.select(F.xxhash64("members").alias("set"), F.explode("members").alias("node"))
+        .join(known, "node")
+        .groupBy("set")
+        .agg(F.sort_array(F.collect_list(F.struct("node", *[c for c in known.columns if c != "node"]))).alias("of"))
+        .select(F.col("of.node").alias("node"), F.col("of.sketch").alias("sketch"), *([F.col("of.label").alias("label")] if labelled else []))
+    )
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for k in range(batch.num_rows):
+                nodes = np.array(batch["node"][k].as_py(), np.int64)
+                if len(nodes) < 2:
+                    continue
+                joined = b"".join(batch["sketch"][k].as_py())
+                labels = np.array(batch["label"][k].as_py(), np.int64) if labelled else None
+                sketches = np.frombuffer(joined, np.uint8).reshape(len(nodes), -1)
+                found.update(near_pairs(nodes, sketches, labels, least))
+            if found:
+                yield pa.record_batch([[int(p[i]) for p in found] for i in (0, 1)], schema=schema)
+
+    return gathered.mapInArrow(compared, "node long, pivot long").distinct()
+
+
+def pivot_rounds(members: DataFrame, sketches: DataFrame, texts: DataFrame, size: int, threshold: float, least: float, most: int):
+    """Compare the members (key, node) of buckets larger than `most` with pivots until what is left is smaller. Gives the
+    verified pairs, and the members left."""
+    far, checked, left = 1 - threshold, None, None
     while True:
-        pivots = (
-            members.groupBy("key")
-            .agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
-            .filter("n > 1")
-            .select("key", "pivot")
+        sized = members.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
+        rows = cut_lineage(
+            members.join(sized.filter(F.col("n") > most).select("key", "pivot"), "key").filter("node <> pivot")
+        )
+        small = cut_lineage(
+            members.join(sized.filter(F.col("n").between(2, most)).select("key"), "key", "left_semi")
         )
-        rows = cut_lineage(members.join(pivots, "key").filter("node <> pivot"))
+        left = small if left is None else left.unionByName(small)
         if rows.isEmpty():
-            break
+            return checked, left
         pairs = rows.select("node", "pivot").distinct()
+        estimated = cut_lineage(estimates(pairs, sketches))
+        near = estimated.filter(F.col("estimate") >= least).select("node", "pivot")
         if checked is not None:
-            pairs = pairs.join(checked, ["node", "pivot"], "left_anti")
-        fresh = cut_lineage(similarities(pairs, texts, size))
+            near = near.join(checked, ["node", "pivot"], "left_anti")
+        fresh = cut_lineage(similarities(near, texts, size))
         checked = fresh if checked is None else checked.unionByName(fresh)
-        close = fresh.filter(F.col("similarity") >= threshold).select("node", "pivot")
-        found = close if found is None else found.unionByName(close)
-        told = rows.join(checked, ["node", "pivot"]).withColumn("away", 1 - F.col("similarity"))
-        # Only buckets that hold somebody unlike the pivot go on.
-        unlike = told.filter(F.col("away") > far).groupBy("key").agg(F.min("away").alias("nearest"))
+        # A distance that was only estimated is taken as low as the estimate allows.
+        away = F.coalesce(1 - F.col("similarity"), 1 - F.col("estimate") - (threshold - least))
+        told = rows.join(
+            estimated.join(checked, ["node", "pivot"], "left").select("node", "pivot", "similarity", away.alias("away")),
+            ["node", "pivot"],
+        ).select("key", "node", "away", (F.coalesce("similarity", F.lit(0.0)) < threshold).alias("unlike"))
+        nearest = told.filter("unlike").groupBy("key").agg(F.min("away").alias("nearest"))
         members = cut_lineage(
-            told.join(unlike, "key")
-            .filter((F.col("away") > far) | (F.col("away") >= F.col("nearest") - far - 1e-9))
+            told.join(nearest, "key")
+            .filter(F.col("unlike") | (F.col("away") >= F.col("nearest") - far - 1e-9))
             .select("key", "node")
         )
-    return found if found is not None else spark.createDataFrame([], "node long, pivot long")
+
+
+def estimates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """node, pivot, estimate: share of equal bytes of the sketches."""
+    schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64()), ("estimate", pa.float64())])
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (
+                    np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                    for c in ("sketch", "other")
+                )
+                yield pa.record_batch([batch["node"], batch["pivot"], pa.array((a == b).mean(axis=1))], schema=schema)
+
+    others = sketches.select(F.col("node").alias("pivot"), F.col("sketch").alias("other"))
+    return (
+        pairs.join(sketches, "node")
+        .join(others, "pivot")
+        .select("node", "pivot", "sketch", "other")
+        .mapInArrow(told, "node long, pivot long, estimate double")
+    )
+
+
+def links_of_buckets(
+    members: DataFrame, sketches: DataFrame, texts: DataFrame, size: int, threshold: float, least: float, most: int
+) -> DataFrame:
+    """node, pivot of similar pairs: enough of them to connect all that are similar in a bucket of `members` (key, node)."""
+    checked, left = pivot_rounds(members, sketches, texts, size, threshold, least, most)
+    sets = cut_lineage(
+        left.groupBy("key").agg(F.sort_array(F.collect_set("node")).alias("members")).select("members").distinct()
+    )
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        fresh = pairs if checked is None else pairs.join(checked, ["node", "pivot"], "left_anti")
+        done = cut_lineage(similarities(fresh, texts, size))
+        return done if checked is None else checked.unionByName(done)
+
+    def similar() -> DataFrame:
+        return checked.filter(F.col("similarity") >= threshold).select("node", "pivot")
+
+    checked = verified(pairs_of_sets(sets, sketches, False, least))
+    labels = components(similar())
+    labelled = sketches.join(labels, "node", "left").select("node", "sketch", F.coalesce("label", "node").alias("label"))
+    checked = verified(pairs_of_sets(sets, labelled, True, least))
+    return similar()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -215,15 +326,17 @@ def near_groups(
     threshold: float = 0.8,
     bands: int = 32,
     rows: int = 4,
+    margin: float = 0.25,
+    largest_set: int = 1000,
 ) -> DataFrame:
     """One row per row of `docs`: id, class_id (the smallest id of its class), n_copies (rows of the same text).
 
     A class is connected by links of similarity `threshold` or more. With 32 bands of 4 a pair at 0.8 is missed
-    with probability 5e-8. Equal texts are one class, null and empty texts included (a null text is empty); texts
-    of blanks only have no shingle and are like their equals alone. A text of fewer than `shingle` words is one
-    shingle. Rows of one id are one document: if their texts differ, they share a class and the first by digest is
-    compared. Texts that only rows with a null id hold form classes of equal texts with a null class_id. No rows:
-    no rows.
+    with probability 5e-8, and its sketches agree in less than `threshold - margin` of 128 bytes with less than
+    1e-9. Equal texts are one class, null and empty texts included (a null text is empty); texts of blanks only
+    have no shingle and are like their equals alone. A text of fewer than `shingle` words is one shingle. Rows of
+    one id are one document: if their texts differ, they share a class and the first by digest is compared. Texts
+    that only rows with a null id hold form classes of equal texts with a null class_id. No rows: no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.sha2(text, 256).alias("digest"))
@@ -234,16 +347,23 @@ def near_groups(
     bytes_of = docs.select(
         F.col(id_col).cast("long").alias("node"), F.sha2(text, 256).alias("digest"), text.cast("binary").alias("text")
     ).filter("node IS NOT NULL")
-    keyed = banded(bytes_of.select("node", "text"), shingle, bands, rows)
-    # Only the documents that speak for their text are compared; repeated rows have the same keys.
-    members = cut_lineage(keyed.join(speakers.select("node"), "node", "left_semi").distinct())
+    # Only the documents that speak for their text are compared; repeated rows have the same signature.
+    signs = cut_lineage(signed(bytes_of.select("node", "digest", "text"), shingle, bands, rows))
+    signs = cut_lineage(signs.join(speakers, ["node", "digest"], "left_semi").drop("digest").distinct())
+    members = signs.select(F.explode("keys").alias("key"), "node")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = cut_lineage(members.join(shared, "key", "left_semi"))
-    needed = members.select("node").distinct().join(speakers, "node")
+    needed = cut_lineage(members.select("node").distinct())
+    sketches = cut_lineage(signs.select("node", "sketch").join(needed, "node", "left_semi"))
     texts = cut_lineage(
-        bytes_of.join(needed, ["node", "digest"]).groupBy("node", "text").agg(F.lit(1).alias("one")).drop("one")
+        bytes_of.join(needed.join(speakers, "node"), ["node", "digest"], "left_semi")
+        .groupBy("node", "digest")
+        .agg(F.first("text").alias("text"))
+        .drop("digest")
+    )
+    labels = components(
+        links_of_buckets(members, sketches, texts, shingle, threshold, threshold - margin, largest_set)
     )
-    labels = components(links_of_buckets(members, texts, shingle, threshold))
     classes = copies.join(labels, "node", "left").select(
         "digest", F.coalesce("label", "node").alias("class_id"), "n_copies"
     )
