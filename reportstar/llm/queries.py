@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportstar.llm import (
+    bwt_merge,
     cotraining,
     exact_dedup,
     mixing,
     near_dedup,
     packing,
     sharding,
+    suffix_automaton,
     token_counts,
     topk,
 )
@@ -59,6 +61,27 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe, with_tokens=False)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_automaton.remove_repeated_passages(table(spark, sf_dir, "documents"), window=13)
+    return cut.select(
+        F.col("id").alias("doc_id"),
+        F.col("n_units").alias("n_words"),
+        "n_removed",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = bwt_merge.remove_repeated_bytes(table(spark, sf_dir, "documents"), window=50)
+    return cut.select(
+        F.col("id").alias("doc_id"),
+        F.col("n_units").alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_dedup.near_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -110,8 +133,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_mixing": op6_mixing,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_quality": op8_quality,
     "op9_exact_topk": op9_exact_topk,
     "op10_sharding": op10_sharding,

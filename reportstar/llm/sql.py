@@ -28,7 +28,31 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """
 
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+    SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM d
+), windows AS (
+    SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 12], ' ')) AS code FROM starts
+), covering AS (
+    SELECT doc_id, pos FROM (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY code) AS least FROM windows)
+    WHERE least < doc_id
+), removed AS (
+    SELECT DISTINCT doc_id, pos + step AS pos FROM covering, (SELECT unnest(range(13)) AS step)
+), gone AS (
+    SELECT doc_id, list(pos) AS places FROM removed GROUP BY doc_id
+)
+SELECT doc_id,
+       len(words)::BIGINT AS n_words,
+       coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(
+           list_filter(words, lambda w, i: NOT coalesce(list_contains(places, i), false)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
+    "op4_substring_dedup": SUBSTRING_DEDUP,
     "op9_exact_topk": TOP_K,
 }
