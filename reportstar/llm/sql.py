@@ -51,8 +51,44 @@ SELECT doc_id,
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
+# The limit on repetition has a closed form: the exponent at which the smallest source is seen twice.
+MIXING = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS source, coalesce(doc_id::VARCHAR, '') AS name,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS tokens
+    FROM documents
+), held AS (
+    SELECT source, sum(tokens)::BIGINT AS held FROM d GROUP BY source
+), bounds AS (
+    SELECT sum(held)::DOUBLE AS total, max(held)::DOUBLE AS most, max(held)::DOUBLE / min(held) AS ratio FROM held
+), plan AS (
+    SELECT source, held, ceil(held / 4194304.0)::BIGINT AS blocks,
+           round(pow(held / total, x) * total * pow(most / total, 1 - x))::BIGINT AS target
+    FROM held, (SELECT *, CASE WHEN ratio <= 2 THEN 0 ELSE 1 - ln(2) / ln(ratio) END AS x FROM bounds)
+), coded AS (
+    SELECT d.*, target, target // held AS epochs, target % held AS rest,
+           ('0x' || md5(name)[1:12])::BIGINT % blocks AS block
+    FROM d JOIN plan USING (source)
+), last AS (
+    SELECT source, name, rest, sum(tokens) AS tokens,
+           md5('0:' || epochs || ':b:' || block)[1:16] || md5('0:' || epochs || ':d:' || name)[1:16] AS place
+    FROM coded GROUP BY ALL
+), again AS (
+    SELECT source, name, coalesce(sum(tokens) OVER (
+        PARTITION BY source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest AS taken
+    FROM last
+), copies AS (
+    SELECT coded.*, unnest(range(epochs + taken::BIGINT)) AS epoch
+    FROM coded JOIN again USING (source, name)
+)
+SELECT doc_id, source, tokens, target AS target_tokens, epoch,
+       md5('0:' || epoch || ':b:' || block)[1:16] || md5('0:' || epoch || ':d:' || name)[1:16] AS order_key
+FROM copies
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_substring_dedup": SUBSTRING_DEDUP,
+    "op6_mixing": MIXING,
     "op9_exact_topk": TOP_K,
 }
