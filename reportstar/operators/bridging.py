@@ -32,11 +32,14 @@ def resolve_members(
     members of a set collapse into one unknown row that keeps the smallest of them, and so
     do members that resolve to the same id.
 
+    Distinct pairs of key and set are hashed; taking the first set of a key would sort all
+    reports, as a list cannot be changed in place.
+
     The collapse is a window over the set and not a groupBy(set, id): both windows then
     need the rows by set only, which is how the merge left them if `lookup` is broadcast,
     and one exchange away if it is not.
     """
-    sets = reports.groupBy(key).agg(F.first(members).alias(members))
+    sets = reports.select(key, members).distinct()
     resolved = (
         sets.select(key, F.explode(members).alias("member"))
         .join(lookup, "member", "left")

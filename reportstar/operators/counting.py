@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.sinks.store import cut_lineage
+
 
 def rows_per_set(reports: DataFrame, keys: Sequence[str], measures: Sequence[str] = ()):
     return reports.groupBy(*keys).agg(
@@ -19,6 +21,28 @@ def rows_per_set(reports: DataFrame, keys: Sequence[str], measures: Sequence[str
     )
 
 
+def split_ids(
+    reports: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame | None]:
+    """(distinct ids per combination of `keys`, for ids with one combination only), and the distinct (report_id, keys)
+    of the others; None if there are none. A NULL id is no id.
+
+    The ids in several sets are written first: the join that picks them out then reads plain exchanges on both
+    sides, and an id that many sets share can be split.
+    """
+    pairs = reports.filter(F.col("report_id").isNotNull()).select("report_id", *keys).distinct()
+    several = cut_lineage(
+        pairs.groupBy("report_id").count().filter(F.col("count") > 1).select("report_id")
+    )
+    if several.isEmpty():
+        return pairs.groupBy(*keys).agg(F.count("*").alias("ids")), None
+    alone = pairs.join(several, "report_id", "left_anti")
+    return (
+        alone.groupBy(*keys).agg(F.count("*").alias("ids")),
+        pairs.join(several, "report_id", "left_semi"),
+    )
+
+
 def summarize_reports_by(
     reports: DataFrame,
     key: str,
@@ -34,25 +58,31 @@ def summarize_reports_by(
     share        sum of weight_factor, the fair-share count
     measures     sums of the given report columns, once per joined row
 
-    With unique report ids the distinct count is a sum of row counts per set. Otherwise the
-    same id may sit in two sets, and the distinct count is done in full.
+    An id that occurs with one set only is counted with its set; only ids in several sets meet the members one by
+    one. `unique_report_ids` says that there are no such ids and saves looking for them.
     """
-    # By set only: one exchange then serves this aggregation and the join after it.
-    named = members.repartition(key).groupBy(key, *by).agg(
+    named = members.groupBy(key, *by).agg(
         F.count("*").alias("_rows"), F.sum("weight_factor").alias("_weight")
     )
+    sets = rows_per_set(reports, [key], measures)
+    several = None
     if unique_report_ids:
-        joined = named.join(rows_per_set(reports, [key], measures), key)
-        distinct_reports = F.sum("reports")
+        sets = sets.withColumn("ids", F.col("reports"))
     else:
-        joined = (
-            reports.select("report_id", key, F.lit(1).cast("long").alias("reports"), *measures)
-            .join(named, key)
+        alone, several = split_ids(reports, [key])
+        sets = sets.join(alone, key, "left")
+    parts = sets.join(named, key).select(
+        *by,
+        F.coalesce("ids", F.lit(0)).alias("reports"),
+        (F.col("_rows") * F.col("reports")).alias("member_rows"),
+        (F.col("_weight") * F.col("reports")).alias("share"),
+        *((F.col("_rows") * F.col(m)).alias(m) for m in measures),
+    )
+    if several is not None:
+        met = several.join(members.select(key, *by), key).select(*by, "report_id").distinct()
+        parts = parts.unionByName(
+            met.select(*by, F.lit(1).cast("long").alias("reports")), allowMissingColumns=True
         )
-        distinct_reports = F.countDistinct("report_id")
-    return joined.groupBy(*by).agg(
-        distinct_reports.alias("reports"),
-        F.sum(F.col("_rows") * F.col("reports")).alias("member_rows"),
-        F.sum(F.col("_weight") * F.col("reports")).alias("share"),
-        *(F.sum(F.col("_rows") * F.col(m)).alias(m) for m in measures),
+    return parts.groupBy(*by).agg(
+        *(F.sum(c).alias(c) for c in ("reports", "member_rows", "share", *measures))
     )

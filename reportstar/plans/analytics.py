@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.operators.counting import rows_per_set, summarize_reports_by
+from reportstar.operators.counting import rows_per_set, split_ids, summarize_reports_by
 from reportstar.plans.pipeline import Star
 from reportstar.plans.views import adversary_targets, country_members, entity_members
 
@@ -126,21 +126,27 @@ def country_distribution(star: Star, scale: Mapping[str, int] = SEVERITY) -> Dat
         star.unique_report_ids,
         ["severity", "rated"],
     )
-    country_sets = (
-        star["fact_report"]
-        .select("country_group_key", "adversary_group_key")
-        .distinct()
+    links = star["bridge_adversary"].filter(KNOWN).select("adversary_group_key", "adversary_dim_id")
+    pairs = (
+        star["fact_report"].select("country_group_key", "adversary_group_key").distinct()
         .join(countries.select("country_group_key", "country_name"), "country_group_key")
         .select("country_name", "adversary_group_key")
         .distinct()
+        .join(links, "adversary_group_key")
+        .select("country_name", "adversary_dim_id")
     )
-    adversaries = (
-        country_sets.join(
-            star["bridge_adversary"].filter(KNOWN).select("adversary_group_key", "adversary_dim_id"),
-            "adversary_group_key",
+    _, several = ids_apart(star, ["country_group_key", "adversary_group_key"])
+    if several is not None:
+        # Reports of one id are one report: each country of the id meets each of its adversaries.
+        of_id = lambda key, members: (
+            several.join(members, key).select("report_id", members.columns[-1]).distinct()
         )
-        .groupBy("country_name")
-        .agg(F.countDistinct("adversary_dim_id").alias("unique_adversaries"))
+        named = of_id("country_group_key", countries.select("country_group_key", "country_name"))
+        pairs = pairs.unionByName(
+            named.join(of_id("adversary_group_key", links), "report_id").drop("report_id").distinct()
+        )
+    adversaries = pairs.groupBy("country_name").agg(
+        F.countDistinct("adversary_dim_id").alias("unique_adversaries")
     )
     return (
         reports.join(adversaries, "country_name", "left")
@@ -215,29 +221,31 @@ def sector_breakdown(star: Star) -> DataFrame:
 SET_PAIR = ["group_group_key", "adversary_group_key"]
 
 
-def _agreement_by_set_pair(star: Star) -> DataFrame:
-    """(pair of sets, reports, known adversary, named, attributed): the two views in a full
-    outer join, done once per distinct pair of sets and as a union that is summed up."""
-    pairs = rows_per_set(star["fact_report"], SET_PAIR)
+def ids_apart(star: Star, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct report ids per combination of `keys`, and (id, keys) of ids that have several."""
+    if star.unique_report_ids:
+        return rows_per_set(star["fact_report"], keys).withColumnRenamed("reports", "ids"), None
+    return split_ids(star["fact_report"], keys)
+
+
+def _agreement(star: Star, reports: DataFrame, by: list[str]) -> DataFrame:
+    """(by, known adversary, named, attributed) for `reports` (by, pair of sets): the two views in a full outer join,
+    done as a union that is summed up."""
 
     def side(bridge: str, key: str, named: bool) -> DataFrame:
         members = star[bridge].filter(KNOWN).select(key, "adversary_dim_id")
-        return pairs.join(members, key).select(
-            *SET_PAIR,
-            "reports",
+        return reports.join(members, key).select(
+            *by,
             F.col("adversary_dim_id").alias("adversary_id"),
-            F.lit(named).alias("named"),
+            F.lit(named).alias("named_in_report"),
             F.lit(not named).alias("attributed"),
         )
 
-    named = side("bridge_group_adversary", "group_group_key", True)
-    attributed = side("bridge_adversary", "adversary_group_key", False)
-    return (
-        named.unionByName(attributed)
-        .groupBy(*SET_PAIR, "reports", "adversary_id")
-        .agg(
-            F.max("named").alias("named_in_report"), F.max("attributed").alias("attributed")
-        )
+    both = side("bridge_group_adversary", "group_group_key", True).unionByName(
+        side("bridge_adversary", "adversary_group_key", False)
+    )
+    return both.groupBy(*by, "adversary_id").agg(
+        F.max("named_in_report").alias("named_in_report"), F.max("attributed").alias("attributed")
     )
 
 
@@ -247,30 +255,37 @@ def _with_adversary_name(star: Star, df: DataFrame) -> DataFrame:
 
 
 def attribution_agreement(star: Star) -> DataFrame:
-    """Per report and known adversary: named by the report, attributed by the registry."""
-    by_pair = _with_adversary_name(star, _agreement_by_set_pair(star)).drop("reports")
-    return (
-        star["fact_report"]
-        .select("report_id", *SET_PAIR)
-        .join(by_pair, SET_PAIR)
-        .select("report_id", "adversary_id", "adversary_name", "named_in_report", "attributed")
-    )
+    """Per report id and known adversary: named by the report, attributed by the registry. Reports without an id are
+    no one's."""
+    shown = ["report_id", "adversary_id", "adversary_name", "named_in_report", "attributed"]
+    alone, several = ids_apart(star, SET_PAIR)
+    by_pair = _with_adversary_name(star, _agreement(star, alone.select(*SET_PAIR), SET_PAIR))
+    reports = star["fact_report"].filter(F.col("report_id").isNotNull()).select("report_id", *SET_PAIR)
+    if several is None:
+        if not star.unique_report_ids:
+            reports = reports.distinct()
+        return reports.join(by_pair, SET_PAIR).select(shown)
+    once = reports.distinct().join(several.select("report_id").distinct(), "report_id", "left_anti")
+    many = _with_adversary_name(star, _agreement(star, several, ["report_id"]))
+    return once.join(by_pair, SET_PAIR).select(shown).unionByName(many.select(shown))
 
 
 def attribution_summary(star: Star) -> DataFrame:
+    """Per known adversary, distinct report ids by who names it."""
     named, attributed = F.col("named_in_report"), F.col("attributed")
 
-    def reports_where(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("reports")).otherwise(0))
-
-    totals = (
-        _agreement_by_set_pair(star)
-        .groupBy("adversary_id")
-        .agg(
-            reports_where(named & attributed).alias("agreed"),
-            reports_where(named & ~attributed).alias("named_only"),
-            reports_where(~named & attributed).alias("attributed_only"),
-        )
+    def ids_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("ids")).otherwise(0))
+
+    alone, several = ids_apart(star, SET_PAIR)
+    found = _agreement(star, alone, [*SET_PAIR, "ids"]).drop(*SET_PAIR)
+    if several is not None:
+        many = _agreement(star, several, ["report_id"]).withColumn("ids", F.lit(1).cast("long"))
+        found = found.unionByName(many.select(found.columns))
+    totals = found.groupBy("adversary_id").agg(
+        ids_where(named & attributed).alias("agreed"),
+        ids_where(named & ~attributed).alias("named_only"),
+        ids_where(~named & attributed).alias("attributed_only"),
     )
     return _with_adversary_name(star, totals).select(
         "adversary_id", "adversary_name", "agreed", "named_only", "attributed_only"

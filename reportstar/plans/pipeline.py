@@ -68,6 +68,7 @@ def build_star(
     the texts. The fact brings them together in the one shuffle that moves texts.
     """
     tables: dict[str, DataFrame] = {}
+    _mark_run(store, as_of, None)
     with ThreadPoolExecutor(parallel_models) as pool:
 
         def refresh(models: Mapping[str, Callable[[], DataFrame]]) -> None:
@@ -81,13 +82,14 @@ def build_star(
             """Overwritten by the next run, so that scratch tables do not pile up."""
             return lambda df: store.replace(f"scratch_{name}", df)
 
-        def staged_adversaries() -> DataFrame:
-            return staging.stage_adversaries(raw.adversary)
+        def adversaries_and_links() -> DataFrame:
+            staged = store.replace("stg_adversary", staging.stage_adversaries(raw.adversary))
+            tables["stg_adversary"] = staged
+            return staging.link_adversaries(staged)
 
         refresh(
             {
-                "stg_adversary": staged_adversaries,
-                "adversary_links": lambda: staging.link_adversaries(staged_adversaries()),
+                "adversary_links": adversaries_and_links,
                 "stg_entity": lambda: staging.stage_entities(raw.entity, raw.report, report_type),
                 "stg_report": lambda: fact.with_row_key(
                     staging.stage_report_fields(raw.report, report_type)
@@ -148,15 +150,25 @@ def build_star(
             }
         )
         star = Star(tables, unique_report_ids.result(), as_of)
-    known = reports.sparkSession.range(1).select(
-        F.lit(star.unique_report_ids).alias("unique_report_ids"), F.lit(as_of).alias("as_of")
+    _mark_run(store, as_of, star.unique_report_ids)
+    return star
+
+
+def _mark_run(store: Store, as_of: datetime, unique_report_ids: bool | None) -> None:
+    """What a reader must know of the run that wrote the tables; NULL while it is open. It is
+    the first table of a run and the last."""
+    known = store.spark.range(1).select(
+        F.lit(unique_report_ids).cast("boolean").alias("unique_report_ids"),
+        F.lit(as_of).alias("as_of"),
     )
     store.replace(STAR_INFO, known)
-    return star
 
 
 def load_star(store: Store) -> Star:
-    """The star of an earlier run, for sessions that only read."""
+    """The star of an earlier run, for sessions that only read. A run that has not ended, or
+    failed, leaves tables of different runs side by side and is refused."""
     known = store.read(STAR_INFO).first()
+    if known is None or known["unique_report_ids"] is None:
+        raise RuntimeError("the last build has not ended; build again before reading")
     tables = {name: store.read(name) for name in STAR_TABLES}
     return Star(tables, known["unique_report_ids"], known["as_of"])

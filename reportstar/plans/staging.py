@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportstar.functions import (
@@ -39,9 +39,29 @@ def of_type(raw_report: DataFrame, report_type: str) -> DataFrame:
     return raw_report.filter(F.col("report_type") == report_type)
 
 
+def merge_adversaries(raw_adversary: DataFrame) -> DataFrame:
+    """One row per adversary id: the smallest name, and its different lists put together, members once. Rows without
+    an id are left alone, and so are the lists of an id that has one row."""
+    lists = ("report_ids", "targeted_country")
+
+    def together(c: str) -> Column:
+        members = F.flatten(F.transform(F.sort_array(c), lambda text: F.split(text, PIPE)))
+        distinct = F.array_distinct(F.transform(members, lambda m: F.upper(F.trim(m))))
+        return F.when(F.size(c) > 1, F.array_join(distinct, "|")).otherwise(F.get(c, F.lit(0))).alias(c)
+
+    known = F.col("adversary_id").isNotNull()
+    merged = (
+        raw_adversary.filter(known)
+        .groupBy("adversary_id")
+        .agg(F.min("adversary").alias("adversary"), *(F.collect_set(c).alias(c) for c in lists))
+        .select("adversary_id", "adversary", *(together(c) for c in lists))
+    )
+    return merged.unionByName(raw_adversary.filter(~known).select(merged.columns))
+
+
 def stage_adversaries(raw_adversary: DataFrame) -> DataFrame:
     countries = tokens(F.col("targeted_country"), PIPE)
-    return raw_adversary.select(
+    return merge_adversaries(raw_adversary).select(
         "adversary_id",
         "adversary",
         tokens(F.col("report_ids"), PIPE).alias("member_reports"),

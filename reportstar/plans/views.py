@@ -6,6 +6,8 @@ the result once, on the group key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from reportstar.plans.dims import LABEL_COLUMNS
 from reportstar.plans.fact import GROUP_KEYS
 from reportstar.plans.keys import REPORT_LABELS
 from reportstar.plans.pipeline import LABEL_DIM_TABLES, Star
-from reportstar.sinks.store import replace_view
+from reportstar.sinks.store import CatalogStore, replace_view
 
 # Dimension -> column name in the report view.
 REPORT_VIEW_LABELS = {
@@ -207,6 +209,75 @@ VIEWS = {
 }
 
 
+REPORT_SHOWN = ", ".join(HEADER)
+
+
+def view_sql(table: Callable[[str], str]) -> dict[str, str]:
+    """SQL of the seven views over stored tables, for a catalog; `table` spells a table's name."""
+
+    def members(bridge: str, key: str, dim: str, fk: str, shown: str) -> str:
+        return (
+            f"SELECT {REPORT_SHOWN}, {shown}, weight_factor, is_unknown_member "
+            f"FROM {table('vw_report')} INNER JOIN {table(bridge)} USING ({key}) "
+            f"INNER JOIN {table(dim)} AS m ON m.id = {fk}"
+        )
+
+    fact = "id, report_id, title, description, actions, analysis, creation_date, publication_date, report_date"
+    labels = " ".join(
+        f"INNER JOIN (SELECT id AS {d}_id, {LABEL_COLUMNS[d]} AS {shown} "
+        f"FROM {table(LABEL_DIM_TABLES[d])}) USING ({d}_id)"
+        for d, shown in REPORT_VIEW_LABELS.items()
+    )
+    known = f"FROM {table('dim_entity')} WHERE id <> {UNKNOWN_ID}"
+    return {
+        "vw_report": f"SELECT {fact}, report_updated_at AS updated_at, "
+        + ", ".join(REPORT_VIEW_LABELS.values())
+        + f", {', '.join(GROUP_KEYS)} FROM {table('fact_report')} {labels}",
+        "vw_report_country": members(
+            "bridge_country", "country_group_key", "dim_country", "country_id", "country_id, country_name"
+        ),
+        "vw_report_entity": members(
+            "bridge_entity", "entity_group_key", "dim_entity", "entity_id",
+            "entity_id, name_en, name_native, registry_id, alt_id, sector, category, entity_type, "
+            "m.country AS entity_country, is_registered",
+        ),
+        "vw_report_group": members(
+            "bridge_group_adversary", "group_group_key", "dim_adversary", "adversary_dim_id",
+            "member_value AS group_label, m.id AS adversary_id, adversary_name",
+        ),
+        "vw_report_adversary": members(
+            "bridge_adversary", "adversary_group_key", "dim_adversary", "adversary_dim_id",
+            "m.id AS adversary_id, adversary_name",
+        ),
+        "vw_adversary_target_country": f"""
+            SELECT adversary_id, adversary_name, country_group_key, country_id, country_name, weight_factor,
+                   is_unknown_member,
+                   count(*) OVER (PARTITION BY adversary_id, country_group_key) AS total_targeted_countries
+            FROM {table('bridge_adversary_country')}
+            INNER JOIN (SELECT adversary_id, country_group_key, adversary_name
+                        FROM {table('dim_adversary')} WHERE id <> {UNKNOWN_ID})
+              USING (adversary_id, country_group_key)
+            INNER JOIN (SELECT id AS country_id, country_name FROM {table('dim_country')}) USING (country_id)
+            WHERE country_id <> {UNKNOWN_ID} AND NOT is_unknown_member""",
+        "vw_entity_coverage": f"""
+            SELECT stack(3, 'registered_entities', count_if(is_registered),
+                         'registered_entities_with_alt_id', count_if(is_registered AND alt_id IS NOT NULL),
+                         'label_only_entities', count_if(NOT is_registered)) AS (metric, value) {known}
+            UNION ALL SELECT 'unresolved_report_members', count_if(is_unknown_member)
+            FROM {table('bridge_entity')}
+            UNION ALL SELECT 'reports_with_no_known_entity', count(DISTINCT report_id)
+            FROM {table('fact_report')} LEFT SEMI JOIN
+              (SELECT entity_group_key FROM {table('bridge_entity')} WHERE is_unknown_member)
+              USING (entity_group_key)""",
+    }
+
+
+def create_catalog_views(store: CatalogStore) -> None:
+    """The seven views in the catalog of `store`, over its tables."""
+    for name, sql in view_sql(store.table).items():
+        store.create_view(name, sql)
+
+
 def create_views(star: Star) -> None:
     """Session views over the stored tables, so that SQL users find them by name."""
     for name, view in VIEWS.items():

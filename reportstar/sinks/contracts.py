@@ -77,6 +77,9 @@ CONTRACTS: dict[str, StructType] = {
     "bridge_adversary_country": _bridge(["country_group_key", "adversary_id"], "country_id"),
 }
 
+# Columns that the consumer's tables number themselves.
+GENERATED: dict[str, tuple[str, ...]] = {name: ("id",) for name in CONTRACTS if name.startswith("bridge_")}
+
 
 def conform(df: DataFrame, contract: StructType) -> DataFrame:
     """`df` in the column order and types of the contract. A value that does not fit its
@@ -87,5 +90,7 @@ def conform(df: DataFrame, contract: StructType) -> DataFrame:
 def overlong_keys(df: DataFrame, length: int = GROUP_KEY_LENGTH) -> DataFrame:
     """(column, rows): group keys longer than the consumer can hold; empty if all fit."""
     keys = [c for c in df.columns if c.endswith("_group_key")]
+    if not keys:
+        return df.sparkSession.createDataFrame([], "column string, rows long")
     counts = df.agg(*(F.count_if(F.length(c) > length).alias(c) for c in keys))
     return counts.unpivot([], keys, "column", "rows").filter("rows > 0")

@@ -15,15 +15,23 @@ MAX_PAGES = 8
 BATCH_SIZE = 10_000
 
 
-def schema_signature(schema: StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+def schema_differences(source: StructType, target: StructType) -> list[str]:
+    """What keeps `source` from being appended to `target`, column by column."""
+    ours = {f.name: f.dataType.simpleString() for f in source.fields}
+    theirs = {f.name: f.dataType.simpleString() for f in target.fields}
+    found = [f"{c}: not in the source" for c in theirs if c not in ours]
+    found += [f"{c}: not in the target" for c in ours if c not in theirs]
+    shared = [c for c in theirs if c in ours]
+    found += [f"{c}: {ours[c]} for {theirs[c]}" for c in shared if ours[c] != theirs[c]]
+    places = [c for c in ours if c in theirs]
+    found += [f"{a}: in the place of {b}" for a, b in zip(places, shared, strict=True) if a != b]
+    return found
 
 
 def verify_schema(source: StructType, target: StructType) -> None:
     """Columns must agree in name, type and order."""
-    have, want = schema_signature(source), schema_signature(target)
-    if have != want:
-        raise ValueError(f"schemas do not match\nsource: {have}\ntarget: {want}")
+    if found := schema_differences(source, target):
+        raise ValueError("the columns do not match: " + "; ".join(found))
 
 
 def page_count(

@@ -87,8 +87,8 @@ class TableStore:
     def read_if_exists(self, name: str) -> DataFrame | None:
         return _if_there(lambda: self.read(name))
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -127,5 +127,10 @@ class CatalogStore:
         return self.read(name)
 
 
+    def create_view(self, name: str, sql: str) -> None:
+        """A view of the catalog, for every session that shares it."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {sql}")
+
+
 def replace_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)

@@ -41,7 +41,7 @@ def derive_raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
         .join(part.select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     )
     return RawTables(
-        _reports(table("orders"), table("customer"), lines),
+        _reports(table("orders"), table("customer"), lines, table("documents")),
         _adversaries(lines),
         _entities(supplier, table("region")),
     )
@@ -52,7 +52,9 @@ def _campaign(brand: Column) -> Column:
     return F.concat(brand, F.lit("-"), block.cast("string"))
 
 
-def _reports(orders: DataFrame, customer: DataFrame, lines: DataFrame) -> DataFrame:
+def _reports(
+    orders: DataFrame, customer: DataFrame, lines: DataFrame, documents: DataFrame
+) -> DataFrame:
     supplier_key = F.col("l_suppkey").cast("string")
     per_order = lines.groupBy("l_orderkey").agg(
         F.min("p_type").alias("threat_type"),
@@ -65,7 +67,9 @@ def _reports(orders: DataFrame, customer: DataFrame, lines: DataFrame) -> DataFr
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     dmy = F.date_format("o_orderdate", "dd/MM/yyyy")
     mdy = F.date_format("o_orderdate", "MM/dd/yyyy")
-    no_text = F.lit(None).cast("string")
+    # Every document is the text of some reports: their order keys modulo the number of documents.
+    texts = documents.select("doc_id", "text")
+    document = key % F.lit(documents.count())
     return (
         orders.join(per_order, key == F.col("l_orderkey"), "left")
         .join(
@@ -73,6 +77,7 @@ def _reports(orders: DataFrame, customer: DataFrame, lines: DataFrame) -> DataFr
             F.col("o_custkey") == F.col("c_custkey"),
             "left",
         )
+        .join(texts, document == F.col("doc_id"), "left")
         .select(
             F.concat(
                 F.when(key % 50 == 0, F.lit("rpt-")).otherwise(F.lit("RPT-")), key.cast("string")
@@ -81,9 +86,9 @@ def _reports(orders: DataFrame, customer: DataFrame, lines: DataFrame) -> DataFr
             .otherwise(F.lit("threat"))
             .alias("report_type"),
             F.concat(F.lit("Order "), key.cast("string")).alias("title"),
-            no_text.alias("description"),
-            no_text.alias("actions"),
-            no_text.alias("analysis"),
+            F.when(key % 10 < 9, F.col("text")).alias("description"),
+            F.when(key % 8 == 1, F.col("text")).alias("actions"),
+            F.when(key % 8 == 5, F.col("text")).alias("analysis"),
             _case(
                 key % 6,
                 {0: stamp, 1: F.concat(dmy, F.lit(" 00:00:00")), 2: dmy, 3: mdy, 4: F.lit(" ")},

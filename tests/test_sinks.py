@@ -5,10 +5,12 @@ from conftest import AS_OF, rows_of, star_of
 from pyspark.errors import AnalysisException, ArithmeticException
 from pyspark.sql.types import StructType
 
+from reportstar.plans import views
 from reportstar.plans.analytics import weighted_country
 from reportstar.plans.pipeline import STAR_TABLES, load_star
 from reportstar.sinks import jdbc
-from reportstar.sinks.contracts import CONTRACTS, conform, overlong_keys
+from reportstar.sinks.contracts import CONTRACTS, GENERATED, conform, overlong_keys
+from reportstar.sinks.export import export_star
 from reportstar.sinks.store import CatalogStore, TableStore, cut_lineage, shared_folder
 
 
@@ -32,6 +34,42 @@ def test_schemas_must_agree_in_name_type_and_order():
             jdbc.verify_schema(schema("a bigint, b string"), schema(other))
 
 
+def test_what_differs_is_told_by_column():
+    schema = StructType.fromDDL
+    assert jdbc.schema_differences(schema("a int, b string, c int"), schema("b string, a long, d int")) == [
+        "d: not in the source", "c: not in the target", "a: int for bigint",
+        "a: in the place of b", "b: in the place of a",
+    ]
+
+
+def consumer_schema(name):
+    """What the consumer's table has: the contract, and the columns it numbers itself."""
+    own = "".join(f"{c} bigint, " for c in GENERATED.get(name, ()))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CONTRACTS[name].fields)
+    return StructType.fromDDL(own + columns)
+
+
+def test_the_star_is_exported_as_a_whole(star, monkeypatch):
+    written = {}
+    monkeypatch.setattr(jdbc, "target_schema", lambda spark, url, name, options: consumer_schema(name))
+    monkeypatch.setattr(jdbc, "append_pages", lambda df, url, name, *rest: written.update({name: df.schema}))
+    assert export_star(star, "url", {}) == dict.fromkeys(CONTRACTS, 1)
+    assert len(written) == 14 and written == dict(CONTRACTS)
+    assert sum(len(GENERATED.get(n, ())) for n in CONTRACTS) == 5
+
+
+def test_nothing_is_exported_if_one_table_does_not_fit(star, monkeypatch):
+    written = []
+    monkeypatch.setattr(jdbc, "append_pages", lambda *a: written.append(a))
+    wrong = {"bridge_adversary_country": StructType.fromDDL("id bigint, other string")}
+    monkeypatch.setattr(
+        jdbc, "target_schema", lambda spark, url, name, options: wrong.get(name, consumer_schema(name))
+    )
+    with pytest.raises(ValueError, match="bridge_adversary_country: other: not in the source"):
+        export_star(star, "url", {})
+    assert written == []
+
+
 def test_export_checks_before_it_writes(spark, monkeypatch):
     """Without a database: what the export would write, and that it stops on a mismatch."""
     df = spark.range(250_000)
@@ -99,7 +137,10 @@ def test_star_in_a_catalog_schema_is_built_twice_and_loaded(spark):
     store = CatalogStore(spark, "gold")
     for ids in (["1"], ["1", "2"]):
         star_of(
-            spark, store, reports=[{"id": i, "country": f"C{i}"} for i in ids],
+            spark, store,
+            reports=[{"id": i, "country": f"C{i}", "entity_ids": "E1|x", "related_groups": "A"} for i in ids],
+            adversaries=[{"adversary_id": "A", "report_ids": "1", "targeted_country": "C1"}],
+            entities=[{"registry_id": "E1"}],
         )
     star = load_star(CatalogStore(spark, "gold"))
     assert star.unique_report_ids and star.as_of == AS_OF
@@ -110,6 +151,13 @@ def test_star_in_a_catalog_schema_is_built_twice_and_loaded(spark):
     assert rows_of(weighted_country(star), "country_name", "weighted_reports") == [
         ("C1", 1.0), ("C2", 1.0),
     ]
+    views.create_catalog_views(store)
+    other = spark.newSession()
+    for name, view in views.VIEWS.items():
+        stored = other.sql(f"SELECT * FROM gold.{name}")
+        lazy = view(star)
+        assert sorted(stored.columns) == sorted(lazy.columns)
+        assert rows_of(stored, *lazy.columns) == rows_of(lazy, *lazy.columns), name
     spark.sql("DROP SCHEMA gold CASCADE")
 
 

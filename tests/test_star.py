@@ -12,7 +12,7 @@ import oracle
 from __spark_entry__ import BUILD_TIMES, comparable
 from check import difference
 from reportstar.plans import analytics, quality, views
-from reportstar.plans.pipeline import build_star
+from reportstar.plans.pipeline import STAR_TABLES, build_star, load_star
 from reportstar.sinks.store import TableStore
 
 BRIDGES = (*quality.REPORT_BRIDGES, "bridge_adversary_country")
@@ -32,9 +32,6 @@ QUESTIONS = {
     "dq_weight_sum": quality.weight_sums,
     "dq_uniqueness": quality.uniqueness,
     "dq_member_coverage": quality.member_coverage,
-}
-# These join report views on report_id in SQL, so they need unique ids to mean the same.
-BY_REPORT_ID = {
     "bi_country_distribution": analytics.country_distribution,
     "bi_attribution_agreement": analytics.attribution_agreement,
     "bi_attribution_summary": analytics.attribution_summary,
@@ -80,6 +77,11 @@ def skewed(repeat_ids: bool) -> dict[str, list[dict]]:
             },
             {"adversary_id": "a3", "adversary": "Three", "report_ids": "R5|R7"},
             {"adversary_id": "A4", "adversary": "One", "targeted_country": "Iraq|Oman"},
+            # Rows of an id that is there already: lists are put together.
+            {"adversary_id": "A4", "adversary": "Four", "targeted_country": "oman|Yemen", "report_ids": "R3"},
+            {"adversary_id": "A4", "targeted_country": "", "report_ids": "R3|R9|R10"},
+            {"adversary_id": "A2", "report_ids": "R1"},
+            {"adversary": "nobody", "report_ids": "R1"},
         ],
         "entities": [
             {"registry_id": "E1", "name_en": "n", "name_native": "name1", "sector": "s"},
@@ -139,8 +141,7 @@ def test_views(both):
 def test_questions(both):
     star, db, repeated = both
     assert star.unique_report_ids is not repeated
-    questions = QUESTIONS if repeated else {**QUESTIONS, **BY_REPORT_ID}
-    assert differences(star, db, {n: (q, ()) for n, q in questions.items()}) == {}
+    assert differences(star, db, {n: (q, ()) for n, q in QUESTIONS.items()}) == {}
 
 
 def test_full_counts_equal_summed_counts_on_unique_ids(both):
@@ -156,6 +157,54 @@ def test_full_counts_equal_summed_counts_on_unique_ids(both):
         assert rows_of(ours, *ours.columns) == rows_of(question(full), *ours.columns)
 
 
+def test_repeated_adversary_rows_are_one_adversary(spark):
+    star = star_of(
+        spark,
+        reports=[{"id": "1", "related_groups": "A"}, {"id": "2"}],
+        adversaries=[
+            {"adversary_id": "A", "adversary": "b", "report_ids": "1", "targeted_country": "Oman"},
+            {"adversary_id": "A", "adversary": "a", "report_ids": "2", "targeted_country": "Qatar|oman"},
+        ],
+    )
+    assert rows_of(star["dim_adversary"].filter("id > 0"), "id", "adversary_name") == [(1, "a")]
+    assert rows_of(star["adversary_links"], "report_id", "adversary_ids") == [("1", ["A"]), ("2", ["A"])]
+    assert rows_of(star["bridge_adversary_country"], "member_value", "weight_factor") == [("OMAN", 0.5), ("QATAR", 0.5)]
+    weights = views.vw_report_adversary(star).groupBy("report_id").sum("weight_factor")
+    assert rows_of(weights, *weights.columns) == [("1", 1.0), ("2", 1.0)]
+    assert {r[0] for r in quality.uniqueness(star).select("repeated_keys").collect()} == {0}
+
+
+def test_weight_sum_sees_a_repeated_dimension_row(spark):
+    star = star_of(spark, reports=[{"id": "1", "country": "Oman"}])
+    twice = star["dim_country"].unionByName(star["dim_country"].filter("id = 1"))
+    broken = star.__class__({**star.tables, "dim_country": twice}, True, star.as_of)
+    off = dict(rows_of(quality.weight_sums(broken), "bridge", "reports_off"))
+    assert off["bridge_country"] == 1 and off["bridge_entity"] == 0
+
+
+@pytest.mark.parametrize("stop", [*STAR_TABLES, "scratch_fact_positions"])
+def test_a_build_that_stops_is_not_read_as_a_good_one(spark, tmp_path_factory, stop):
+    """A second build on repeated ids breaks at each table in turn."""
+
+    class Breaking(TableStore):
+        def replace(self, name, df, *rest):
+            if name == stop:
+                raise OSError(name)
+            return super().replace(name, df, *rest)
+
+        def append(self, name, df, *rest, **named):
+            if name == stop:
+                raise OSError(name)
+            return super().append(name, df, *rest, **named)
+
+    root = str(tmp_path_factory.mktemp("broken"))
+    store = Breaking(spark, root)
+    with pytest.raises(OSError):
+        star_of(spark, store, reports=[{"id": "1", "country": "Oman"}] * 3)
+    with pytest.raises(RuntimeError, match="not ended"):
+        load_star(TableStore(spark, root))
+
+
 def test_create_views_for_sql(both, spark):
     star, _, _ = both
     views.create_views(star)
