@@ -121,11 +121,14 @@ def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast):
     assert len(single) == 2 and "_rows" in single[1].splitlines()[1]
 
 
-def test_bridge_needs_one_exchange_if_the_lookup_is_broadcast(spark):
+def test_bridge_exchanges_distinct_sets_only_and_hashes_them(spark):
+    """One exchange that makes the sets distinct, one of these by key; reports are not sorted."""
     reports = spark.createDataFrame([("k", ["a", "b"])], "k string, m array<string>")
     lookup = spark.createDataFrame([("a", 1)], "member string, id long")
     plan = plan_of(resolve_members(reports, "k", "m", F.broadcast(lookup), "id"))
-    assert exchanges(plan) == 1
+    assert exchanges(plan) == 2
+    below = plan[plan.index("Generate explode") :]
+    assert "SortAggregate" not in below and "Sort [" not in below and below.count("HashAggregate") == 2
 
 
 def test_bridge_needs_one_more_on_each_side_if_not(spark, no_broadcast):
@@ -134,6 +137,25 @@ def test_bridge_needs_one_more_on_each_side_if_not(spark, no_broadcast):
     assert exchanges(plan_of(resolve_members(reports, "k", "m", lookup, "id"))) == 4
 
 
+def test_distinct_counts_with_repeated_ids_split_the_hot_set(spark, small_partitions, skewed_star):
+    """Every id on two reports with different sets, a third of all on one set."""
+    repeated = skewed_star["fact_report"].withColumns(
+        {
+            "report_id": F.concat(F.lit("R"), (F.col("id") % 10000).cast("string")),
+            "country_group_key": F.when(F.col("id") < 10000, F.col("country_group_key")).otherwise(
+                F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))
+            ),
+        }
+    )
+    store = TableStore(spark)
+    tables = {**skewed_star.tables, "fact_report": store.replace("fact_report", repeated)}
+    question = analytics.weighted_country(Star(tables, False, AS_OF))
+    assert "country_group_key" in split_joins(question)
+    rows = tables["fact_report"].join(tables["bridge_country"], "country_group_key")
+    want = rows.groupBy("country_id").agg(F.countDistinct("report_id")).collect()
+    assert sorted(r["report_count"] for r in question.collect()) == sorted(r[1] for r in want)
+
+
 @pytest.fixture
 def small_partitions(spark, no_broadcast):
     """Thresholds of the adaptive skew join scaled down to the size of the test data."""
