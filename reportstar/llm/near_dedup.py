@@ -173,12 +173,16 @@ def near_pairs(nodes: np.ndarray, sketches: np.ndarray, labels: np.ndarray | Non
             out += [(max(nodes[leader], x), min(nodes[leader], x)) for x in nodes[mine].tolist()]
             waiting = waiting[1:][~near[waiting[1:]]]
         return out
-    for at in range(0, len(nodes), size):
-        near = agreement(sketches[at : at + size], sketches) >= least
-        near &= labels[at : at + size, None] != labels[None, :]
+    # A pair of different labels has a member outside the most common label.
+    kinds, counts = np.unique(labels, return_counts=True)
+    others = np.flatnonzero(labels != kinds[counts.argmax()])
+    for at in range(0, len(others), size):
+        rows = others[at : at + size]
+        near = agreement(sketches[rows], sketches) >= least
+        near &= labels[rows, None] != labels[None, :]
         for i, j in zip(*np.nonzero(near), strict=True):
-            if nodes[at + i] > nodes[j]:
-                out.append((int(nodes[at + i]), int(nodes[j])))
+            a, b = int(nodes[rows[i]]), int(nodes[j])
+            out.append((max(a, b), min(a, b)))
     return out
 
 
@@ -327,7 +331,7 @@ def near_groups(
     bands: int = 32,
     rows: int = 4,
     margin: float = 0.25,
-    largest_set: int = 1000,
+    largest_set: int = 20_000,
 ) -> DataFrame:
     """One row per row of `docs`: id, class_id (the smallest id of its class), n_copies (rows of the same text).
 
