@@ -92,14 +92,17 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 12) -> np.ndarray:
     """Weights (the last is the constant) of a ridge logistic regression, by Newton's method."""
-    full = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    w = np.zeros(full.shape[1])
-    penalty = np.full(full.shape[1], ridge)
+    w = np.zeros(x.shape[1] + 1)
+    penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
-        p = sigmoid(full @ w)
-        slope = full.T @ (p - y) + penalty * w
-        curve = (full * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ full + np.diag(penalty)
+        slope, curve = penalty * w, np.diag(penalty)
+        for at in range(0, len(x), 1000):  # in blocks, so that memory is the rows themselves
+            part = x[at : at + 1000].astype(np.float64)
+            part = np.hstack([part, np.ones((len(part), 1))])
+            p = sigmoid(part @ w)
+            slope += part.T @ (p - y[at : at + 1000])
+            curve += (part * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ part
         move = np.linalg.solve(curve, slope)
         w -= move
         if np.abs(move).max() < 1e-6:
