@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportstar.operators.bridging import UNKNOWN_ID
@@ -89,16 +89,23 @@ def unknown_rates(star: Star) -> DataFrame:
 
 def freshness(star: Star, now: datetime) -> DataFrame:
     """Age of the last refresh and of the newest member of every dimension, and of the last
-    report update in the fact."""
+    report update in the fact. The unknown member is as old as the build and counts only if
+    there is no other."""
 
-    def age(c: str) -> F.Column:
-        return F.unix_timestamp(F.lit(now)) - F.unix_timestamp(F.max(c))
+    def since(moment: Column) -> Column:
+        return F.unix_timestamp(F.lit(now)) - F.unix_timestamp(moment)
+
+    def age(c: str) -> Column:
+        return since(F.max(c))
+
+    member = F.max(F.when(F.col("id") != UNKNOWN_ID, F.col("created_at")))
+    newest = since(F.coalesce(member, F.max("created_at")))
 
     dims = [
         star[name].agg(
             F.lit(name).alias("table"),
             age("updated_at").alias("refresh_age_seconds"),
-            age("created_at").alias("newest_age_seconds"),
+            newest.alias("newest_age_seconds"),
         )
         for name in DIMENSIONS
     ]
