@@ -1,8 +1,9 @@
 """Best-fit packing of token sequences with a fixed number of open bins.
 
-Each task reads its documents once and packs them as they come. Open bins are kept by free space in a bitset
-(an integer whose bit f says that a bin with f free places is open): the best fit is the lowest set bit at or
-above the length. If nothing fits and all bins are open, the fullest closes. Memory is the open bins only.
+Each task reads its documents once and packs them as they come, looking a bounded window ahead: of each window the
+longest pieces are placed first. Open bins are kept by free space in a bitset (an integer whose bit f says that a
+bin with f free places is open): the best fit is the lowest set bit at or above the length. If nothing fits and all
+bins are open, the fullest closes. Memory is the open bins and one window.
 """
 
 from __future__ import annotations
@@ -17,14 +18,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.llm.hashing import small_batches
+
 Encoder = Callable[[list[str]], list[list[int]]]
 PACKED = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 )
 LONG_TEXT = 100_000
+AHEAD_BYTES = 8_000_000
 SPECIAL = "<|endoftext|>"
-# The special token of the vocabulary, and the id that ends a document.
-SPECIAL_ID, END = 50256, 2
+# Fixed value: the id that ends a document.
+END = 2
 
 
 def byte_bpe_encoder(ranks_path: str, json_path: str) -> Encoder:
@@ -100,16 +104,17 @@ def pack(
     encoder: Callable[[], Encoder],
     capacity: int = 1024,
     open_bins: int = 512,
+    ahead: int = 1024,
     id_col: str = "doc_id",
     text_col: str = "text",
     with_tokens: bool = True,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and tokens).
 
-    encoder: called once per task, gives the function from texts to ids. Every document is its ids and the
-    end id. A sequence is packed by one task: its id is the partition's number and a count, so a rerun of the
-    task gives the same. Null and empty texts are the end id alone; repeated rows are packed each; a null id
-    stays null. No rows: no rows.
+    encoder: called once per task, gives the function from texts to ids. Every document is its ids and the end id.
+    A window is at most `ahead` documents. A sequence is packed by one task: its id is the partition's number and a
+    count, so a rerun of the task gives the same. Null and empty texts are the end id alone; repeated rows are packed
+    each; a null id stays null. No rows: no rows.
     """
     fields = [
         ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -120,18 +125,21 @@ def pack(
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bins = encoder(), OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = []
+        for batch in small_batches(batches, "text", AHEAD_BYTES):
+            for at in range(0, batch.num_rows, ahead):
+                part = batch.slice(at, ahead)
+                pieces = []
                 encoded = encode(part["text"].to_pylist())
                 for doc, ids in zip(part["id"].to_pylist(), encoded, strict=True):
                     tokens = np.array([*ids, END], "<u4")
                     for piece, (start, length) in enumerate(cut(len(tokens), capacity)):
-                        held = tokens[start : start + length]
-                        name, offset = bins.place(length)
-                        row = (doc, piece, start, length, zlib.crc32(held.tobytes()), base + name, offset)
-                        rows.append((*row, held.view("<i4")) if with_tokens else row)
+                        pieces.append((doc, piece, start, length, tokens[start : start + length]))
+                places = {i: bins.place(pieces[i][3]) for i in sorted(range(len(pieces)), key=lambda i: -pieces[i][3])}
+                rows = []
+                for i, (doc, piece, start, length, held) in enumerate(pieces):
+                    name, offset = places[i]
+                    row = (doc, piece, start, length, zlib.crc32(held.tobytes()), base + name, offset)
+                    rows.append((*row, held.view("<i4")) if with_tokens else row)
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)],
                     schema=schema,
