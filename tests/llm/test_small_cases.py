@@ -175,7 +175,6 @@ def test_overfull_ranges_are_split(spark):
     total = keyed.agg(F.sum("size")).first()[0]
     for row in counted.collect():
         assert row["size"] / total / 2 + row["n"] / 4000 / 2 <= 2 / 20
-        assert row["range"] == sum(s <= k for s in splitters for k in [keyed.groupBy().agg(F.min("key")).first()[0]]) or True
 
 
 def test_no_documents_no_shards(nothing):
@@ -288,7 +287,7 @@ def test_best_fit_and_the_fullest_closes():
     assert bins.place(7) == (2, 0)
     assert bins.place(9) == (3, 0)  # two were open: bin 2, the fullest, closed
     assert bins.place(3) == (0, 6)
-    assert bins.place(1) == (0, 9) or bins.place(1)
+    assert bins.place(1) == (0, 9)
 
 
 def test_packing_is_tight():
@@ -476,7 +475,6 @@ def test_near_groups_of_every_size(spark, largest):
 
 
 def test_probability_jaccard_and_its_estimate():
-    rng = np.random.default_rng(0)
     a, b = near_dedup.weighted(words(900, 1, 60).encode(), 2), near_dedup.weighted((words(600, 1, 60) + words(300, 2, 60)).encode(), 2)
     x, y = dict(zip(a[0].tolist(), a[1])), dict(zip(b[0].tolist(), b[1]))
     direct = sum(
@@ -487,7 +485,6 @@ def test_probability_jaccard_and_its_estimate():
         np.repeat([0, 1], [len(a[0]), len(b[0])]), np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), 2, 4096
     )
     assert (registers[0] == registers[1]).mean() == pytest.approx(direct, abs=0.03)
-    del rng
 
 
 # Mixing
