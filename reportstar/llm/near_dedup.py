@@ -5,12 +5,12 @@ registers of the signature; a register keeps the first to arrive. Processes stop
 registers are filled, so a document costs about m ln m arrivals beside one per shingle. Two registers agree
 with the probability Jaccard similarity of the documents.
 
-Bands of registers make buckets. One byte of every register is kept as a sketch: pairs of a bucket whose sketches
-agree too little cannot be similar, all others are compared exactly on their texts.
+Bands of registers make buckets. The documents of shared buckets get a sketch, one bit of each of 1024 registers: pairs
+whose sketches agree too little cannot be similar, all others are compared exactly on their texts.
 
 * Buckets of bounded size become distinct sets of documents (near copies meet in many bands, but once as a set). In a
-  set, leaders are compared with the members near them, which joins the copies of a text into one component; then all
-  pairs of a set that lie near and are still apart are compared.
+  set, leaders are compared with the members near them, then members with those most alike in another component; this
+  joins the copies of a text. Then all pairs of a set that lie near and are still apart are compared.
 * A larger bucket has all members compared with one pivot. What is not similar to it stays for the next round, along with
   the members that could still be similar to one of those: the distance is a metric, so a pair whose distances to the
   pivot differ by more than the threshold needs no comparison. A bucket that becomes small goes the way of the others.
@@ -29,6 +29,7 @@ from reportstar.llm.hashing import mixed, small_batches, word_hashes
 from reportstar.sinks.store import cut_lineage
 
 BATCH_BYTES = 4_000_000
+BEST_ROUNDS = 2
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,31 +107,49 @@ def band_keys(registers: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """node, digest, keys (of its bands), sketch, for each row of `docs` (node, digest, text as bytes) that has a word."""
-    schema = pa.schema([("node", pa.int64()), ("digest", pa.string()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
+Signed = tuple[pa.RecordBatch, np.ndarray]
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", BATCH_BYTES):
-            nodes, digests, own, element, weight = [], [], [], [], []
-            for node, digest, text in zip(
-                batch["node"].to_pylist(), batch["digest"].to_pylist(), batch["text"], strict=True
-            ):
+
+def signatures_of(batches: Iterator[pa.RecordBatch], size: int, m: int) -> Iterator[Signed]:
+    """Rows and their registers, for rows (of `text` as bytes) that have a word; a few documents at a time, as many as
+    fit the arrivals of `m` registers."""
+    most = max(1, int(1_500_000 / (m * (np.log(m) + 4))))
+    for batch in small_batches(batches, "text", BATCH_BYTES):
+        for at in range(0, batch.num_rows, most):
+            rows, own, element, weight = [], [], [], []
+            for k, text in enumerate(batch["text"].slice(at, most)):
                 found, counts = weighted(text.as_py(), size)
                 if len(found):
-                    own.append(np.full(len(found), len(nodes)))
-                    nodes.append(node)
-                    digests.append(digest)
+                    own.append(np.full(len(found), len(rows)))
+                    rows.append(at + k)
                     element.append(found)
                     weight.append(counts)
-            if nodes:
-                registers = signatures(
-                    np.concatenate(own), np.concatenate(element), np.concatenate(weight), len(nodes), bands * rows
-                )
-                sketches = [row.tobytes() for row in (registers & np.uint64(255)).astype(np.uint8)]
-                yield pa.record_batch([nodes, digests, list(band_keys(registers, rows)), sketches], schema=schema)
+            if rows:
+                joined = (np.concatenate(x) for x in (own, element, weight))
+                yield batch.take(pa.array(rows)), signatures(*joined, len(rows), m)
+
+
+def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
+    """node, digest, keys (of its bands), for each row of `docs` (node, digest, text as bytes) that has a word."""
+    schema = pa.schema([("node", pa.int64()), ("digest", pa.string()), ("keys", pa.list_(pa.int64()))])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, registers in signatures_of(batches, size, bands * rows):
+            yield pa.record_batch([batch["node"], batch["digest"], list(band_keys(registers, rows))], schema=schema)
+
+    return docs.mapInArrow(sign, "node long, digest string, keys array<long>")
 
-    return docs.mapInArrow(sign, "node long, digest string, keys array<long>, sketch binary")
+
+def sketched(texts: DataFrame, size: int, bits: int) -> DataFrame:
+    """node, sketch: one bit of each of `bits` registers, of `texts` (node, text as bytes)."""
+    schema = pa.schema([("node", pa.int64()), ("sketch", pa.binary())])
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, registers in signatures_of(batches, size, bits):
+            packed = np.packbits((mixed(registers) & np.uint64(1)).astype(np.uint8), axis=1)
+            yield pa.record_batch([batch["node"], [row.tobytes() for row in packed]], schema=schema)
+
+    return texts.mapInArrow(sketch, "node long, sketch binary")
 
 
 def similarities(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -155,46 +174,66 @@ def similarities(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal bytes, for every row of `a` with every row of `b`."""
-    return (a[:, None, :] == b[None, :, :]).mean(axis=2, dtype=np.float32)
+    """Estimated similarity by sketches (words of 64 bits in the last axis): a bit agrees with probability (1 + s) / 2."""
+    unlike = np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    return 1 - 2 * unlike / (64 * a.shape[-1])
+
+
+Known = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def near_pairs(nodes: np.ndarray, sketches: np.ndarray, labels: np.ndarray | None, least: float) -> list[tuple[int, int]]:
-    """Pairs (larger, smaller) of one set to compare. Without labels: leaders with the members near them, each member
-    having one leader at least. With labels: all near pairs of different labels."""
-    out, size = [], max(1, 4_000_000 // max(1, sketches.size))
-    if labels is None:
+def near_pairs(
+    nodes: np.ndarray, sketches: np.ndarray, known: Known | None, least: float, far: float, best: bool
+) -> list[tuple[int, int]]:
+    """Pairs (larger, smaller) of one set to compare. Without `known`: leaders with the members near them, each member
+    having one leader at least. With it (label, leader and exact distance to it, by member): all near pairs of
+    different labels, but for those whose distances to one leader differ by more than `far`; `best`: of these, the one
+    most alike for each member outside the most common label."""
+    out = []
+    if known is None:
         waiting = np.arange(len(nodes))
         while len(waiting) > 1:
             leader = waiting[0]
-            near = agreement(sketches[leader : leader + 1], sketches)[0] >= least
+            near = agreement(sketches[leader], sketches) >= least
             near[leader] = False
             mine = np.flatnonzero(near)
             out += [(max(nodes[leader], x), min(nodes[leader], x)) for x in nodes[mine].tolist()]
             waiting = waiting[1:][~near[waiting[1:]]]
         return out
+    labels, leaders, away = known
     # A pair of different labels has a member outside the most common label.
     kinds, counts = np.unique(labels, return_counts=True)
     others = np.flatnonzero(labels != kinds[counts.argmax()])
+    size = max(1, 500_000 // max(1, sketches.size))
     for at in range(0, len(others), size):
         rows = others[at : at + size]
-        near = agreement(sketches[rows], sketches) >= least
-        near &= labels[rows, None] != labels[None, :]
+        alike = agreement(sketches[rows, None], sketches[None])
+        near = (alike >= least) & (labels[rows, None] != labels[None, :])
+        same = leaders[rows, None] == leaders[None, :]
+        near &= ~(same & (np.abs(away[rows, None] - away[None, :]) > far + 1e-9))
+        if best:
+            first = np.where(near, alike, -1).argmax(axis=1)
+            only = np.zeros_like(near)
+            only[np.arange(len(rows)), first] = True
+            near &= only
         for i, j in zip(*np.nonzero(near), strict=True):
             a, b = int(nodes[rows[i]]), int(nodes[j])
             out.append((max(a, b), min(a, b)))
     return out
 
 
-def pairs_of_sets(sets: DataFrame, known: DataFrame, labelled: bool, least: float) -> DataFrame:
-    """node, pivot to compare in `sets` (members: ids); `known`: node, sketch (and label)."""
+def pairs_of_sets(
+    sets: DataFrame, known: DataFrame, least: float, far: float, best: bool = False
+) -> DataFrame:
+    """node, pivot to compare in `sets` (members: ids); `known`: node, sketch (and label, leader, away)."""
     schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64())])
+    more = [c for c in ("label", "leader", "away") if c in known.columns]
     gathered = (
         sets.select(F.xxhash64("members").alias("set"), F.explode("members").alias("node"))
         .join(known, "node")
         .groupBy("set")
-        .agg(F.sort_array(F.collect_list(F.struct("node", *[c for c in known.columns if c != "node"]))).alias("of"))
-        .select(F.col("of.node").alias("node"), F.col("of.sketch").alias("sketch"), *([F.col("of.label").alias("label")] if labelled else []))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "sketch", *more))).alias("of"))
+        .select(*(F.col(f"of.{c}").alias(c) for c in ("node", "sketch", *more)))
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,9 +244,9 @@ def pairs_of_sets(sets: DataFrame, known: DataFrame, labelled: bool, least: floa
                 if len(nodes) < 2:
                     continue
                 joined = b"".join(batch["sketch"][k].as_py())
-                labels = np.array(batch["label"][k].as_py(), np.int64) if labelled else None
-                sketches = np.frombuffer(joined, np.uint8).reshape(len(nodes), -1)
-                found.update(near_pairs(nodes, sketches, labels, least))
+                sketches = np.frombuffer(joined, np.uint64).reshape(len(nodes), -1)
+                told = tuple(np.array(batch[c][k].as_py()) for c in more) or None
+                found.update(near_pairs(nodes, sketches, told, least, far, best))
             if found:
                 yield pa.record_batch([[int(p[i]) for p in found] for i in (0, 1)], schema=schema)
 
@@ -251,17 +290,17 @@ def pivot_rounds(members: DataFrame, sketches: DataFrame, texts: DataFrame, size
 
 
 def estimates(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """node, pivot, estimate: share of equal bytes of the sketches."""
+    """node, pivot, estimate: similarity by the sketches."""
     schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64()), ("estimate", pa.float64())])
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 a, b = (
-                    np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                    np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
                     for c in ("sketch", "other")
                 )
-                yield pa.record_batch([batch["node"], batch["pivot"], pa.array((a == b).mean(axis=1))], schema=schema)
+                yield pa.record_batch([batch["node"], batch["pivot"], pa.array(agreement(a, b))], schema=schema)
 
     others = sketches.select(F.col("node").alias("pivot"), F.col("sketch").alias("other"))
     return (
@@ -289,10 +328,29 @@ def links_of_buckets(
     def similar() -> DataFrame:
         return checked.filter(F.col("similarity") >= threshold).select("node", "pivot")
 
-    checked = verified(pairs_of_sets(sets, sketches, False, least))
-    labels = components(similar())
-    labelled = sketches.join(labels, "node", "left").select("node", "sketch", F.coalesce("label", "node").alias("label"))
-    checked = verified(pairs_of_sets(sets, labelled, True, least))
+    far = 1 - threshold
+    checked = verified(pairs_of_sets(sets, sketches, least, far))
+
+    def known() -> DataFrame:
+        leaders = checked.groupBy("node").agg(
+            F.min(F.struct(F.col("pivot"), (1 - F.col("similarity")).alias("away"))).alias("led")
+        )
+        return (
+            sketches.join(components(similar()), "node", "left")
+            .join(leaders, "node", "left")
+            .select(
+                "node",
+                "sketch",
+                F.coalesce("label", "node").alias("label"),
+                F.coalesce("led.pivot", "node").alias("leader"),
+                F.coalesce("led.away", F.lit(0.0)).alias("away"),
+            )
+        )
+
+    # First what is most alike, which leaves few components and so few pairs between them.
+    for _ in range(BEST_ROUNDS):
+        checked = verified(pairs_of_sets(sets, known(), least, far, best=True))
+    checked = verified(pairs_of_sets(sets, known(), least, far))
     return similar()
 
 
@@ -330,14 +388,15 @@ def near_groups(
     threshold: float = 0.8,
     bands: int = 32,
     rows: int = 4,
-    margin: float = 0.25,
+    sketch_bits: int = 1024,
+    margin: float = 0.1,
     largest_set: int = 20_000,
 ) -> DataFrame:
     """One row per row of `docs`: id, class_id (the smallest id of its class), n_copies (rows of the same text).
 
     A class is connected by links of similarity `threshold` or more. With 32 bands of 4 a pair at 0.8 is missed
-    with probability 5e-8, and its sketches agree in less than `threshold - margin` of 128 bytes with less than
-    1e-9. Equal texts are one class, null and empty texts included (a null text is empty); texts of blanks only
+    with probability 5e-8; its similarity by sketches of 1024 bits is below `threshold - margin` (5.3 standard
+    deviations) with 6e-8. Equal texts are one class, null and empty texts included (a null text is empty); texts of blanks only
     have no shingle and are like their equals alone. A text of fewer than `shingle` words is one shingle. Rows of
     one id are one document: if their texts differ, they share a class and the first by digest is compared. Texts
     that only rows with a null id hold form classes of equal texts with a null class_id. No rows: no rows.
@@ -358,13 +417,13 @@ def near_groups(
     shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = cut_lineage(members.join(shared, "key", "left_semi"))
     needed = cut_lineage(members.select("node").distinct())
-    sketches = cut_lineage(signs.select("node", "sketch").join(needed, "node", "left_semi"))
     texts = cut_lineage(
         bytes_of.join(needed.join(speakers, "node"), ["node", "digest"], "left_semi")
         .groupBy("node", "digest")
         .agg(F.first("text").alias("text"))
         .drop("digest")
     )
+    sketches = cut_lineage(sketched(texts, shingle, sketch_bits))
     labels = components(
         links_of_buckets(members, sketches, texts, shingle, threshold, threshold - margin, largest_set)
     )
