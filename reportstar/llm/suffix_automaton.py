@@ -93,19 +93,23 @@ def covered_windows(contexts: Contexts, window: int) -> Spans:
     texts, docs, starts, codes = contexts
     automaton = SuffixAutomaton()
     words: dict[bytes, int] = {}
-    symbols = [[words.setdefault(w, len(words)) for w in t.split()] for t in texts]
+    first: dict[bytes, int] = {}  # the document that brought a passage, and so put all of it in the automaton
     found = []
     order = np.argsort(docs, kind="stable").tolist()
     for doc, mine in groupby(order, key=lambda i: int(docs[i])):
         fresh = []
         for i in mine:
-            text = symbols[i]
-            known = [m >= window for m in automaton.matches(text)[window - 1 :]]
-            for at, size in runs(known):
+            if first.setdefault(texts[i], doc) < doc:
+                known = [(0, len(texts[i].split()) - window + 1)]
+            else:
+                text = [words.setdefault(w, len(words)) for w in texts[i].split()]
+                matched = [m >= window for m in automaton.matches(text)[window - 1 :]]
+                known = runs(matched)
+                fresh += [text[a : a + n + window - 1] for a, n in runs([not k for k in matched])]
+            for at, size in known:
                 found += [
                     (doc, c, s + at, size) for s, c in zip(starts[i].tolist(), codes[i].tolist(), strict=True)
                 ]
-            fresh += [text[a : a + n + window - 1] for a, n in runs([not k for k in known])]
         for text in fresh:  # only now: a document is not compared with itself
             automaton.add(text)
     return found
