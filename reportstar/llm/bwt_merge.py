@@ -10,6 +10,8 @@ intervals, and the smallest document of a block covers the others' windows.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -68,38 +70,43 @@ def interleave(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]
     suffixes it shares these with."""
     before = np.concatenate([s.before for s in shards])
     numbers = np.concatenate([np.full(len(s.before), i, np.uint8) for i, s in enumerate(shards)])
-    # Symbols as bytes for the distribution: the end apart, a byte's value as it is.
-    at_end = before == 0
-    symbol_of = np.where(at_end, 0, before - 1).astype(np.uint8)
-    ends = int(at_end.sum())
+    # Symbols by rank, the end is 0; one byte unless all 256 bytes occur.
+    kinds, rank = np.unique(np.append(before, 0), return_inverse=True)
+    symbol_of = rank[:-1].astype(np.uint8 if len(kinds) <= 256 else np.uint16)
+    counts = np.bincount(rank[:-1], minlength=len(kinds))
+    ends = int(counts[0])
     head = np.concatenate([np.full(s.strings, i, np.uint8) for i, s in enumerate(shards)])
-    z, block = numbers, np.zeros(len(numbers), np.int32)
     own = np.arange(ends, dtype=np.int32)
+    # Where the first symbol changes; it is the same in every round.
+    changes = np.zeros(len(before) - ends, bool)
+    changes[np.cumsum(counts[1:])[:-1]] = True
+    changes[:1] = True
+    z, block = numbers, np.zeros(len(numbers), np.int32)
+    symbol = np.empty_like(symbol_of)
     for _ in range(depth):
-        place = np.argsort(z, kind="stable")  # where the suffixes of each shard stand, in their order
-        symbol = np.empty(len(z), np.uint8)
-        symbol[place] = symbol_of
-        ending = np.empty(len(z), bool)
-        ending[place] = at_end
-        going = np.flatnonzero(~ending)
-        moved = going[np.argsort(symbol[going], kind="stable")]
-        into, came = symbol[moved], block[moved]
-        turn = np.ones(len(moved), bool)
-        turn[1:] = (into[1:] != into[:-1]) | (came[1:] != came[:-1])
+        # Where the suffixes of each shard stand, in their order: there its transform goes.
+        symbol[np.argsort(z, kind="stable")] = symbol_of
         # Ends are all different and keep the order of their strings.
+        moved = np.argsort(symbol, kind="stable")[ends:]
+        came = block[moved]
+        turn = changes.copy()
+        turn[1:] |= came[1:] != came[:-1]
         z = np.concatenate([head, z[moved]])
         block = np.concatenate([own, ends - 1 + np.cumsum(turn, dtype=np.int32)])
     return z, block
 
 
-def covered_windows(contexts: Contexts, window: int) -> Spans:
-    texts, docs, starts, codes = contexts
-    # Equal contexts are one string; whoever has it beyond the smallest document is an owner like the others.
-    number: dict[bytes, int] = {}
-    string_of = np.array([number.setdefault(t, len(number)) for t in texts])
-    strings = list(number)
-    smallest = np.full(len(strings), np.iinfo(np.int64).max)
-    np.minimum.at(smallest, string_of, docs)
+def anchor_of(strings: list[bytes], window: int, gram: int) -> np.ndarray:
+    """Hash of the anchor of each context, which all its windows share."""
+    firsts = np.frombuffer(b"".join(s[:window] for s in strings), np.uint8)
+    grams = Units(window, gram, False).split(firsts)[2]
+    grams = np.append(grams, np.zeros(gram - 1, np.uint64)).reshape(-1, window)
+    return grams[:, : window - gram + 1].min(axis=1)
+
+
+def smallest_by_window(strings: list[bytes], smallest: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest document (of `smallest`, by string) that has each window, windows by string and place; and the
+    number of windows of each string."""
     sizes = np.cumsum([len(s) + 1 for s in strings])
     per_shard = max(1 << 18, -(-int(sizes[-1]) // (MOST_SHARDS - 1)))
     cuts = np.searchsorted(sizes, np.arange(per_shard, int(sizes[-1]), per_shard)).tolist()
@@ -115,21 +122,44 @@ def covered_windows(contexts: Contexts, window: int) -> Spans:
     whole = np.flatnonzero(offset + window <= length[string])
     string, offset, block = string[whole], offset[whole], block[whole]
     opens = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-    sizes = np.diff(np.append(opens, len(block)))
-    least = np.repeat(np.minimum.reduceat(smallest[string], opens), sizes)
-    # Windows of each string in order, each with the smallest document that has it.
-    order = np.lexsort((offset, string))
-    least = least[order]
+    least = np.repeat(np.minimum.reduceat(smallest[string], opens), np.diff(np.append(opens, len(block))))
     windows = length - window + 1
-    first = np.cumsum(windows) - windows
+    out = np.empty(int(windows.sum()), np.int64)
+    out[(np.cumsum(windows) - windows)[string] + offset] = least
+    return out, windows
+
+
+def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
+    texts, docs, starts, codes = contexts
+    # Equal contexts are one string; whoever has it beyond the smallest document is an owner like the others.
+    number: dict[bytes, int] = {}
+    string_of = np.array([number.setdefault(t, len(number)) for t in texts])
+    strings = list(number)
+    smallest = np.full(len(strings), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, string_of, docs)
+    # A string that is alone with its anchor shares no window with any other.
+    _, kind, kinds = np.unique(anchor_of(strings, window, gram), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(kinds[kind] > 1)
+    row = np.full(len(strings), -1)
+    row[shared] = np.arange(len(shared))
+    if len(shared):
+        least, windows = smallest_by_window([strings[i] for i in shared], smallest[shared], window)
+        first = np.cumsum(windows) - windows
     out = []
     for i, s in enumerate(string_of.tolist()):
-        mine = least[first[s] : first[s] + windows[s]] < docs[i]
-        if mine.any():
-            turns = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]])))
-            for a, b in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True):
-                seen = zip(starts[i].tolist(), codes[i].tolist(), strict=True)
-                out += [(int(docs[i]), c, x + a, b - a) for x, c in seen]
+        doc, k = int(docs[i]), row[s]
+        if smallest[s] < doc:
+            runs = [(0, len(texts[i]) - window + 1)]
+        elif k < 0:
+            continue
+        else:
+            mine = least[first[k] : first[k] + windows[k]] < doc
+            if not mine.any():
+                continue
+            turns = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]]))).tolist()
+            runs = [(a, b - a) for a, b in zip(turns[::2], turns[1::2], strict=True)]
+        seen = list(zip(starts[i].tolist(), codes[i].tolist(), strict=True))
+        out += [(doc, c, x + a, n) for a, n in runs for x, c in seen]
     return out
 
 
@@ -143,4 +173,4 @@ def remove_repeated_bytes(
     texts shorter than a window stay whole.
     """
     units = Units(window=window, gram=min(16, window), words=False)
-    return remove_repeats(docs, units, covered_windows, id_col, text_col, bytes_per_group)
+    return remove_repeats(docs, units, partial(covered_windows, gram=units.gram), id_col, text_col, bytes_per_group)
