@@ -75,7 +75,7 @@ class Units:
 
     def anchors(self, grams: np.ndarray) -> np.ndarray:
         """For every window, the place of its anchor."""
-        values, places, done = grams, np.arange(len(grams)), 1
+        values, places, done = grams, np.arange(len(grams), dtype=np.int32), 1
         width = self.window - self.gram + 1
         if len(grams) < width:
             return places[:0]
@@ -131,7 +131,10 @@ def anchor_entries(units: Units, ids: np.ndarray, texts: list[bytes], buckets: i
     bounds = np.cumsum([len(t) + 1 for t in texts])
     starts, _, grams = units.split(raw)
     of_window = units.anchors(grams)
-    doc = np.searchsorted(bounds, starts, "right")
+    if units.words:
+        doc = np.searchsorted(bounds, starts, "right")
+    else:
+        doc = np.repeat(np.arange(len(texts)), np.diff(bounds, prepend=0))[: len(starts)]
     inside = doc[: len(of_window)] == doc[units.window - 1 :]
     if not units.words:  # the byte that separates two documents is in neither
         separator = bounds[doc[: len(of_window)]] - 1
