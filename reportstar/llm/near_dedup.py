@@ -185,8 +185,8 @@ Known = tuple[np.ndarray, np.ndarray, np.ndarray]
 def near_pairs(
     nodes: np.ndarray, sketches: np.ndarray, known: Known | None, least: float, far: float, best: bool
 ) -> list[tuple[int, int]]:
-    """Pairs (larger, smaller) of one set to compare. Without `known`: leaders with the members near them, each member
-    having one leader at least. With it (label, leader and exact distance to it, by member): all near pairs of
+    """Pairs (larger, smaller) of one set to compare. Without `known` (members in order): leaders with the members near
+    them, each member having one leader. With it (label, leader and exact distance to it, by member): all near pairs of
     different labels, but for those whose distances to one leader differ by more than `far`; `best`: of these, the one
     most alike for each member outside the most common label."""
     out = []
@@ -194,11 +194,10 @@ def near_pairs(
         waiting = np.arange(len(nodes))
         while len(waiting) > 1:
             leader = waiting[0]
-            near = agreement(sketches[leader], sketches) >= least
-            near[leader] = False
-            mine = np.flatnonzero(near)
-            out += [(max(nodes[leader], x), min(nodes[leader], x)) for x in nodes[mine].tolist()]
-            waiting = waiting[1:][~near[waiting[1:]]]
+            waiting = waiting[1:]
+            near = agreement(sketches[leader], sketches[waiting]) >= least
+            out += [(x, int(nodes[leader])) for x in nodes[waiting[near]].tolist()]
+            waiting = waiting[~near]
         return out
     labels, leaders, away = known
     # A pair of different labels has a member outside the most common label.
