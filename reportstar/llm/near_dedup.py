@@ -146,7 +146,9 @@ def sketched(texts: DataFrame, size: int, bits: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, registers in signatures_of(batches, size, bits):
-            packed = np.packbits((mixed(registers) & np.uint64(1)).astype(np.uint8), axis=1)
+            # Each register has its own bit of a shingle: few shingles in many registers are many independent bits.
+            own = mixed(registers + np.arange(bits, dtype=np.uint64) * GOLDEN)
+            packed = np.packbits((own & np.uint64(1)).astype(np.uint8), axis=1)
             yield pa.record_batch([batch["node"], [row.tobytes() for row in packed]], schema=schema)
 
     return texts.mapInArrow(sketch, "node long, sketch binary")
