@@ -5,20 +5,27 @@ words repeat), and its metadata (source, language, recorded length, layout of th
 label the unlabelled documents they are most sure of for one another. Both are then calibrated on labelled
 documents that took no part, and the calibrated views are combined to score every document.
 
-Models are fitted on a bounded sample, `labelled_rows` labelled and `pool_rows` unlabelled documents drawn by a
-hash of the id; every document is scored.
+Labelled documents are a bounded sample, `labelled_rows` drawn by a hash of the id. The unlabelled ones are all others:
+each round scores them all, and all that a view is sure of teach the other view. Their slopes and curvatures are summed
+where they are; only the sums reach the driver. Every document is scored.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.sinks.store import cut_lineage
+
+STEPS, SMALL = 12, 1e-6  # of Newton's method: at most, and the move that ends it
 TRIGRAMS = 512
 LANGS, SOURCES = 16, 64
 CONTENT = TRIGRAMS + 4
@@ -90,22 +97,33 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 12) -> np.ndarray:
-    """Weights (the last is the constant) of a ridge logistic regression, by Newton's method."""
-    w = np.zeros(x.shape[1] + 1)
+def sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums over the rows: the curvature of the logistic loss at `w`, and in a last line its slope."""
+    out = np.zeros((len(w) + 1, len(w)))
+    for at in range(0, len(x), 1000):  # in blocks, so that memory is the rows themselves
+        part = x[at : at + 1000].astype(np.float64)
+        part = np.hstack([part, np.ones((len(part), 1))])
+        p = sigmoid(part @ w)
+        out[-1] += part.T @ (p - y[at : at + 1000])
+        part *= np.sqrt(np.maximum(p * (1 - p), 1e-4))[:, None]
+        out[:-1] += part.T @ part
+    return out
+
+
+def step(total: np.ndarray, w: np.ndarray, ridge: float) -> np.ndarray:
+    """Newton's step of a ridge logistic regression from `w`; the last weight is the constant."""
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
+    return np.linalg.solve(total[:-1] + np.diag(penalty), total[-1] + penalty * w)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = STEPS) -> np.ndarray:
+    """Weights (the last is the constant) of a ridge logistic regression, by Newton's method."""
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(steps):
-        slope, curve = penalty * w, np.diag(penalty)
-        for at in range(0, len(x), 1000):  # in blocks, so that memory is the rows themselves
-            part = x[at : at + 1000].astype(np.float64)
-            part = np.hstack([part, np.ones((len(part), 1))])
-            p = sigmoid(part @ w)
-            slope += part.T @ (p - y[at : at + 1000])
-            curve += (part * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ part
-        move = np.linalg.solve(curve, slope)
+        move = step(sums(x, y, w), w, ridge)
         w -= move
-        if np.abs(move).max() < 1e-6:
+        if np.abs(move).max() < SMALL:
             break
     return w
 
@@ -143,47 +161,70 @@ def constant(probability: float) -> Model:
     )
 
 
+Views = tuple[np.ndarray, np.ndarray]
+#: Rows of the pool that the last teachers moved, and `sums` of all moved rows by view.
+Taught = tuple[int, list[np.ndarray]]
+
+
+def taught(pool: Views, teachers: list[Views], weights: Views, sure: float) -> Taught:
+    """What the rows of `pool` teach at `weights`. `teachers`: both views' weights of each round so far; the first round
+    in which a view is `sure` of a row labels it for the other view and takes it out of the pool. A row's label
+    follows from these weights alone, so none is stored."""
+    left = np.ones(len(pool[0]), bool)
+    moved = np.zeros(len(left), bool)
+    label = np.full((2, len(left)), -1)
+    sides = [np.stack([each[k] for each in teachers], axis=1) for k in (0, 1)]
+    good = [sigmoid(logits(x, w)) for x, w in zip(pool, sides, strict=True)]  # rows x rounds
+    for k in range(len(teachers)):
+        moved = np.zeros(len(left), bool)
+        for teacher, learner in ((0, 1), (1, 0)):
+            p = good[teacher][:, k]
+            certain = left & (np.maximum(p, 1 - p) >= sure)
+            label[learner][certain] = p[certain] >= 0.5
+            moved |= certain
+        left &= ~moved
+    has = label >= 0
+    return int(moved.sum()), [sums(pool[k][has[k]], label[k][has[k]], weights[k]) for k in (0, 1)]
+
+
 def co_train(
-    labelled: tuple[np.ndarray, np.ndarray],
+    labelled: Views,
     y: np.ndarray,
-    pool: tuple[np.ndarray, np.ndarray],
+    pool: Views | Callable[[list[Views], Views, float], Taught],
     rounds: int = 4,
     sure: float = 0.97,
-    most: int = 500,
     ridge: float = 0.05,
 ) -> Model:
     """Fit both views; every fifth labelled row is held out for calibration.
 
-    A round moves at most `most` pool rows of each class, those a view is surest of (at least `sure`), to the
-    other view's training rows. Rows of one class only: a constant; none: one half.
+    `pool`: the unlabelled rows, or a function that gives `taught` of them wherever they are. A round moves all its rows
+    that a view is at least `sure` of to the other view's training rows. Rows of one class only: a constant; none: one
+    half.
     """
     if len(np.unique(y)) < 2:
         return constant(0.5 if not len(y) else 0.99 if y[0] else 0.01)
+    teach = pool if callable(pool) else partial(taught, pool)
     held = np.arange(len(y)) % 5 == 4
     if len(np.unique(y[held])) < 2 or len(np.unique(y[~held])) < 2:
         held[:] = True  # too few rows to hold any out
         train = held
     else:
         train = ~held
-    own_x = [[v[train]] for v in labelled]
-    own_y = [[y[train]] for _ in labelled]
-    left = np.arange(len(pool[0]))
-    fit = lambda k: logistic(np.vstack(own_x[k]), np.concatenate(own_y[k]), ridge)
+    own = [v[train] for v in labelled]
+    weights = tuple(logistic(x, y[train], ridge) for x in own)
+    teachers: list[Views] = []
     for _ in range(rounds):
-        weights = [fit(0), fit(1)]
-        moved = np.zeros(len(left), bool)
-        for teacher, learner in ((0, 1), (1, 0)):
-            p = sigmoid(logits(pool[teacher][left], weights[teacher]))
-            for label, certainty in ((1, p), (0, 1 - p)):
-                best = np.argsort(-certainty, kind="stable")[:most]
-                best = best[certainty[best] >= sure]
-                own_x[learner].append(pool[learner][left[best]])
-                own_y[learner].append(np.full(len(best), label))
-                moved[best] = True
-        left = left[~moved]
-        if not moved.any():
+        teachers.append(weights)
+        for _ in range(STEPS):
+            moved, total = teach(teachers, weights, sure)
+            if not moved:
+                break
+            moves = [step(total[k] + sums(own[k], y[train], weights[k]), weights[k], ridge) for k in (0, 1)]
+            weights = tuple(w - move for w, move in zip(weights, moves, strict=True))
+            if max(np.abs(move).max() for move in moves) < SMALL:
+                break
+        if not moved:
             break
-    weights = [fit(0), fit(1)]
     calibrated = [
         logistic(logits(labelled[k][held], weights[k])[:, None], y[held], 0.01) for k in (0, 1)
     ]
@@ -193,6 +234,47 @@ def co_train(
     return Model(weights[0], weights[1], tuple(calibrated), logistic(each, y[held], 0.01))
 
 
+def _split(features: list[bytes]) -> Views:
+    joined = np.frombuffer(b"".join(features), np.float32).reshape(-1, CONTENT + METADATA)
+    return joined[:, :CONTENT], joined[:, CONTENT:]
+
+
+def taught_by(pool: DataFrame, teachers: list[Views], weights: Views, sure: float) -> Taught:
+    """`taught` of all rows of `pool` (features). Each task sums its rows; lines of the sums are added by place, so that
+    the driver gets one sum whatever the number of tasks."""
+    schema = pa.schema([("place", pa.int32()), ("line", pa.binary())])
+    starts = np.cumsum([1, *(len(w) + 1 for w in weights)])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, total = 0, None
+        for batch in batches:
+            moved, found = taught(_split(batch["features"].to_pylist()), teachers, weights, sure)
+            count += moved
+            total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
+        if total is not None:
+            lines = [np.array([float(count)]), *total[0], *total[1]]
+            yield pa.record_batch(
+                [pa.array(range(len(lines)), pa.int32()), [line.tobytes() for line in lines]], schema=schema
+            )
+
+    def added(group: pa.Table) -> pa.Table:
+        lines = np.stack([np.frombuffer(line, np.float64) for line in group["line"].to_pylist()])
+        # Sorted, so that the sum does not depend on the order in which tasks end.
+        line = np.sort(lines, axis=0).sum(axis=0)
+        return pa.table([group["place"].slice(0, 1), pa.array([line.tobytes()], pa.binary())], schema=schema)
+
+    lines = (
+        pool.select("features")
+        .mapInArrow(summed, "place int, line binary")
+        .groupBy("place")
+        .applyInArrow(added, "place int, line binary")
+    )
+    got = {r["place"]: np.frombuffer(r["line"], np.float64) for r in lines.collect()}
+    if not got:
+        return 0, []
+    return int(got[0][0]), [np.stack([got[i] for i in range(*starts[k : k + 2])]) for k in (0, 1)]
+
+
 def _features(docs: DataFrame, text_col: str, lang_col: str, source_col: str, length_col: str) -> list[Column]:
     return [
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
@@ -206,7 +288,6 @@ def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
     labelled_rows: int = 8000,
-    pool_rows: int = 8000,
     id_col: str = "doc_id",
     label_col: str = "quality",
     text_col: str = "text",
@@ -215,7 +296,8 @@ def fit_quality(
     length_col: str = "n_chars",
 ) -> Model:
     """Model of `label_col` (1 good, 0 bad). Of contradicting labels of one id the mean decides, a tie is good.
-    Labels that are null, or of no document, are left out."""
+    Labels that are null, or of no document, are left out. Every other row of `docs` is in the pool, repeated rows
+    and rows without an id too, and so are documents with a label beyond `labelled_rows`, without it."""
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("id"))
@@ -223,13 +305,11 @@ def fit_quality(
     )
     by_chance = F.xxhash64("id")
     ids = docs.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct()
-    taught = known.join(ids, "id", "left_semi").orderBy(by_chance, "id").limit(labelled_rows)
-    others = ids.join(known, "id", "left_anti").orderBy(by_chance, "id").limit(pool_rows)
-    # Both are bounded by the parameters above, whatever the size of the tables.
-    drawn = F.broadcast(taught.unionByName(others.withColumn("label", F.lit(None).cast("int"))))
+    # Bounded by the parameter above, whatever the size of the tables.
+    drawn = cut_lineage(known.join(ids, "id", "left_semi").orderBy(by_chance, "id").limit(labelled_rows))
     texts = docs.select(
         F.col(id_col).alias("id"), *_features(docs, text_col, lang_col, source_col, length_col)
-    ).join(drawn, "id")
+    ).join(F.broadcast(drawn), "id", "left")
 
     def described(batches):
         for frame in batches:
@@ -239,13 +319,14 @@ def fit_quality(
                 {"id": frame["id"], "label": frame["label"], "features": [row.tobytes() for row in joined]}
             )
 
-    rows = texts.mapInPandas(described, "id long, label int, features binary").toPandas()
-    rows = rows.drop_duplicates("id").sort_values("id")  # repeated rows teach once
-    rows = rows.iloc[np.argsort([zlib.crc32(str(i).encode()) for i in rows["id"]], kind="stable")]
-    x = np.frombuffer(b"".join(rows["features"]), np.float32).reshape(-1, CONTENT + METADATA)
-    has = rows["label"].notna().to_numpy()
-    split = lambda part: (part[:, :CONTENT], part[:, CONTENT:])
-    return co_train(split(x[has]), rows["label"][has].to_numpy(np.int64), split(x[~has]))
+    # Stored once: every step of every fit reads them.
+    rows = cut_lineage(texts.mapInPandas(described, "id long, label int, features binary"))
+    known_rows = rows.filter("label IS NOT NULL").groupBy("id", "label").agg(F.min("features").alias("features"))
+    first = known_rows.toPandas().sort_values("id")  # repeated rows teach once
+    first = first.iloc[np.argsort([zlib.crc32(str(i).encode()) for i in first["id"]], kind="stable")]
+    labelled = _split(first["features"].tolist())
+    pool = rows.filter("label IS NULL")
+    return co_train(labelled, first["label"].to_numpy(np.int64), partial(taught_by, pool))
 
 
 def score_quality(
