@@ -30,6 +30,7 @@ from reportstar.sinks.store import cut_lineage
 
 BATCH_BYTES = 4_000_000
 BEST_ROUNDS = 2
+ROUNDING = 1e-9  # of a sum of doubles that is a similarity
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -211,7 +212,7 @@ def near_pairs(
         alike = agreement(sketches[rows, None], sketches[None])
         near = (alike >= least) & (labels[rows, None] != labels[None, :])
         same = leaders[rows, None] == leaders[None, :]
-        near &= ~(same & (np.abs(away[rows, None] - away[None, :]) > far + 1e-9))
+        near &= ~(same & (np.abs(away[rows, None] - away[None, :]) > far + ROUNDING))
         if best:
             first = np.where(near, alike, -1).argmax(axis=1)
             only = np.zeros_like(near)
@@ -281,11 +282,11 @@ def pivot_rounds(members: DataFrame, sketches: DataFrame, texts: DataFrame, size
         told = rows.join(
             estimated.join(checked, ["node", "pivot"], "left").select("node", "pivot", "similarity", away.alias("away")),
             ["node", "pivot"],
-        ).select("key", "node", "away", (F.coalesce("similarity", F.lit(0.0)) < threshold).alias("unlike"))
+        ).select("key", "node", "away", (F.coalesce("similarity", F.lit(0.0)) < threshold - ROUNDING).alias("unlike"))
         nearest = told.filter("unlike").groupBy("key").agg(F.min("away").alias("nearest"))
         members = cut_lineage(
             told.join(nearest, "key")
-            .filter(F.col("unlike") | (F.col("away") >= F.col("nearest") - far - 1e-9))
+            .filter(F.col("unlike") | (F.col("away") >= F.col("nearest") - far - ROUNDING))
             .select("key", "node")
         )
 
@@ -327,7 +328,7 @@ def links_of_buckets(
         return done if checked is None else checked.unionByName(done)
 
     def similar() -> DataFrame:
-        return checked.filter(F.col("similarity") >= threshold).select("node", "pivot")
+        return checked.filter(F.col("similarity") >= threshold - ROUNDING).select("node", "pivot")
 
     far = 1 - threshold
     checked = verified(pairs_of_sets(sets, sketches, least, far))

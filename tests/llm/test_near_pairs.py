@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from test_small_cases import documents
 
 from reportstar.llm import near_dedup
@@ -43,3 +45,19 @@ def test_few_shingles_have_as_many_independent_bits(spark):
     assert len(alike) > 150
     missed = [k for k in alike if got[2 * k + 1] != 2 * k]
     assert not missed, f"{len(missed)} of {len(alike)}"
+
+
+def test_exactly_the_threshold_is_similar(spark):
+    """4k common of 5k shingles, by rational arithmetic 0.8; the sum of doubles is often below."""
+    below = []
+    for k in (3, 7, 9, 20, 31):
+        base = fresh(f"t{k}", 4 * k + 4)
+        pair = " ".join(base), " ".join([*base, *fresh(f"u{k}", k)])
+        a, b = (set(near_dedup.weighted(t.encode(), 5)[0].tolist()) for t in pair)
+        assert Fraction(len(a & b), len(a | b)) == Fraction(4, 5)
+        below += [pair] if similarity(*pair) < 0.8 else []
+    assert below
+    rows = [(2 * k + i, t) for k, pair in enumerate(below) for i, t in enumerate(pair)]
+    for largest in (1, 1000):
+        got = near_dedup.near_groups(documents(spark, rows), largest_set=largest).collect()
+        assert all(r["class_id"] == r["id"] // 2 * 2 for r in got)
