@@ -11,6 +11,9 @@ from reportstar.llm import (
     bwt_merge,
     cotraining,
     exact_dedup,
+    hard_negatives,
+    host_rules,
+    merkle,
     mixing,
     near_dedup,
     packing,
@@ -129,6 +132,45 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.translate("text", upper, upper.lower())
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    claim = F.when(tampered, merkle.leaf_digest([*values, lowered])).alias("claim")
+    proofs = merkle.manifest(docs, carried=[claim])
+    claimed = F.coalesce(F.col("carried.claim"), F.col("leaf"))
+    return proofs.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("lefts"), F.col("rights")), 256).alias("proof_sha256"),
+        merkle.fold(claimed, F.col("lefts"), F.col("rights")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge_documents(table(spark, sf_dir, "documents"), payload=[F.col("doc_id")])
+    return judged.select(
+        "record.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "verdict",
+        "kept",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_dedup": op2_exact_dedup,
@@ -140,4 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_exact_topk": op9_exact_topk,
     "op10_sharding": op10_sharding,
+    "op11_merkle": op11_merkle,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_host_rules": op13_host_rules,
 }
