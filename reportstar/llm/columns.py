@@ -10,4 +10,4 @@ from pyspark.sql import functions as F
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of `value`, which is computed once."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda x: body(x))[0]

@@ -8,7 +8,7 @@ all rules, and a blocked host's documents go.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,29 +40,57 @@ class Limits:
     blocked: float = 0.5
 
 
-def repeated_words(words: Column) -> Column:
-    """Words in windows of three that occur twice or more, the first occurrence included. Windows are sorted by hash,
-    then by their words, so equal ones are neighbours and unequal ones never count."""
+def repeated_words(words: Column, code: Callable[..., Column] = F.xxhash64) -> Column:
+    """Words in windows of three that occur twice or more, the first occurrence included.
 
-    def window(word: Column, i: Column) -> Column:
-        more = [F.get(words, i + k) for k in range(1, WINDOW)]
-        return F.struct(F.struct(F.xxhash64(word, *more), word, *more).alias("words"), i.alias("at"))
+    A window's code and place share one long, so that sorting longs brings equal codes together. Windows alone with
+    their code are done; the others are believed if they have as many different words as codes, and compared word by
+    word if not.
+    """
+
+    def text_at(i: Column) -> Column:
+        return F.concat_ws(" ", *[F.get(words, i.cast("int") + k) for k in range(WINDOW)])  # words hold no blank
+
+    def neighbours(sorted_: Column, alike: Callable[[Column, Column], Column]) -> Column:
+        return F.filter(
+            sorted_,
+            lambda x, j: F.coalesce(alike(x, F.get(sorted_, j - 1)), F.lit(False))
+            | F.coalesce(alike(x, F.get(sorted_, j + 1)), F.lit(False)),
+        )
+
+    def by_words(places: Column) -> Column:
+        texts = F.sort_array(F.transform(places, lambda i: F.struct(text_at(i).alias("text"), i.alias("at"))))
+        same = bound(texts, lambda t: neighbours(t, lambda x, y: x["text"] == y["text"]))
+        return F.transform(same, lambda t: t["at"])
+
+    def starts(mask: Column) -> Column:
+        packed = F.transform(
+            words,
+            lambda w, i: code(w, *[F.get(words, i + k) for k in range(1, WINDOW)])
+            .bitwiseAND(F.bitwise_not(mask))
+            .bitwiseOR(i.cast("long")),
+        )
+        whole = F.slice(packed, F.lit(1), F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
+        shared = bound(
+            F.sort_array(whole), lambda p: neighbours(p, lambda x, y: x.bitwiseXOR(y).between(F.lit(0), mask))
+        )
 
-    def starts(windows: Column) -> Column:
-        def twice(w: Column, j: Column) -> Column:
-            return w["words"].eqNullSafe(F.get(windows, j - 1)["words"]) | w["words"].eqNullSafe(
-                F.get(windows, j + 1)["words"]
-            )
+        def believed(found: Column) -> Column:
+            codes = F.size(F.array_distinct(F.transform(found, lambda x: x.bitwiseAND(F.bitwise_not(mask)))))
+            places = F.transform(found, lambda x: x.bitwiseAND(mask))
+            texts = F.size(F.array_distinct(F.transform(places, text_at)))
+            return F.when(codes == texts, places).otherwise(by_words(places))
 
-        return F.sort_array(F.transform(F.filter(windows, twice), lambda w: w["at"]))
+        return F.sort_array(bound(shared, believed))
 
     def covered(so_far: Column, at: Column) -> Column:
         fresh = F.least(F.lit(WINDOW), at - so_far["last"])
         return F.struct(at.alias("last"), (so_far["covered"] + fresh).alias("covered"))
 
-    whole = F.slice(F.transform(words, window), F.lit(1), F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))
-    start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("covered"))
-    return F.aggregate(bound(F.sort_array(whole), starts), start, covered, lambda s: s["covered"])
+    # As many low bits as the places need.
+    mask = F.pow(F.lit(2), F.length(F.bin(F.size(words).cast("long")))).cast("long") - 1
+    start = F.struct(F.lit(-WINDOW).cast("long").alias("last"), F.lit(0).cast("long").alias("covered"))
+    return F.aggregate(bound(mask, starts), start, covered, lambda s: s["covered"])
 
 
 def measured(text: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from test_small_cases import ODD, documents, words
 
 from reportstar.llm import hard_negatives, host_rules, merkle, queries
+from reportstar.llm.columns import bound
 
 
 @pytest.fixture(scope="module")
@@ -236,6 +237,17 @@ def test_counts_of_documents(spark, odd, nothing):
     assert host_rules.judge_documents(frame.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "code", [F.xxhash64, lambda *w: F.lit(7).cast("long"), lambda *w: F.xxhash64(w[0])], ids=["hash", "one", "weak"]
+)
+def test_repeated_words_whatever_the_code(spark, code):
+    texts = [*TEXTS, words(300, 1, 6), words(200, 2, 2), words(900, 3, 30)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = F.regexp_extract_all("text", F.lit(host_rules.WORD), F.lit(0))
+    counted = frame.select("text", bound(found, lambda w: host_rules.repeated_words(w, code)).alias("n"))
+    assert {r["text"]: r["n"] for r in counted.collect()} == {t: brute_counts(t)[5] for t in texts}
+
+
 def test_verdicts_of_hosts(spark):
     """A hot clean host, a watched one, a junk one, a small host that one bad document does not condemn, and no host."""
     good, short, symbols = words(80, 1), "few words", words(60, 2) + " #" * 9
@@ -244,14 +256,14 @@ def test_verdicts_of_hosts(spark):
     rows += [(f"other{i % 20}", good) for i in range(600)]
     rows = [(i, s, f"{t} {i}") for i, (s, t) in enumerate(rows)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
-    limits = host_rules.Limits(blocked=0.8)
+    limits = host_rules.Limits(blocked=0.93)
     measured = host_rules.measure_documents(frame, limits)
     verdicts = {r["host"]: r for r in host_rules.host_verdicts(measured, limits).collect()}
     assert {h: v["verdict"] for h, v in verdicts.items() if "other" not in (h or "")} == {
         "hot": "trusted", "mixed": "watched", "junk": "blocked", "small": "watched", None: "trusted"
     }
     assert verdicts["mixed"]["failures"]["symbols"] == 20 and verdicts["junk"]["failures"]["base"] == 95
-    assert 0 < verdicts[None]["rate"] < 0.02 and verdicts["small"]["rate"] < 0.8
+    assert 0 < verdicts[None]["rate"] < 0.02 and verdicts["small"]["rate"] < 0.93
     kept = {r["record"]["doc_id"] for r in host_rules.judge_documents(frame, limits).filter("kept").collect()}
     assert kept == {i for i, s, t in rows if s not in ("junk", "small") and "#" not in t}
 
