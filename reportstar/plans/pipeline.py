@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import hashlib
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
@@ -12,10 +13,12 @@ from pyspark.sql import functions as F
 
 from reportstar.plans import bridges, dims, fact, keys, staging
 from reportstar.sinks.store import Store
-from reportstar.sources.raw import RawTables
+from reportstar.sources.raw import RawTables, feed_fingerprint
 
 LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
 STAR_INFO = "star_info"
+#: To be raised when a model changes: tables of the old one are then not taken over.
+MODELS_VERSION = "1"
 STAR_TABLES = (
     "stg_adversary", "stg_entity", "adversary_links", "stg_report", "stg_report_adversary",
     "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup",
@@ -50,107 +53,187 @@ def report_ids_are_unique(stg_report: DataFrame) -> bool:
     return repeated.isEmpty()
 
 
+@dataclass(frozen=True)
+class Model:
+    """How a table is made of others. `dated`: the build time is in its rows."""
+
+    reads: tuple[str, ...]
+    build: Callable[[Mapping[str, DataFrame], Build], DataFrame]
+    dated: bool = True
+
+
+@dataclass(frozen=True)
+class Build:
+    """What holds for all models of a run."""
+
+    as_of: datetime
+    report_type: str
+    scratch: Callable[[str], Callable[[DataFrame], DataFrame]]
+
+
+def _label_dim(dimension: str) -> Model:
+    return Model(("dim_key",), lambda t, b: dims.label_dimension(t["dim_key"], dimension, b.as_of))
+
+
+def _bridge(build: Callable[..., DataFrame], *reads: str) -> Model:
+    return Model(reads, lambda t, b: build(*(t[r] for r in reads), b.as_of))
+
+
+def _with_adversaries(t: Mapping[str, DataFrame], _: Build) -> DataFrame:
+    return staging.with_adversaries(t["stg_report"].select("row_key", "report_id"), t["adversary_links"])
+
+
+def _fact(t: Mapping[str, DataFrame], b: Build) -> DataFrame:
+    label_dims = {d: t[table] for d, table in LABEL_DIM_TABLES.items()}
+    return fact.report_fact(
+        t["stg_report"], t["stg_report_adversary"], label_dims, b.as_of, b.scratch("fact_positions")
+    )
+
+
+# Models of one layer do not read each other. `dim_key`, which grows, comes after the first.
+STAGING: dict[str, Model] = {
+    "stg_adversary": Model(("raw_adversary",), lambda t, b: staging.adversary_targets(t["raw_adversary"]), False),
+    "adversary_links": Model(("raw_adversary",), lambda t, b: staging.link_adversaries(t["raw_adversary"]), False),
+    "stg_entity": Model(
+        ("raw_entity", "raw_report"),
+        lambda t, b: staging.stage_entities(t["raw_entity"], t["raw_report"], b.report_type),
+        False,
+    ),
+    "stg_report": Model(
+        ("raw_report",),
+        lambda t, b: fact.with_row_key(staging.stage_report_fields(t["raw_report"], b.report_type)),
+        False,
+    ),
+}
+KEYED = ("stg_report", "stg_adversary", "stg_entity")
+LAYERS: tuple[dict[str, Model], ...] = (
+    {
+        "stg_report_adversary": Model(("stg_report", "adversary_links"), _with_adversaries, False),
+        "dim_entity": _bridge(dims.entity_dimension, "dim_key", "stg_entity"),
+        "dim_adversary": _bridge(dims.adversary_dimension, "dim_key", "stg_adversary"),
+        **{table: _label_dim(d) for d, table in LABEL_DIM_TABLES.items()},
+    },
+    {"entity_lookup": Model(("dim_entity",), lambda t, b: bridges.entity_lookup(t["dim_entity"]))},
+    {
+        "fact_report": Model(("stg_report", "stg_report_adversary", *LABEL_DIM_TABLES.values()), _fact),
+        "bridge_entity": _bridge(bridges.entity_bridge, "stg_report", "entity_lookup"),
+        "bridge_country": _bridge(bridges.country_bridge, "stg_report", "dim_country"),
+        "bridge_group_adversary": _bridge(bridges.group_bridge, "stg_report", "dim_adversary"),
+        "bridge_adversary": _bridge(bridges.adversary_bridge, "stg_report_adversary", "dim_adversary"),
+        "bridge_adversary_country": _bridge(bridges.adversary_country_bridge, "stg_adversary", "dim_country"),
+    },
+)
+
+
+class _Run:
+    """One run over a store: tables by name, and how each is made or taken over."""
+
+    def __init__(self, store: Store, build: Build, tables: dict[str, DataFrame], feeds: Mapping[str, str | None]):
+        self.store, self.build, self.tables, self.feeds = store, build, tables, feeds
+
+    def fingerprint(self, name: str, reads: Sequence[str], dated: bool) -> str | None:
+        """Of all that the rows of a table follow from. None: unknown, so the table is made."""
+        if not self.store.resumes:
+            return None
+        origins = [self.feeds[r] if r in self.feeds else self.store.identity(r) for r in reads]
+        if None in origins:
+            return None
+        known = [MODELS_VERSION, name, self.build.report_type, *origins, str(self.build.as_of) if dated else ""]
+        return hashlib.sha256("\0".join(known).encode()).hexdigest()
+
+    def made(self, name: str, reads: Sequence[str], dated: bool, make: Callable[[], DataFrame]) -> DataFrame:
+        fingerprint = self.fingerprint(name, reads, dated)
+        if fingerprint and (found := self.store.kept(name, fingerprint)) is not None:
+            return found
+        table = make()
+        if fingerprint:
+            self.store.keep(name, fingerprint)
+        return table
+
+    def model(self, name: str, model: Model) -> DataFrame:
+        return self.made(
+            name,
+            model.reads,
+            model.dated,
+            lambda: self.store.replace(name, model.build(self.tables, self.build)),
+        )
+
+    def registry(self) -> DataFrame:
+        candidates = keys.key_candidates(*(self.tables[name] for name in KEYED))
+        cut = self.build.scratch("key_positions")
+        return self.made(
+            "dim_key",
+            KEYED,
+            False,
+            lambda: self.store.extend(
+                "dim_key",
+                lambda existing: keys.register(candidates, existing, self.build.as_of, cut),
+                partition_by=["dimension"],
+            ),
+        )
+
+
 def build_star(
     raw: RawTables,
     store: Store,
     as_of: datetime,
     report_type: str = staging.REPORT_TYPE,
     parallel_models: int = 4,
+    only: Collection[str] | None = None,
+    feeds: Mapping[str, str] | None = None,
 ) -> Star:
     """Stage, register keys, build dimensions, fact and bridges into `store`.
 
     A second run over the same store refreshes every table and appends to the registry, so
     ids stay. Models of one layer do not read each other and are submitted together.
-    One run at a time per store.
+
+    Over a `RunStore` the star is published when it is complete: until then, and for good if the
+    run breaks, readers get the run before. Tables of earlier runs on the same inputs are taken
+    over. `feeds` tells the state of a feed ('raw_report', 'raw_adversary', 'raw_entity'), such
+    as a snapshot id; by default it is taken from the feed's files, and a feed without files is
+    always read. Over other stores one run at a time writes, and readers wait for its end.
+
+    `only`: make these tables (and register keys if 'dim_key' is among them), take the others
+    as the last complete run left them.
 
     Staged reports are two tables: `stg_report` with what a report says itself, written in
     one pass, and `stg_report_adversary` with who claims it, joined on report ids without
     the texts. The fact brings them together in the one shuffle that moves texts.
     """
-    tables: dict[str, DataFrame] = {}
+    sources = {"raw_report": raw.report, "raw_adversary": raw.adversary, "raw_entity": raw.entity}
+    if unknown := set(only or ()) - set(STAR_TABLES):
+        raise ValueError(f"no such tables: {', '.join(sorted(unknown))}")
+    last = None if only is None else load_star(store.last_published() if store.resumes else store)
+    known = {name: (feeds or {}).get(name) for name in sources}
+    if store.resumes:
+        known = {name: known[name] or feed_fingerprint(feed) for name, feed in sources.items()}
+
+    def scratch(name: str) -> Callable[[DataFrame], DataFrame]:
+        """Overwritten by the next run, so that scratch tables do not pile up."""
+        return lambda df: store.replace(f"scratch_{name}", df)
+
+    run = _Run(store, Build(as_of, report_type, scratch), dict(sources), known)
+    if last is not None:
+        run.tables |= last.tables
+        if store.resumes:
+            store.tables |= store.last_published().tables
     _mark_run(store, as_of, None)
     with ThreadPoolExecutor(parallel_models) as pool:
 
-        def refresh(models: Mapping[str, Callable[[], DataFrame]]) -> None:
-            pending = {
-                name: pool.submit(lambda n=name, build=build: store.replace(n, build()))
-                for name, build in models.items()
-            }
-            tables.update({name: job.result() for name, job in pending.items()})
-
-        def scratch(name: str) -> Callable[[DataFrame], DataFrame]:
-            """Overwritten by the next run, so that scratch tables do not pile up."""
-            return lambda df: store.replace(f"scratch_{name}", df)
-
-        def adversaries_and_links() -> DataFrame:
-            staged = store.replace("stg_adversary", staging.stage_adversaries(raw.adversary))
-            tables["stg_adversary"] = staged
-            return staging.link_adversaries(staged)
-
-        refresh(
-            {
-                "adversary_links": adversaries_and_links,
-                "stg_entity": lambda: staging.stage_entities(raw.entity, raw.report, report_type),
-                "stg_report": lambda: fact.with_row_key(
-                    staging.stage_report_fields(raw.report, report_type)
-                ),
-            }
-        )
-        reports, adversaries = tables["stg_report"], tables["stg_adversary"]
-        unique_report_ids = pool.submit(report_ids_are_unique, reports)
-
-        def report_adversaries() -> DataFrame:
-            rows = reports.select("row_key", "report_id")
-            return staging.with_adversaries(rows, tables["adversary_links"])
-
-        candidates = keys.key_candidates(reports, adversaries, tables["stg_entity"])
-        unseen = keys.register(
-            candidates, store.read_if_exists("dim_key"), as_of, scratch("key_positions")
-        )
-        registry = tables["dim_key"] = store.append("dim_key", unseen, partition_by=["dimension"])
-
-        def label_dim(dimension: str) -> Callable[[], DataFrame]:
-            return lambda: dims.label_dimension(registry, dimension, as_of)
-
-        def adversary_dim() -> DataFrame:
-            return dims.adversary_dimension(registry, adversaries, as_of)
-
-        def entity_dim() -> DataFrame:
-            return dims.entity_dimension(registry, tables["stg_entity"], as_of)
-
-        refresh(
-            {
-                "stg_report_adversary": report_adversaries,
-                "dim_entity": entity_dim,
-                "dim_adversary": adversary_dim,
-                **{table: label_dim(d) for d, table in LABEL_DIM_TABLES.items()},
-            }
-        )
-        label_dims = {d: tables[table] for d, table in LABEL_DIM_TABLES.items()}
-        claims = tables["stg_report_adversary"]
-        countries, actors = tables["dim_country"], tables["dim_adversary"]
-
-        def entity_bridge() -> DataFrame:
-            lookup = store.replace("entity_lookup", bridges.entity_lookup(tables["dim_entity"]))
-            tables["entity_lookup"] = lookup
-            return bridges.entity_bridge(reports, lookup, as_of)
-
-        refresh(
-            {
-                "fact_report": lambda: fact.report_fact(
-                    reports, claims, label_dims, as_of, scratch("fact_positions")
-                ),
-                "bridge_entity": entity_bridge,
-                "bridge_country": lambda: bridges.country_bridge(reports, countries, as_of),
-                "bridge_group_adversary": lambda: bridges.group_bridge(reports, actors, as_of),
-                "bridge_adversary": lambda: bridges.adversary_bridge(claims, actors, as_of),
-                "bridge_adversary_country": lambda: bridges.adversary_country_bridge(
-                    adversaries, countries, as_of
-                ),
-            }
-        )
-        star = Star(tables, unique_report_ids.result(), as_of)
+        def refresh(models: Mapping[str, Model]) -> None:
+            chosen = {n: m for n, m in models.items() if only is None or n in only}
+            pending = {name: pool.submit(run.model, name, model) for name, model in chosen.items()}
+            run.tables.update({name: job.result() for name, job in pending.items()})
+
+        refresh(STAGING)
+        unique_report_ids = pool.submit(report_ids_are_unique, run.tables["stg_report"])
+        if only is None or "dim_key" in only:
+            run.tables["dim_key"] = run.registry()
+        for layer in LAYERS:
+            refresh(layer)
+        star = Star({name: run.tables[name] for name in STAR_TABLES}, unique_report_ids.result(), as_of)
     _mark_run(store, as_of, star.unique_report_ids)
+    store.publish()
     return star
 
 

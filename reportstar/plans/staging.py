@@ -39,45 +39,84 @@ def of_type(raw_report: DataFrame, report_type: str) -> DataFrame:
     return raw_report.filter(F.col("report_type") == report_type)
 
 
-def merge_adversaries(raw_adversary: DataFrame) -> DataFrame:
-    """One row per adversary id: the smallest name, and its different lists put together, members once. Rows without
-    an id are left alone, and so are the lists of an id that has one row."""
-    lists = ("report_ids", "targeted_country")
-
-    def together(c: str) -> Column:
-        members = F.flatten(F.transform(F.sort_array(c), lambda text: F.split(text, PIPE)))
-        distinct = F.array_distinct(F.transform(members, lambda m: F.upper(F.trim(m))))
-        return F.when(F.size(c) > 1, F.array_join(distinct, "|")).otherwise(F.get(c, F.lit(0))).alias(c)
-
-    known = F.col("adversary_id").isNotNull()
-    merged = (
-        raw_adversary.filter(known)
+def _merged_list(raw_adversary: DataFrame, column: str) -> DataFrame:
+    """(adversary_id, list_text, members) of ids that have one. An id with one text keeps it as it is; of several, the
+    members are put together, each once. Members are made distinct before an id's are gathered, so the rows of a hot id
+    meet in no task."""
+    known = raw_adversary.filter(F.col("adversary_id").isNotNull())
+    texts = known.groupBy("adversary_id").agg(F.min(column).alias("least"), F.max(column).alias("most"))
+    sets = (
+        known.select("adversary_id", F.explode(tokens(F.col(column), PIPE)).alias("member"))
+        .distinct()
         .groupBy("adversary_id")
-        .agg(F.min("adversary").alias("adversary"), *(F.collect_set(c).alias(c) for c in lists))
-        .select("adversary_id", "adversary", *(together(c) for c in lists))
+        .agg(F.sort_array(F.collect_list("member")).alias("together"))
+    )
+    together = F.coalesce("together", F.array().cast("array<string>"))
+    several = F.col("least") != F.col("most")
+    return texts.join(sets, "adversary_id", "left").select(
+        "adversary_id",
+        F.when(several, F.array_join(together, "|")).otherwise(F.col("least")).alias("list_text"),
+        F.when(several, together).otherwise(tokens(F.col("least"), PIPE)).alias("members"),
     )
-    return merged.unionByName(raw_adversary.filter(~known).select(merged.columns))
 
 
-def stage_adversaries(raw_adversary: DataFrame) -> DataFrame:
-    countries = tokens(F.col("targeted_country"), PIPE)
-    return merge_adversaries(raw_adversary).select(
+def adversary_targets(raw_adversary: DataFrame) -> DataFrame:
+    """One row per adversary id: the smallest name, its target countries and their key. Rows without an id are left alone.
+    The report lists are not in it, see `link_adversaries`."""
+    named = (
+        raw_adversary.filter(F.col("adversary_id").isNotNull())
+        .groupBy("adversary_id")
+        .agg(F.min("adversary").alias("adversary"))
+    )
+    merged = named.join(_merged_list(raw_adversary, "targeted_country"), "adversary_id").select(
+        "adversary_id", "adversary", "list_text", "members"
+    )
+    unnamed = raw_adversary.filter(F.col("adversary_id").isNull()).select(
         "adversary_id",
         "adversary",
-        tokens(F.col("report_ids"), PIPE).alias("member_reports"),
-        countries.alias("country_members"),
-        target_country_key(F.col("targeted_country"), countries).alias("country_group_key"),
+        F.col("targeted_country").alias("list_text"),
+        tokens(F.col("targeted_country"), PIPE).alias("members"),
+    )
+    return merged.unionByName(unnamed).select(
+        "adversary_id",
+        "adversary",
+        F.col("members").alias("country_members"),
+        target_country_key(F.col("list_text"), F.col("members")).alias("country_group_key"),
+    )
+
+
+def stage_adversaries(raw_adversary: DataFrame) -> DataFrame:
+    """The staged adversary as one table, with the list of its reports as one value. The build does not store the lists,
+    nothing reads them: it links the raw lists' members."""
+    rest = adversary_targets(raw_adversary)
+    lists = _merged_list(raw_adversary, "report_ids").select(
+        "adversary_id", F.col("members").alias("member_reports")
+    )
+    named = rest.filter(F.col("adversary_id").isNotNull()).join(lists, "adversary_id")
+    unnamed = raw_adversary.filter(F.col("adversary_id").isNull())
+    countries = tokens(F.col("targeted_country"), PIPE)
+    columns = ["adversary_id", "adversary", "member_reports", "country_members", "country_group_key"]
+    return named.select(columns).unionByName(
+        unnamed.select(
+            "adversary_id",
+            "adversary",
+            tokens(F.col("report_ids"), PIPE).alias("member_reports"),
+            countries.alias("country_members"),
+            target_country_key(F.col("targeted_country"), countries).alias("country_group_key"),
+        )
     )
 
 
-def link_adversaries(stg_adversary: DataFrame) -> DataFrame:
+def link_adversaries(raw_adversary: DataFrame) -> DataFrame:
     """(report_id, adversary_ids): the report lists of all adversaries, turned around.
 
-    Exploding the lists gives an equi-join key; work grows with the number of links and not
-    with reports x adversaries. The set is built map-side first.
+    Exploding the raw lists gives an equi-join key; work grows with the number of links and not with reports x
+    adversaries. The set is built map-side first, and rows are dealt by report: an adversary with a third of the feed
+    is spread like any other.
     """
     return (
-        stg_adversary.select(F.explode("member_reports").alias("report_id"), "adversary_id")
+        raw_adversary.filter(F.col("adversary_id").isNotNull())
+        .select(F.explode(tokens(F.col("report_ids"), PIPE)).alias("report_id"), "adversary_id")
         .groupBy("report_id")
         .agg(F.collect_set("adversary_id").alias("adversary_ids"))
     )

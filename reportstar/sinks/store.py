@@ -70,8 +70,33 @@ class Store(Protocol):
         """Add rows; `df` may read the table it is appended to."""
         ...
 
+    def extend(
+        self, name: str, build: Callable[[DataFrame | None], DataFrame], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Add the rows that `build` makes from the table so far (None: there is none)."""
+        ...
+
+    def publish(self) -> None:
+        """The run is complete."""
+        ...
+
+
+class OneRunStore:
+    """A store that knows one run at a time: what is written is what readers see, and nothing is taken over from a run
+    that broke. `RunStore` keeps runs apart."""
+
+    resumes = False
+
+    def extend(
+        self, name: str, build: Callable[[DataFrame | None], DataFrame], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        return self.append(name, build(self.read_if_exists(name)), partition_by)
+
+    def publish(self) -> None:
+        pass
+
 
-class TableStore:
+class TableStore(OneRunStore):
     """Named parquet tables under one folder."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -96,7 +121,7 @@ class TableStore:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
-class CatalogStore:
+class CatalogStore(OneRunStore):
     """Tables of a catalog schema. A provider with atomic replacement (Delta, Iceberg) gives
     readers the old or the new table; parquet tables are overwritten in place."""
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +71,19 @@ class RawTables:
         return cls.from_frames(
             spark.read.parquet(report), spark.read.parquet(adversary), spark.read.parquet(entity)
         )
+
+
+def feed_fingerprint(feed: DataFrame) -> str | None:
+    """Changes when a file of the feed does, or what is selected from it: from names, sizes and times of all its files,
+    without reading them, and its plan. None for rows that do not come from files."""
+    plan = re.sub(r"#\d+L?", "", feed._jdf.queryExecution().optimizedPlan().toString())
+    paths = feed.inputFiles()
+    if not paths or re.search(r"LocalRelation|LogicalRDD|Range \(", plan):
+        return None
+    try:
+        found = feed.sparkSession.read.format("binaryFile").load(paths)
+    except AnalysisException:
+        return None  # no plain files
+    of_file = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    row = found.agg(F.count("*").alias("n"), F.sum("length").alias("b"), F.bit_xor(of_file).alias("x")).first()
+    return f"{row['n']}-{row['b']}-{row['x']}-{hashlib.sha256(plan.encode()).hexdigest()}"

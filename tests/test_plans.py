@@ -78,7 +78,7 @@ def skewed_star(spark):
 def test_report_staging_has_no_nested_loop_and_pushes_the_type_filter(spark, no_broadcast):
     raw = feeds(spark, reports=[{"id": "1"}], adversaries=[{"adversary_id": "A", "report_ids": "1"}])
     report = TableStore(spark).replace("raw_report", raw.report)
-    links = staging.link_adversaries(staging.stage_adversaries(raw.adversary))
+    links = staging.link_adversaries(raw.adversary)
     plan = plan_of(staging.stage_reports(report, links))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "EqualTo(report_type,threat)" in plan
@@ -93,7 +93,7 @@ def test_narrow_consumers_do_not_read_texts(spark):
 
 def test_fact_sorts_in_ranges_and_shuffles_wide_rows_once(spark, no_broadcast):
     raw = feeds(spark, reports=[{"id": "1"}])
-    links = staging.link_adversaries(staging.stage_adversaries(raw.adversary))
+    links = staging.link_adversaries(raw.adversary)
     store = TableStore(spark)
     staged = fact.with_row_key(staging.stage_report_fields(raw.report))
     assert exchanges(plan_of(staged)) == 0

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from conftest import feeds, rows_of
+from pyspark.sql import functions as F
 
 from reportstar.plans import staging
 from reportstar.sources import RawTables
@@ -8,8 +9,7 @@ from reportstar.sources import RawTables
 
 def staged(spark, **rows):
     raw = feeds(spark, **rows)
-    adversaries = staging.stage_adversaries(raw.adversary)
-    return staging.stage_reports(raw.report, staging.link_adversaries(adversaries))
+    return staging.stage_reports(raw.report, staging.link_adversaries(raw.adversary))
 
 
 def entities(spark, **rows):
@@ -118,3 +118,30 @@ def test_feeds_with_other_column_names(spark):
         raw.report, theirs, raw.entity, {"adversary": {"their_ids": "report_ids"}}
     )
     assert same.adversary.columns == raw.adversary.columns
+
+
+def test_rows_of_a_hot_adversary_meet_in_no_task(spark):
+    """One id on a third of the feed, each row with lists of its own; the others have a row each."""
+    rows = [
+        {"adversary_id": "HOT" if i % 3 == 0 else f"A{i}", "report_ids": f"r{i}|R{i + 1}", "targeted_country": f"c{i % 7}"}
+        for i in range(3000)
+    ]
+    raw = feeds(spark, adversaries=rows)
+    links = staging.link_adversaries(raw.adversary.repartition(8))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = links.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) > 1 and max(t["count"] for t in tasks) < 2 * 3001 / len(tasks)
+    assert dict(rows_of(links.filter("report_id < 'R103'"), "report_id", "adversary_ids"))["R10"] in (
+        ["A10", "HOT"], ["HOT", "A10"]
+    )
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(report_id" in plan
+    hot = staging.stage_adversaries(raw.adversary).filter("adversary_id = 'HOT'").first()
+    assert hot["country_members"] == [f"C{k}" for k in range(7)]
+    assert hot["member_reports"] == sorted({f"R{i + k}" for i in range(0, 3000, 3) for k in (0, 1)})
+    targets = staging.adversary_targets(raw.adversary)
+    assert "report_ids" not in targets._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+    assert rows_of(targets, "adversary_id", "country_group_key") == rows_of(
+        staging.stage_adversaries(raw.adversary), "adversary_id", "country_group_key"
+    )
