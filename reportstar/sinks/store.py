@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from reportstar.sinks.files import SmallFiles
+
 # Error conditions of a table that is not there, or has no rows yet.
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
 
@@ -38,10 +41,23 @@ def shared_folder(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to a fresh scratch table and read it back: values that a retry could
     compute differently (row positions) are fixed by it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/scratch/{uuid.uuid4().hex}"
+    return df.sparkSession.read.schema(df.schema).parquet(_written(df))
+
+
+@contextmanager
+def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
+    """The same for as long as the block lasts; then the table is deleted."""
+    path = _written(df)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        SmallFiles(df.sparkSession, path).delete("")
+
+
+def _written(df: DataFrame) -> str:
+    path = f"{shared_folder(df.sparkSession)}/scratch/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:

@@ -11,7 +11,7 @@ from reportstar.plans.pipeline import STAR_TABLES, load_star
 from reportstar.sinks import jdbc
 from reportstar.sinks.contracts import CONTRACTS, GENERATED, conform, overlong_keys
 from reportstar.sinks.export import export_star
-from reportstar.sinks.store import CatalogStore, TableStore, cut_lineage, shared_folder
+from reportstar.sinks.store import CatalogStore, TableStore, cut_lineage, scratch_table, shared_folder
 
 
 def test_page_count():
@@ -169,3 +169,13 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
 def test_build_times_come_from_the_caller(star):
     assert {r[0] for r in star["dim_country"].select("updated_at").collect()} == {AS_OF}
+
+
+def test_scratch_tables_end_with_their_block(spark):
+    from pathlib import Path
+
+    folder = Path(shared_folder(spark)) / "scratch"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    with scratch_table(spark.range(3)) as table:
+        assert table.count() == 3 and len(set(folder.glob("*")) - before) == 1
+    assert set(folder.glob("*")) == before
