@@ -4,8 +4,9 @@ In a bucket of `repeats`, the contexts are cut into shards, and each shard gets
 transforms are merged by refining an interleave: after h rounds the interleave puts the suffixes of all
 shards in the order of their first h bytes, without comparing any two suffixes. Each round is one stable
 distribution of the interleave by the symbol that precedes each suffix; along with it go the blocks of suffixes
-that share those h bytes, which are common prefixes as they grow. After `window` rounds the blocks are the repeated
-intervals, and the smallest document of a block covers the others' windows.
+that share those h bytes, which are common prefixes as they grow. A block that one document alone has is settled and
+takes no part in later rounds. After `window` rounds the blocks are the repeated intervals, and the smallest document
+of a block covers the others' windows. Contexts that equal one of a smaller document need no rounds.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame
 from reportstar.llm.repeats import Contexts, Spans, Units, remove_repeats
 
 MOST_SHARDS = 256  # a shard's number is one byte of the interleave
+SHARD_SIZE = 1 << 15
+PART_SIZE = 1 << 17  # what is merged at a time: small enough for the cache of a core
 
 
 def suffix_array(text: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
@@ -33,19 +36,26 @@ def suffix_array(text: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray
     for k in range(6):  # six symbols of nine bits
         key = (key << np.uint64(9)) | np.where(left > k, padded[k : k + n], np.uint64(0))
     order = np.argsort(key, kind="stable")
+    key = key[order]
+    opens = np.concatenate([[True], key[1:] != key[:-1], [True]])
+    rank = np.empty(n, np.int64)  # where the suffixes that are equal so far start
+    rank[order] = np.maximum.accumulate(np.where(opens[:-1], np.arange(n), 0))
     width = 6
-    while True:
-        ordered = key[order]
-        rank = np.zeros(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
-        if width > longest or rank.max() == n - 1:
-            return order
-        further = np.zeros(n, np.int64)
-        on = left > width
-        further[on] = rank[np.flatnonzero(on) + width] + 1
-        key = rank * np.int64(n + 1) + further
-        order = np.argsort(key, kind="stable")
+    places = np.flatnonzero(~(opens[:-1] & opens[1:]))
+    while len(places) and width <= longest:  # only what is not alone yet is sorted further
+        tied = order[places]
+        further = np.zeros(len(tied), np.int64)
+        on = left[tied] > width
+        further[on] = rank[tied[on] + width] + 1
+        key = rank[tied] * np.int64(n + 1) + further
+        sort = np.argsort(key, kind="stable")
+        key, tied = key[sort], tied[sort]
+        order[places] = tied
+        opens = np.concatenate([[True], key[1:] != key[:-1], [True]])
+        rank[tied] = np.maximum.accumulate(np.where(opens[:-1], places, 0))
+        places = places[~(opens[:-1] & opens[1:])]
         width *= 2
+    return order
 
 
 class Shard:
@@ -65,35 +75,76 @@ class Shard:
         self.strings = len(strings)
 
 
+SETTLE_EVERY = 4  # rounds between two looks for what has settled
+
+
 def interleave(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Number of the shard each suffix comes from, in the order of their first `depth` symbols, and the block of
     suffixes it shares these with."""
+    z, block, _ = refined(shards, depth, None)
+    return z, block
+
+
+def refined(shards: list[Shard], depth: int, owner: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The interleave, its blocks, and which suffix (as the shards list them) stands where.
+
+    owner: of each suffix. Then only suffixes of at least `depth` symbols are brought into order, and a block of one
+    owner settles: more symbols only split it, and all that is made of it by a symbol in front has one owner too. What
+    has settled is left out of later rounds and of the result. None: all suffixes, and nothing settles.
+    """
     before = np.concatenate([s.before for s in shards])
-    numbers = np.concatenate([np.full(len(s.before), i, np.uint8) for i, s in enumerate(shards)])
     # Symbols by rank, the end is 0; one byte unless all 256 bytes occur.
     kinds, rank = np.unique(np.append(before, 0), return_inverse=True)
     symbol_of = rank[:-1].astype(np.uint8 if len(kinds) <= 256 else np.uint16)
-    counts = np.bincount(rank[:-1], minlength=len(kinds))
-    ends = int(counts[0])
+    # The suffix that is longer by the symbol in front, in the same shard.
+    longer = np.empty(len(before), np.int32)
+    first = 0
+    for s in shards:
+        longer[first + np.argsort(symbol_of[first : first + len(s.before)], kind="stable")] = np.arange(
+            first, first + len(s.before)
+        )
+        first += len(s.before)
     head = np.concatenate([np.full(s.strings, i, np.uint8) for i, s in enumerate(shards)])
-    own = np.arange(ends, dtype=np.int32)
-    # Where the first symbol changes; it is the same in every round.
-    changes = np.zeros(len(before) - ends, bool)
-    changes[np.cumsum(counts[1:])[:-1]] = True
-    changes[:1] = True
-    z, block = numbers, np.zeros(len(numbers), np.int32)
-    symbol = np.empty_like(symbol_of)
-    for _ in range(depth):
-        # Where the suffixes of each shard stand, in their order: there its transform goes.
-        symbol[np.argsort(z, kind="stable")] = symbol_of
-        # Ends are all different and keep the order of their strings.
-        moved = np.argsort(symbol, kind="stable")[ends:]
-        came = block[moved]
-        turn = changes.copy()
-        turn[1:] |= came[1:] != came[:-1]
-        z = np.concatenate([head, z[moved]])
-        block = np.concatenate([own, ends - 1 + np.cumsum(turn, dtype=np.int32)])
-    return z, block
+    z = np.concatenate([np.full(len(s.before), i, np.uint8) for i, s in enumerate(shards)])
+    firsts = np.cumsum([0, *(len(s.before) for s in shards[:-1])])
+    end_suffixes = np.concatenate([np.arange(f, f + s.strings) for f, s in zip(firsts, shards, strict=True)])
+    suffixes = np.arange(len(z), dtype=np.int32)  # as the shards list them
+    if owner is not None:  # each round adds a symbol in front: what starts further left cannot take `depth` of them
+        suffixes = np.flatnonzero(np.concatenate([s.offset for s in shards]) >= depth).astype(np.int32)
+        z = z[suffixes]
+    block = np.zeros(len(z), np.int32)
+    place = np.arange(len(z))  # where they stand in the interleave
+    for step in range(1, depth + 1):
+        if not len(z):
+            break
+        symbol = np.empty(len(z), symbol_of.dtype)
+        mine = symbol_of[suffixes]
+        symbol[place] = mine
+        moved = np.argsort(symbol, kind="stable")
+        moved = moved[np.count_nonzero(mine == 0) :]
+        came, sign = block[moved], symbol[moved]
+        turn = np.ones(len(moved), bool)
+        turn[1:] = (came[1:] != came[:-1]) | (sign[1:] != sign[:-1])
+        z, block = z[moved], np.cumsum(turn, dtype=np.int32)
+        suffixes = np.sort(longer[suffixes[mine > 0]])
+        if owner is None:
+            # Ends are all different and keep the order of their strings.
+            z = np.concatenate([head, z])
+            block = np.concatenate([np.arange(-len(head), 0, dtype=np.int32), block])
+            suffixes = np.sort(np.concatenate([end_suffixes.astype(np.int32), suffixes]))
+        place = np.argsort(z, kind="stable")
+        if owner is not None and step % SETTLE_EVERY == 0:
+            owners = np.empty(len(z), owner.dtype)
+            owners[place] = owner[suffixes]
+            mixed = np.zeros(len(z) + 2, bool)
+            mixed[block[1:][(block[1:] == block[:-1]) & (owners[1:] != owners[:-1])]] = True
+            stays = mixed[block]
+            going_on = stays[place]
+            suffixes, place = suffixes[going_on], (np.cumsum(stays) - 1)[place[going_on]]
+            z, block = z[stays], block[stays]
+    standing = np.empty(len(z), np.int32)
+    standing[place] = suffixes
+    return z, block, standing
 
 
 def anchor_of(strings: list[bytes], window: int, gram: int) -> np.ndarray:
@@ -108,27 +159,33 @@ def smallest_by_window(strings: list[bytes], smallest: np.ndarray, window: int)
     """The smallest document (of `smallest`, by string) that has each window, windows by string and place; and the
     number of windows of each string."""
     sizes = np.cumsum([len(s) + 1 for s in strings])
-    per_shard = max(1 << 18, -(-int(sizes[-1]) // (MOST_SHARDS - 1)))
+    per_shard = max(SHARD_SIZE, -(-int(sizes[-1]) // (MOST_SHARDS - 1)))
     cuts = np.searchsorted(sizes, np.arange(per_shard, int(sizes[-1]), per_shard)).tolist()
     edges = sorted({0, *cuts, len(strings)})
     shards = [Shard(strings[a:b], a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    z, block = interleave(shards, window)
-    place = np.argsort(z, kind="stable")
-    string = np.empty(len(z), np.int64)
-    offset = np.empty(len(z), np.int64)
-    string[place] = np.concatenate([s.string for s in shards])
-    offset[place] = np.concatenate([s.offset for s in shards])
+    string = np.concatenate([s.string for s in shards])
+    offset = np.concatenate([s.offset for s in shards])
+    _, block, standing = refined(shards, window, smallest[string])
     length = np.array([len(s) for s in strings])
-    whole = np.flatnonzero(offset + window <= length[string])
-    string, offset, block = string[whole], offset[whole], block[whole]
-    opens = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-    least = np.repeat(np.minimum.reduceat(smallest[string], opens), np.diff(np.append(opens, len(block))))
     windows = length - window + 1
-    out = np.empty(int(windows.sum()), np.int64)
-    out[(np.cumsum(windows) - windows)[string] + offset] = least
+    out = np.repeat(smallest, windows)  # what has settled has no smaller document
+    string, offset = string[standing], offset[standing]
+    if len(block):
+        opens = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        least = np.repeat(np.minimum.reduceat(smallest[string], opens), np.diff(np.append(opens, len(block))))
+        out[(np.cumsum(windows) - windows)[string] + offset] = least
     return out, windows
 
 
+def anchor_parts(strings: np.ndarray, kind: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """`strings`, which are in the order of their anchors, in parts of about PART_SIZE symbols; strings of one anchor,
+    and only these can share windows, stay together."""
+    starts = np.cumsum(sizes) - sizes
+    opens = np.concatenate([[True], kind[strings[1:]] != kind[strings[:-1]]])
+    part = np.maximum.accumulate(np.where(opens, starts, 0)) // PART_SIZE
+    return np.split(strings, np.flatnonzero(part[1:] != part[:-1]) + 1)
+
+
 def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
     texts, docs, starts, codes = contexts
     # Equal contexts are one string; whoever has it beyond the smallest document is an owner like the others.
@@ -140,10 +197,15 @@ def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
     # A string that is alone with its anchor shares no window with any other.
     _, kind, kinds = np.unique(anchor_of(strings, window, gram), return_inverse=True, return_counts=True)
     shared = np.flatnonzero(kinds[kind] > 1)
+    shared = shared[np.argsort(kind[shared], kind="stable")]
     row = np.full(len(strings), -1)
     row[shared] = np.arange(len(shared))
     if len(shared):
-        least, windows = smallest_by_window([strings[i] for i in shared], smallest[shared], window)
+        parts = [
+            smallest_by_window([strings[i] for i in part], smallest[part], window)
+            for part in anchor_parts(shared, kind, np.array([len(strings[i]) + 1 for i in shared]))
+        ]
+        least, windows = (np.concatenate(c) for c in zip(*parts, strict=True))
         first = np.cumsum(windows) - windows
     out = []
     for i, s in enumerate(string_of.tolist()):

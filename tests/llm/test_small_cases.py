@@ -411,6 +411,23 @@ def test_merged_shards_order_suffixes_as_sorting_does():
         assert (block[i] == block[i - 1]) == same
 
 
+@pytest.mark.parametrize("shard, part", [(20, 40), (64, 1 << 17), (1 << 15, 1 << 17)])
+def test_least_documents_do_not_depend_on_what_has_settled(monkeypatch, shard, part):
+    monkeypatch.setattr(bwt_merge, "SHARD_SIZE", shard)
+    monkeypatch.setattr(bwt_merge, "PART_SIZE", part)
+    rng = random.Random(5)
+    for window in (3, 9, 14):
+        strings = list({bytes(rng.choice(b"ab") for _ in range(rng.randint(window, 40))) for _ in range(40)})
+        docs = np.array([rng.randint(0, 6) for _ in strings])
+        least, windows = bwt_merge.smallest_by_window(strings, docs, window)
+        assert windows.tolist() == [len(s) - window + 1 for s in strings]
+        first = {}
+        for s, d in zip(strings, docs.tolist()):
+            for i in range(len(s) - window + 1):
+                first[s[i : i + window]] = min(d, first.get(s[i : i + window], d))
+        assert least.tolist() == [first[s[i : i + window]] for s in strings for i in range(len(s) - window + 1)]
+
+
 # Near-duplicates
 
 
