@@ -150,9 +150,10 @@ def refined(shards: list[Shard], depth: int, owner: np.ndarray | None) -> tuple[
 def anchor_of(strings: list[bytes], window: int, gram: int) -> np.ndarray:
     """Hash of the anchor of each context, which all its windows share."""
     firsts = np.frombuffer(b"".join(s[:window] for s in strings), np.uint8)
-    grams = Units(window, gram, False).split(firsts)[2]
+    units = Units(window, gram, False)
+    grams = units.split(firsts)[2]
     grams = np.append(grams, np.zeros(gram - 1, np.uint64)).reshape(-1, window)
-    return grams[:, : window - gram + 1].min(axis=1)
+    return units.upper_bits(grams[:, : window - gram + 1].min(axis=1))
 
 
 def smallest_by_window(strings: list[bytes], smallest: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:

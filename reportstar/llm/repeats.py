@@ -74,18 +74,27 @@ class Units:
         return starts, ends, mixed(grams)
 
     def anchors(self, grams: np.ndarray) -> np.ndarray:
-        """For every window, the place of its anchor."""
-        values, places, done = grams, np.arange(len(grams), dtype=np.int32), 1
+        """For every window, the place of its anchor: the first gram with the smallest upper bits."""
         width = self.window - self.gram + 1
-        if len(grams) < width:
-            return places[:0]
-        while done < width:
-            step = min(done, width - done)
-            right = values[step:] < values[:-step]
-            values = np.where(right, values[step:], values[:-step])
-            places = np.where(right, places[step:], places[:-step])
-            done += step
-        return places
+        out = np.empty(max(0, len(grams) - width + 1), np.int32)
+        for at in range(0, len(out), self.places // 2):  # the lower bits hold the place in a stretch
+            stretch = grams[at : at + self.places // 2 + width - 1]
+            keys = self.upper_bits(stretch) | np.arange(len(stretch), dtype=np.uint64)
+            done = 1
+            while done < width:
+                step = min(done, width - done)
+                keys = np.minimum(keys[step:], keys[:-step])
+                done += step
+            out[at : at + len(keys)] = (keys & np.uint64(self.places - 1)).astype(np.int32) + at
+        return out
+
+    @property
+    def places(self) -> int:
+        """Room for two windows and more."""
+        return 1 << max(16, (2 * self.window).bit_length())
+
+    def upper_bits(self, grams: np.ndarray) -> np.ndarray:
+        return grams & ~np.uint64(self.places - 1)
 
 
 def squeeze(*columns: np.ndarray) -> bytes:

@@ -20,6 +20,7 @@ from reportstar.llm import (
     near_dedup,
     packing,
     queries,
+    repeats,
     sharding,
     suffix_automaton,
     token_counts,
@@ -411,6 +412,15 @@ def test_merged_shards_order_suffixes_as_sorting_does():
         assert (block[i] == block[i - 1]) == same
 
 
+@pytest.mark.parametrize("n", [0, 6, 7, 40, 70_000, 200_000])
+def test_anchors_are_the_first_smallest_grams(n):
+    units = repeats.Units(window=10, gram=4, words=False)
+    grams = np.random.default_rng(n).integers(0, 50, n).astype(np.uint64) << np.uint64(17)
+    width = 7
+    want = [] if n < width else np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1) + np.arange(n - width + 1)
+    assert units.anchors(grams).tolist() == list(want)
+
+
 @pytest.mark.parametrize("shard, part", [(20, 40), (64, 1 << 17), (1 << 15, 1 << 17)])
 def test_least_documents_do_not_depend_on_what_has_settled(monkeypatch, shard, part):
     monkeypatch.setattr(bwt_merge, "SHARD_SIZE", shard)
