@@ -29,7 +29,7 @@ def suffix_array(text: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray
     `text` holds symbols from 1, and 0 at every end; equal suffixes follow the order of their strings.
     """
     n = len(text)
-    string_end = ends[np.searchsorted(ends, np.arange(n))]
+    string_end = np.repeat(ends, np.diff(ends, prepend=-1))
     padded = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.uint64)
     left = (string_end - np.arange(n)).astype(np.int64)
     key = np.zeros(n, np.uint64)
@@ -68,7 +68,7 @@ class Shard:
         text[ends] = 0
         # An end sorts before every byte, ends among themselves by string: those places come first.
         order = suffix_array(text, ends, int(sizes.max()))
-        string = np.searchsorted(ends, order)
+        string = np.repeat(np.arange(len(sizes)), sizes)[order]
         self.string = string + first
         self.offset = order - (ends - sizes + 1)[string]
         self.before = np.where(self.offset > 0, text[order - 1], 0)
@@ -201,6 +201,7 @@ def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
     shared = shared[np.argsort(kind[shared], kind="stable")]
     row = np.full(len(strings), -1)
     row[shared] = np.arange(len(shared))
+    runs: dict[int, list[tuple[int, int]]] = {}  # of covered windows, by row
     if len(shared):
         parts = [
             smallest_by_window([strings[i] for i in part], smallest[part], window)
@@ -208,21 +209,22 @@ def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
         ]
         least, windows = (np.concatenate(c) for c in zip(*parts, strict=True))
         first = np.cumsum(windows) - windows
+        theirs = least < np.repeat(smallest[shared], windows)
+        turns = np.zeros(len(theirs) + 1, bool)
+        turns[1:-1] = theirs[1:] != theirs[:-1]
+        turns[first] = turns[-1] = True  # no run goes beyond its string
+        turned = np.flatnonzero(turns)
+        lengths, turned = np.diff(turned), turned[:-1]
+        lengths, turned = lengths[theirs[turned]], turned[theirs[turned]]
+        of = np.searchsorted(first, turned, "right") - 1
+        for k, a, n in zip(of.tolist(), (turned - first[of]).tolist(), lengths.tolist(), strict=True):
+            runs.setdefault(k, []).append((a, n))
     out = []
-    for i, s in enumerate(string_of.tolist()):
-        doc, k = int(docs[i]), row[s]
-        if smallest[s] < doc:
-            runs = [(0, len(texts[i]) - window + 1)]
-        elif k < 0:
-            continue
-        else:
-            mine = least[first[k] : first[k] + windows[k]] < doc
-            if not mine.any():
-                continue
-            turns = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]]))).tolist()
-            runs = [(a, b - a) for a, b in zip(turns[::2], turns[1::2], strict=True)]
+    again = smallest[string_of] < docs
+    for i in np.flatnonzero(again | np.isin(row[string_of], list(runs))).tolist():
+        spans = [(0, len(texts[i]) - window + 1)] if again[i] else runs[int(row[string_of[i]])]
         seen = list(zip(starts[i].tolist(), codes[i].tolist(), strict=True))
-        out += [(doc, c, x + a, n) for a, n in runs for x, c in seen]
+        out += [(int(docs[i]), c, x + a, n) for a, n in spans for x, c in seen]
     return out
 
 

@@ -207,8 +207,10 @@ def unpacked_contexts(blobs: list[bytes]) -> Contexts:
         text, ends = zstandard.decompress(parts[2]), np.cumsum(sizes).tolist()
         contexts += [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         docs.append(doc)
-        starts += np.split(places, np.cumsum(counts)[:-1])
-        codes += np.split(code, np.cumsum(counts)[:-1])
+        lasts = np.cumsum(counts).tolist()
+        for a, b in zip([0, *lasts[:-1]], lasts, strict=True):
+            starts.append(places[a:b])
+            codes.append(code[a:b])
     return contexts, np.concatenate(docs), starts, codes
 
 
