@@ -216,10 +216,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM ruled JOIN rated ON ruled.source IS NOT DISTINCT FROM rated.source
 """
 
+# Texts as hex, so that a byte is two characters.
+SUFFIX_ARRAY_DEDUP = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- Stretches of 1000 window starts: a substring costs what its string is long.
+stretches AS (
+    SELECT doc_id, base, substr(h, 2 * base + 1, 2 * 1049) AS part
+    FROM (SELECT *, unnest(range(0, length(h) // 2, 1000)) AS base FROM texts)
+),
+starts AS (SELECT *, unnest(range(0, greatest(0, length(part) // 2 - 49))) AS j FROM stretches),
+windows AS (SELECT doc_id, base + j AS i, substr(part, 2 * j + 1, 100) AS s FROM starts),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+covered AS (SELECT doc_id, i FROM windows JOIN firsts USING (s) WHERE least < doc_id),
+steps AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM covered),
+numbered AS (
+    SELECT doc_id, i, count(*) FILTER (gap IS NULL OR gap > 50) OVER (PARTITION BY doc_id ORDER BY i) AS span
+    FROM steps
+),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, span),
+bounded AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS last_b FROM spans),
+removed AS (
+    SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS tail,
+        string_agg(substr(h, 2 * last_b + 1, 2 * (a - last_b)), '' ORDER BY a) AS head
+    FROM bounded JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN removed USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op6_mixing": MIXING,
+    "op7_suffix_array_dedup": SUFFIX_ARRAY_DEDUP,
     "op9_exact_topk": TOP_K,
     "op11_merkle": MERKLE,
     "op12_hard_negatives": HARD_NEGATIVES,
