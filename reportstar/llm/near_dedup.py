@@ -10,7 +10,8 @@ whose sketches agree too little cannot be similar, all others are compared exact
 
 * Buckets of bounded size become distinct sets of documents (near copies meet in many bands, but once as a set). In a
   set, leaders are compared with the members near them, then members with those most alike in another component; this
-  joins the copies of a text. Then all pairs of a set that lie near and are still apart are compared.
+  joins the copies of a text. What lies near and is still apart forms groups, compared in blocks: two blocks of texts
+  meet in a task, and only links that join what was apart leave it.
 * A larger bucket has all members compared with one pivot. What is not similar to it stays for the next round, along with
   the members that could still be similar to one of those: the distance is a metric, so a pair whose distances to the
   pivot differ by more than the threshold needs no comparison. A bucket that becomes small goes the way of the others.
@@ -18,7 +19,7 @@ whose sketches agree too little cannot be similar, all others are compared exact
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from reportstar.sinks.store import cut_lineage
 
 BATCH_BYTES = 4_000_000
 BEST_ROUNDS = 2
+BLOCK_ROWS = 512
+BLOCK_BYTES = 32_000_000
 ROUNDING = 1e-9  # of a sum of doubles that is a similarity
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,23 +188,12 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 Known = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def near_pairs(
-    nodes: np.ndarray, sketches: np.ndarray, known: Known | None, least: float, far: float, best: bool
-) -> list[tuple[int, int]]:
-    """Pairs (larger, smaller) of one set to compare. Without `known` (members in order): leaders with the members near
-    them, each member having one leader. With it (label, leader and exact distance to it, by member): all near pairs of
-    different labels, but for those whose distances to one leader differ by more than `far`; `best`: of these, the one
-    most alike for each member outside the most common label."""
-    out = []
-    if known is None:
-        waiting = np.arange(len(nodes))
-        while len(waiting) > 1:
-            leader = waiting[0]
-            waiting = waiting[1:]
-            near = agreement(sketches[leader], sketches[waiting]) >= least
-            out += [(x, int(nodes[leader])) for x in nodes[waiting[near]].tolist()]
-            waiting = waiting[~near]
-        return out
+def undecided(
+    sketches: np.ndarray, known: Known, least: float, far: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Some rows at a time, their agreement with all members of a set, and which of these pairs are still to compare:
+    near ones of different labels, but for those whose distances to one leader differ by more than `far`. `known`:
+    label, leader and exact distance to it, by member."""
     labels, leaders, away = known
     # A pair of different labels has a member outside the most common label.
     kinds, counts = np.unique(labels, return_counts=True)
@@ -213,21 +205,49 @@ def near_pairs(
         near = (alike >= least) & (labels[rows, None] != labels[None, :])
         same = leaders[rows, None] == leaders[None, :]
         near &= ~(same & (np.abs(away[rows, None] - away[None, :]) > far + ROUNDING))
-        if best:
-            first = np.where(near, alike, -1).argmax(axis=1)
-            only = np.zeros_like(near)
-            only[np.arange(len(rows)), first] = True
-            near &= only
-        for i, j in zip(*np.nonzero(near), strict=True):
-            a, b = int(nodes[rows[i]]), int(nodes[j])
-            out.append((max(a, b), min(a, b)))
-    return out
+        yield rows, alike, near
+
+
+def leader_pairs(nodes: np.ndarray, sketches: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+    """Leaders of one set (members in order) with the members near them; each member has one leader."""
+    waiting = np.arange(len(nodes))
+    while len(waiting) > 1:
+        leader = waiting[0]
+        waiting = waiting[1:]
+        near = agreement(sketches[leader], sketches[waiting]) >= least
+        yield from ((x, int(nodes[leader])) for x in nodes[waiting[near]].tolist())
+        waiting = waiting[~near]
+
+
+def best_pairs(
+    nodes: np.ndarray, sketches: np.ndarray, known: Known, least: float, far: float
+) -> Iterator[tuple[int, int]]:
+    """Of the undecided pairs of one set, the one most alike for each member outside the most common label."""
+    for rows, alike, near in undecided(sketches, known, least, far):
+        first = np.where(near, alike, -1).argmax(axis=1)
+        for i in np.flatnonzero(near.any(axis=1)).tolist():
+            a, b = int(nodes[rows[i]]), int(nodes[first[i]])
+            yield max(a, b), min(a, b)
+
+
+def open_groups(
+    nodes: np.ndarray, sketches: np.ndarray, known: Known, least: float, far: float
+) -> Iterator[tuple[int, int]]:
+    """Members of one set that have an undecided pair, each with the first of those that such pairs connect it with."""
+    group = np.arange(len(nodes))
+    for rows, _, near in undecided(sketches, known, least, far):
+        for row, with_row in zip(rows, near, strict=True):
+            met = np.unique(group[np.append(np.flatnonzero(with_row), row)])
+            if len(met) > 1:
+                group[np.isin(group, met)] = met[0]
+    for i in np.flatnonzero(group != np.arange(len(nodes))):
+        yield int(nodes[i]), int(nodes[group[i]])
 
 
 def pairs_of_sets(
-    sets: DataFrame, known: DataFrame, least: float, far: float, best: bool = False
+    sets: DataFrame, known: DataFrame, chosen: Callable[..., Iterator[tuple[int, int]]], *limits: float
 ) -> DataFrame:
-    """node, pivot to compare in `sets` (members: ids); `known`: node, sketch (and label, leader, away)."""
+    """node, pivot as `chosen` from `sets` (members: ids); `known`: node, sketch (and label, leader, away)."""
     schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64())])
     more = [c for c in ("label", "leader", "away") if c in known.columns]
     gathered = (
@@ -247,8 +267,8 @@ def pairs_of_sets(
                     continue
                 joined = b"".join(batch["sketch"][k].as_py())
                 sketches = np.frombuffer(joined, np.uint64).reshape(len(nodes), -1)
-                told = tuple(np.array(batch[c][k].as_py()) for c in more) or None
-                found.update(near_pairs(nodes, sketches, told, least, far, best))
+                told = [tuple(np.array(batch[c][k].as_py()) for c in more)] if more else []
+                found.update(chosen(nodes, sketches, *told, *limits))
             if found:
                 yield pa.record_batch([[int(p[i]) for p in found] for i in (0, 1)], schema=schema)
 
@@ -331,7 +351,7 @@ def links_of_buckets(
         return checked.filter(F.col("similarity") >= threshold - ROUNDING).select("node", "pivot")
 
     far = 1 - threshold
-    checked = verified(pairs_of_sets(sets, sketches, least, far))
+    checked = verified(pairs_of_sets(sets, sketches, leader_pairs, least))
 
     def known() -> DataFrame:
         leaders = checked.groupBy("node").agg(
@@ -351,9 +371,71 @@ def links_of_buckets(
 
     # First what is most alike, which leaves few components and so few pairs between them.
     for _ in range(BEST_ROUNDS):
-        checked = verified(pairs_of_sets(sets, known(), least, far, best=True))
-    checked = verified(pairs_of_sets(sets, known(), least, far))
-    return similar()
+        checked = verified(pairs_of_sets(sets, known(), best_pairs, least, far))
+    told = cut_lineage(known())
+    groups = components(pairs_of_sets(sets, told, open_groups, least, far))
+    return similar().unionByName(links_of_groups(groups, told, texts, size, threshold, least))
+
+
+def links_of_groups(
+    groups: DataFrame, known: DataFrame, texts: DataFrame, size: int, threshold: float, least: float
+) -> DataFrame:
+    """node, pivot of similar pairs of different labels: enough of them to connect the labels in each of `groups` (node,
+    label). A group is dealt into blocks; a task compares two blocks on their texts, so that pairs leave it as links only
+    and a text travels once per block of its group."""
+    schema = pa.schema([("node", pa.int64()), ("pivot", pa.int64())])
+    held = cut_lineage(
+        groups.select("node", F.col("label").alias("group")).join(known, "node").join(texts, "node")
+    )
+    blocks = held.groupBy("group").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum(F.octet_length("text")) / BLOCK_BYTES)).alias("blocks")
+    )
+    # Blocks dealt by hash are even without an order of the group.
+    dealt = held.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    meeting = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+        lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j")),
+    )
+
+    def compared(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        nodes, labels, leaders, away, block = (
+            table[c].to_numpy() for c in ("node", "label", "leader", "away", "block")
+        )
+        sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(nodes), -1)
+        across = block.min() < block.max()
+        shingled: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        joined: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while label in joined:
+                label = joined[label]
+            return label
+
+        def of(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in shingled:
+                shingled[k] = weighted(table["text"][k].as_py(), size)
+            return shingled[k]
+
+        links = []
+        for rows, alike, near in undecided(sketches, (labels, leaders, away), least, 1 - threshold):
+            if across:  # pairs within a block are compared where it meets itself
+                near &= block[rows, None] != block[None, :]
+            at, other = np.nonzero(near)
+            for k in np.argsort(-alike[at, other], kind="stable"):  # the most alike may join labels first
+                a, b = int(rows[at[k]]), int(other[k])
+                one, two = root(int(labels[a])), root(int(labels[b]))
+                if one != two and probability_jaccard(of(a), of(b)) >= threshold - ROUNDING:
+                    joined[max(one, two)] = min(one, two)
+                    links.append((max(nodes[a], nodes[b]), min(nodes[a], nodes[b])))
+        return pa.table([[int(link[i]) for link in links] for i in (0, 1)], schema=schema)
+
+    return (
+        dealt.select("*", F.explode(meeting).alias("pair"))
+        .select("node", "sketch", "label", "leader", "away", "text", "block", "group", "pair.i", "pair.j")
+        .groupBy("group", "i", "j")
+        .applyInArrow(compared, "node long, pivot long")
+    )
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from fractions import Fraction
 
 from test_small_cases import documents
@@ -61,3 +62,31 @@ def test_exactly_the_threshold_is_similar(spark):
     for largest in (1, 1000):
         got = near_dedup.near_groups(documents(spark, rows), largest_set=largest).collect()
         assert all(r["class_id"] == r["id"] // 2 * 2 for r in got)
+
+
+def test_copies_around_the_threshold_meet_in_blocks(spark, monkeypatch):
+    """One group of texts that are 0.7 to 0.85 alike: most pairs stay undecided by sketches, and classes equal those of
+    all exact similarities, whether the group is one block or many."""
+    draw = random.Random(5)
+    texts = []
+    for k in range(110):
+        words, run = fresh("base", 200), draw.choice([6, 7, 8, 9, 11])
+        at = draw.randrange(0, 200 - run)
+        words[at : at + run] = fresh(f"own{k}", run)
+        texts.append(" ".join(words))
+    sets = [near_dedup.weighted(t.encode(), 5) for t in texts]
+    label = list(range(len(texts)))
+    apart = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            alike = near_dedup.probability_jaccard(sets[i], sets[j])
+            apart += 0.7 <= alike < 0.8
+            if alike >= 0.8 and label[i] != label[j]:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    assert apart > 1000 and len(set(label)) > 1
+    docs = documents(spark, list(enumerate(texts)))
+    for rows, size, largest in ((512, 32_000_000, 20_000), (9, 32_000_000, 20_000), (512, 9_000, 40)):
+        monkeypatch.setattr(near_dedup, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(near_dedup, "BLOCK_BYTES", size)
+        got = {r["id"]: r["class_id"] for r in near_dedup.near_groups(docs, largest_set=largest).collect()}
+        assert [got[k] for k in range(len(texts))] == label
