@@ -70,8 +70,7 @@ def test_copies_around_the_threshold_meet_in_blocks(spark, monkeypatch):
     draw = random.Random(5)
     texts = []
     for k in range(110):
-        words, run = fresh("base", 200), draw.choice([6, 7, 8, 9, 11])
-        at = draw.randrange(0, 200 - run)
+        words, run, at = fresh("base", 200), draw.choice([8, 9, 10]), 10 + 18 * draw.randrange(10)
         words[at : at + run] = fresh(f"own{k}", run)
         texts.append(" ".join(words))
     sets = [near_dedup.weighted(t.encode(), 5) for t in texts]
