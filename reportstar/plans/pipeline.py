@@ -8,15 +8,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from reportstar.plans import bridges, dims, fact, keys, staging
+from reportstar.plans import bridges, dims, fact, keys, measures, staging
 from reportstar.sinks.store import Store
 from reportstar.sources.raw import RawTables, feed_fingerprint
 
 LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
 STAR_INFO = "star_info"
+STAR_MEASURES = "star_measures"
 #: To be raised when a model changes: tables of the old one are then not taken over.
 MODELS_VERSION = "1"
 STAR_TABLES = (
@@ -34,6 +35,8 @@ class Star:
     tables: Mapping[str, DataFrame]
     unique_report_ids: bool
     as_of: datetime
+    #: relation, measure, value as observed by the build; None: it stored none.
+    measures: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -130,6 +133,7 @@ class _Run:
 
     def __init__(self, store: Store, build: Build, tables: dict[str, DataFrame], feeds: Mapping[str, str | None]):
         self.store, self.build, self.tables, self.feeds = store, build, tables, feeds
+        self.measured: dict[str, measures.Values] = {}
 
     def fingerprint(self, name: str, reads: Sequence[str], dated: bool) -> str | None:
         """Of all that the rows of a table follow from. None: unknown, so the table is made."""
@@ -144,19 +148,31 @@ class _Run:
     def made(self, name: str, reads: Sequence[str], dated: bool, make: Callable[[], DataFrame]) -> DataFrame:
         fingerprint = self.fingerprint(name, reads, dated)
         if fingerprint and (found := self.store.kept(name, fingerprint)) is not None:
+            if (known := self.store.noted(name)) is not None:
+                self.measured[name] = known
             return found
         table = make()
         if fingerprint:
-            self.store.keep(name, fingerprint)
+            self.store.keep(name, fingerprint, self.measured.get(name))
         return table
 
     def model(self, name: str, model: Model) -> DataFrame:
-        return self.made(
-            name,
-            model.reads,
-            model.dated,
-            lambda: self.store.replace(name, model.build(self.tables, self.build)),
-        )
+        def make() -> DataFrame:
+            rows = model.build(self.tables, self.build)
+            if name not in measures.MEASURES:
+                return self.store.replace(name, rows)
+            seen = Observation()
+            table = self.store.replace(name, rows.observe(seen, *measures.columns(name)))
+            self.measured[name] = seen.get
+            return table
+
+        return self.made(name, model.reads, model.dated, make)
+
+    def measures(self) -> DataFrame | None:
+        """Of all tables, or None if some were taken over that have none."""
+        if self.measured.keys() < measures.MEASURES.keys():
+            return None
+        return measures.rows(self.store.spark, self.measured)
 
     def registry(self) -> DataFrame:
         candidates = keys.key_candidates(*(self.tables[name] for name in KEYED))
@@ -217,6 +233,9 @@ def build_star(
         run.tables |= last.tables
         if store.resumes:
             store.tables |= store.last_published().tables
+        if last.measures is not None:
+            for row in last.measures.collect():
+                run.measured.setdefault(row["relation"], {})[row["measure"]] = row["value"]
     _mark_run(store, as_of, None)
     with ThreadPoolExecutor(parallel_models) as pool:
 
@@ -231,7 +250,15 @@ def build_star(
             run.tables["dim_key"] = run.registry()
         for layer in LAYERS:
             refresh(layer)
-        star = Star({name: run.tables[name] for name in STAR_TABLES}, unique_report_ids.result(), as_of)
+        found = run.measures()
+        if found is None:
+            found = measures.scanned(run.tables)
+        star = Star(
+            {name: run.tables[name] for name in STAR_TABLES},
+            unique_report_ids.result(),
+            as_of,
+            store.replace(STAR_MEASURES, found),
+        )
     _mark_run(store, as_of, star.unique_report_ids)
     store.publish()
     return star
@@ -254,4 +281,4 @@ def load_star(store: Store) -> Star:
     if known is None or known["unique_report_ids"] is None:
         raise RuntimeError("the last build has not ended; build again before reading")
     tables = {name: store.read(name) for name in STAR_TABLES}
-    return Star(tables, known["unique_report_ids"], known["as_of"])
+    return Star(tables, known["unique_report_ids"], known["as_of"], store.read_if_exists(STAR_MEASURES))

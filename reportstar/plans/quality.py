@@ -1,7 +1,7 @@
 """The promises of the model, checked.
 
-All checks count keys first (map-side) and compare the counts, so none of them joins report
-rows with report rows.
+Rates and ages come from what the build observed while it wrote. All other checks count keys first
+(map-side) and compare the counts, so none of them joins report rows with report rows.
 """
 
 from __future__ import annotations
@@ -9,11 +9,11 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.operators.bridging import UNKNOWN_ID
 from reportstar.operators.counting import rows_per_set
+from reportstar.plans import measures
 from reportstar.plans.keys import REPORT_LABELS
 from reportstar.plans.pipeline import LABEL_DIM_TABLES, Star
 from reportstar.plans.views import (
@@ -56,65 +56,39 @@ def stack(rows: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def measured(star: Star) -> DataFrame:
+    """What the build observed while it wrote; a star that was stored without it is scanned."""
+    return measures.scanned(star.tables) if star.measures is None else star.measures
+
+
 def coverage_rates(star: Star) -> DataFrame:
-    known = F.col("id") != UNKNOWN_ID
-    registered = known & F.col("is_registered")
-    rates = star["dim_entity"].agg(
-        F.round(F.try_divide(F.count_if(registered), F.count_if(known)), 6).alias(
-            "registered_share"
-        ),
-        F.round(
-            F.try_divide(
-                F.count_if(registered & F.col("alt_id").isNotNull()), F.count_if(registered)
-            ),
-            6,
-        ).alias("alt_id_share"),
+    counts = measures.per_relation(measured(star), "known", "registered", "with_alt_id")
+    return metric_rows(
+        counts.select(
+            F.round(F.try_divide("registered", "known"), 6).alias("registered_share"),
+            F.round(F.try_divide("with_alt_id", "registered"), 6).alias("alt_id_share"),
+        )
     )
-    return metric_rows(rates)
 
 
 def unknown_rates(star: Star) -> DataFrame:
-    return stack(
-        [
-            star[name].agg(
-                F.lit(name).alias("bridge"),
-                F.count("*").alias("members"),
-                F.count_if("is_unknown_member").alias("unknown_members"),
-                F.round(F.avg(F.col("is_unknown_member").cast("int")), 6).alias("unknown_rate"),
-            )
-            for name in (*REPORT_BRIDGES, "bridge_adversary_country")
-        ]
+    return measures.per_relation(measured(star), "members", "unknown_members").select(
+        F.col("relation").alias("bridge"),
+        "members",
+        "unknown_members",
+        F.round(F.try_divide("unknown_members", "members"), 6).alias("unknown_rate"),
     )
 
 
 def freshness(star: Star, now: datetime) -> DataFrame:
     """Age of the last refresh and of the newest member of every dimension, and of the last
-    report update in the fact. The unknown member is as old as the build and counts only if
-    there is no other."""
-
-    def since(moment: Column) -> Column:
-        return F.unix_timestamp(F.lit(now)) - F.unix_timestamp(moment)
-
-    def age(c: str) -> Column:
-        return since(F.max(c))
-
-    member = F.max(F.when(F.col("id") != UNKNOWN_ID, F.col("created_at")))
-    newest = since(F.coalesce(member, F.max("created_at")))
-
-    dims = [
-        star[name].agg(
-            F.lit(name).alias("table"),
-            age("updated_at").alias("refresh_age_seconds"),
-            newest.alias("newest_age_seconds"),
-        )
-        for name in DIMENSIONS
-    ]
-    reports = star["fact_report"].agg(
-        F.lit("fact_report").alias("table"),
-        age("updated_at").alias("refresh_age_seconds"),
-        age("report_updated_at").alias("newest_age_seconds"),
+    report update in the fact."""
+    moment = F.unix_timestamp(F.lit(now))
+    return measures.per_relation(measured(star), "refreshed", "newest", "newest_known").select(
+        F.col("relation").alias("table"),
+        (moment - F.col("refreshed")).alias("refresh_age_seconds"),
+        (moment - F.coalesce("newest_known", "newest")).alias("newest_age_seconds"),
     )
-    return stack([*dims, reports])
 
 
 def _pairs(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 
@@ -53,6 +53,7 @@ class RunStore:
         self.files = SmallFiles(spark, self.root)
         self.run = run or uuid.uuid4().hex
         self.tables: dict[str, Stored] = {}
+        self.notes: dict[str, dict[str, int | None] | None] = {}
         if run is None:
             self.files.replace(f"runs/{self.run}.json", json.dumps({"started": _now().isoformat()}))
 
@@ -123,14 +124,20 @@ class RunStore:
         text = self.files.read(f"done/{fingerprint}")
         if text is None:
             return None
-        stored = Stored.of(json.loads(text))
+        note = json.loads(text)
+        stored = Stored.of(note)
         if not all(self.files.exists(f) for f in stored.folders):
             return None
         self.tables[name] = stored
+        self.notes[name] = note.get("measures")
         return self.read(name)
 
-    def keep(self, name: str, fingerprint: str) -> None:
-        self.files.replace(f"done/{fingerprint}", json.dumps(self.tables[name].note()))
+    def noted(self, name: str) -> dict[str, int | None] | None:
+        """What was kept with the table that `kept` found."""
+        return self.notes.get(name)
+
+    def keep(self, name: str, fingerprint: str, measures: Mapping[str, int | None] | None = None) -> None:
+        self.files.replace(f"done/{fingerprint}", json.dumps({**self.tables[name].note(), "measures": measures}))
 
     def publish(self) -> None:
         """From now on readers get this run."""

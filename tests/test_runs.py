@@ -10,6 +10,7 @@ import pytest
 from conftest import AS_OF, feeds, rows_of
 from pyspark.sql import functions as F
 
+from reportstar.plans import measures, quality
 from reportstar.plans.pipeline import LAYERS, STAGING, STAR_TABLES, build_star, load_star
 from reportstar.sinks.files import SmallFiles
 from reportstar.sinks.runs import RunStore
@@ -211,3 +212,24 @@ def test_fingerprint_of_a_feed(spark, tmp_path):
     spark.range(1).write.mode("append").parquet(path)
     assert feed_fingerprint(spark.read.parquet(path)) != first
     assert feed_fingerprint(spark.range(5)) is None
+
+
+def measures_of(frame):
+    return sorted(map(tuple, frame.select("relation", "measure", "value").collect()))
+
+
+def test_what_a_build_observes_is_what_a_scan_finds(spark, tmp_path):
+    """In a new run, in one that takes tables over, in one of a single model, and on no rows; rates read no table."""
+    raw, root = stored(first_feeds(spark), spark, tmp_path / "raw"), str(tmp_path / "star")
+    build_star(raw, RunStore(spark, root), AS_OF)
+    runs = [load_star(RunStore.published(spark, root))]
+    again = Breaking(spark, root)
+    build_star(raw, again, AS_OF)
+    assert "bridge_country" not in again.written
+    runs.append(load_star(RunStore.published(spark, root)))
+    runs.append(build_star(raw, RunStore(spark, root), LATER, only=["bridge_entity", "dim_entity"]))
+    runs.append(build_star(feeds(spark), RunStore(spark, str(tmp_path / "empty")), AS_OF))
+    for star in runs:
+        assert measures_of(star.measures) == measures_of(measures.scanned(star.tables))
+        files = [f for check in (quality.unknown_rates, quality.coverage_rates) for f in check(star).inputFiles()]
+        assert files and all("star_measures" in f for f in files)
