@@ -84,8 +84,8 @@ def test_copies_around_the_threshold_meet_in_blocks(spark, monkeypatch):
                 label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
     assert apart > 1000 and len(set(label)) > 1
     docs = documents(spark, list(enumerate(texts)))
-    for rows, size, largest in ((512, 32_000_000, 20_000), (9, 32_000_000, 20_000), (512, 9_000, 40)):
+    for rows, size in ((512, 32_000_000), (9, 9_000)):
         monkeypatch.setattr(near_dedup, "BLOCK_ROWS", rows)
         monkeypatch.setattr(near_dedup, "BLOCK_BYTES", size)
-        got = {r["id"]: r["class_id"] for r in near_dedup.near_groups(docs, largest_set=largest).collect()}
+        got = {r["id"]: r["class_id"] for r in near_dedup.near_groups(docs).collect()}
         assert [got[k] for k in range(len(texts))] == label
