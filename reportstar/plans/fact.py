@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reportstar.operators.bridging import unknown_if_null
 from reportstar.operators.numbering import number_rows
 from reportstar.plans.keys import REPORT_LABELS
+from reportstar.plans.texts import held
 from reportstar.sinks.store import cut_lineage
 
 GROUP_KEYS = ("country_group_key", "entity_group_key", "group_group_key", "adversary_group_key")
@@ -31,9 +32,10 @@ def report_fact(
     """`stg_report` carries the stored `row_key`, `report_adversaries` is keyed by it, and
     `label_dims` maps dimension -> table.
 
-    Labels are looked up, and rows numbered, on a narrow projection; the wide rows with
-    their texts are shuffled once, on a key that is unique and so free of skew, whatever
-    the labels and report ids look like. Labels match in their exact spelling.
+    Labels are looked up, and rows numbered, on a narrow projection; the wide rows are
+    shuffled once, on a key that is unique and so free of skew, whatever the labels and
+    report ids look like. Labels match in their exact spelling. Texts come with the rows,
+    or their key does if they are stored apart.
     """
     narrow = stg_report.select("row_key", "report_id", *REPORT_LABELS.values())
     for dimension, label in REPORT_LABELS.items():
@@ -48,9 +50,7 @@ def report_fact(
         "id",
         "report_id",
         "title",
-        "description",
-        "actions",
-        "analysis",
+        *held(stg_report),
         "creation_date",
         "publication_date",
         "report_date",

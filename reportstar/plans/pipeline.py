@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from reportstar.plans import bridges, dims, fact, keys, measures, staging
+from reportstar.plans import bridges, dims, fact, keys, measures, staging, texts
 from reportstar.sinks.store import Store
 from reportstar.sources.raw import RawTables, feed_fingerprint
 
@@ -19,9 +19,9 @@ LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
 STAR_INFO = "star_info"
 STAR_MEASURES = "star_measures"
 #: To be raised when a model changes: tables of the old one are then not taken over.
-MODELS_VERSION = "1"
+MODELS_VERSION = "2"
 STAR_TABLES = (
-    "stg_adversary", "stg_entity", "adversary_links", "stg_report", "stg_report_adversary",
+    "stg_adversary", "stg_entity", "adversary_links", "stg_report", "report_text", "stg_report_adversary",
     "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup",
     "fact_report", "bridge_country", "bridge_entity", "bridge_group_adversary",
     "bridge_adversary", "bridge_adversary_country",
@@ -56,6 +56,15 @@ def report_ids_are_unique(stg_report: DataFrame) -> bool:
     return repeated.isEmpty()
 
 
+def _shown(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as readers see them: the fact with its texts."""
+    found = {name: tables[name] for name in STAR_TABLES}
+    if texts.TEXT_KEY in found["fact_report"].columns:
+        with_texts = texts.with_texts(found["fact_report"], found["report_text"])
+        found["fact_report"] = with_texts.drop(texts.TEXT_KEY)
+    return found
+
+
 @dataclass(frozen=True)
 class Model:
     """How a table is made of others. `dated`: the build time is in its rows."""
@@ -104,7 +113,12 @@ STAGING: dict[str, Model] = {
     ),
     "stg_report": Model(
         ("raw_report",),
-        lambda t, b: fact.with_row_key(staging.stage_report_fields(t["raw_report"], b.report_type)),
+        lambda t, b: fact.with_row_key(staging.stage_report_keys(t["raw_report"], b.report_type)),
+        False,
+    ),
+    "report_text": Model(
+        ("raw_report",),
+        lambda t, b: texts.distinct_texts(staging.of_type(t["raw_report"], b.report_type)),
         False,
     ),
 }
@@ -213,8 +227,8 @@ def build_star(
     as the last complete run left them.
 
     Staged reports are two tables: `stg_report` with what a report says itself, written in
-    one pass, and `stg_report_adversary` with who claims it, joined on report ids without
-    the texts. The fact brings them together in the one shuffle that moves texts.
+    one pass, and `stg_report_adversary` with who claims it. Both and the fact carry a key of
+    the texts; `report_text` holds each set of texts once, and the star shows the fact with them.
     """
     sources = {"raw_report": raw.report, "raw_adversary": raw.adversary, "raw_entity": raw.entity}
     if unknown := set(only or ()) - set(STAR_TABLES):
@@ -254,7 +268,7 @@ def build_star(
         if found is None:
             found = measures.scanned(run.tables)
         star = Star(
-            {name: run.tables[name] for name in STAR_TABLES},
+            _shown(run.tables),
             unique_report_ids.result(),
             as_of,
             store.replace(STAR_MEASURES, found),
@@ -281,4 +295,4 @@ def load_star(store: Store) -> Star:
     if known is None or known["unique_report_ids"] is None:
         raise RuntimeError("the last build has not ended; build again before reading")
     tables = {name: store.read(name) for name in STAR_TABLES}
-    return Star(tables, known["unique_report_ids"], known["as_of"], store.read_if_exists(STAR_MEASURES))
+    return Star(_shown(tables), known["unique_report_ids"], known["as_of"], store.read_if_exists(STAR_MEASURES))

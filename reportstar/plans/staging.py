@@ -18,6 +18,7 @@ from reportstar.functions import (
     tokens,
 )
 from reportstar.functions.sets import COMMA, PIPE
+from reportstar.plans.texts import apart, held
 
 REPORT_TYPE = "threat"
 
@@ -130,9 +131,7 @@ def stage_report_fields(raw_report: DataFrame, report_type: str = REPORT_TYPE) -
     split = reports.select(
         F.col("id").alias("report_id"),
         "title",
-        "description",
-        "actions",
-        "analysis",
+        *held(raw_report),
         *(parse_date(F.col(c)).alias(c) for c in REPORT_DATES),
         parse_timestamp(F.col("updated_at")).alias("updated_at"),
         *(clean_text(F.col(raw)).alias(label) for raw, label in REPORT_TEXTS.items()),
@@ -147,6 +146,11 @@ def stage_report_fields(raw_report: DataFrame, report_type: str = REPORT_TYPE) -
     ).withColumns({f"{s}_group_key": group_key(F.col(f"{s}_members")) for s in sets})
 
 
+def stage_report_keys(raw_report: DataFrame, report_type: str = REPORT_TYPE) -> DataFrame:
+    """The same with a key in place of the texts."""
+    return stage_report_fields(apart(raw_report), report_type)
+
+
 def with_adversaries(reports: DataFrame, adversary_links: DataFrame) -> DataFrame:
     """Add the set of adversaries that claim the report, and its key.
 

@@ -17,6 +17,7 @@ from reportstar.plans.dims import LABEL_COLUMNS
 from reportstar.plans.fact import GROUP_KEYS
 from reportstar.plans.keys import REPORT_LABELS
 from reportstar.plans.pipeline import LABEL_DIM_TABLES, Star
+from reportstar.plans.texts import TEXT_KEY, TEXTS
 from reportstar.sinks.store import CatalogStore, replace_view
 
 # Dimension -> column name in the report view.
@@ -228,11 +229,16 @@ def view_sql(table: Callable[[str], str]) -> dict[str, str]:
         f"FROM {table(LABEL_DIM_TABLES[d])}) USING ({d}_id)"
         for d, shown in REPORT_VIEW_LABELS.items()
     )
+    # Grouped, as in texts.with_texts: a view that shows no text then reads none.
+    texts = (
+        f"LEFT JOIN (SELECT {TEXT_KEY}, {', '.join(f'first({c}) AS {c}' for c in TEXTS)} "
+        f"FROM {table('report_text')} GROUP BY {TEXT_KEY}) USING ({TEXT_KEY})"
+    )
     known = f"FROM {table('dim_entity')} WHERE id <> {UNKNOWN_ID}"
     return {
         "vw_report": f"SELECT {fact}, report_updated_at AS updated_at, "
         + ", ".join(REPORT_VIEW_LABELS.values())
-        + f", {', '.join(GROUP_KEYS)} FROM {table('fact_report')} {labels}",
+        + f", {', '.join(GROUP_KEYS)} FROM {table('fact_report')} {labels} {texts}",
         "vw_report_country": members(
             "bridge_country", "country_group_key", "dim_country", "country_id", "country_id, country_name"
         ),

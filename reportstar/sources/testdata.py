@@ -71,12 +71,12 @@ def _reports(
     texts = documents.select("doc_id", "text")
     document = key % F.lit(documents.count())
     return (
-        orders.join(per_order, key == F.col("l_orderkey"), "left")
-        .join(
+        orders.join(
             customer.select("c_custkey", "c_mktsegment"),
             F.col("o_custkey") == F.col("c_custkey"),
             "left",
         )
+        .join(per_order, key == F.col("l_orderkey"), "left")
         .join(texts, document == F.col("doc_id"), "left")
         .select(
             F.concat(
