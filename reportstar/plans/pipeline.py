@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -160,7 +161,9 @@ class _Run:
         return hashlib.sha256("\0".join(known).encode()).hexdigest()
 
     def made(self, name: str, reads: Sequence[str], dated: bool, make: Callable[[], DataFrame]) -> DataFrame:
-        fingerprint = self.fingerprint(name, reads, dated)
+        return self._taken_or_made(name, self.fingerprint(name, reads, dated), make)
+
+    def _taken_or_made(self, name: str, fingerprint: str | None, make: Callable[[], DataFrame]) -> DataFrame:
         if fingerprint and (found := self.store.kept(name, fingerprint)) is not None:
             if (known := self.store.noted(name)) is not None:
                 self.measured[name] = known
@@ -182,11 +185,18 @@ class _Run:
 
         return self.made(name, model.reads, model.dated, make)
 
-    def measures(self) -> DataFrame | None:
-        """Of all tables, or None if some were taken over that have none."""
+    def measures(self) -> DataFrame:
+        """Of all tables, scanned if some were taken over that have none. Numbers that an earlier run stored are taken
+        over like any table."""
         if self.measured.keys() < measures.MEASURES.keys():
-            return None
-        return measures.rows(self.store.spark, self.measured)
+            return self.store.replace(STAR_MEASURES, measures.scanned(self.tables))
+        known = json.dumps([STAR_MEASURES, self.measured], sort_keys=True)
+        fingerprint = hashlib.sha256(known.encode()).hexdigest() if self.store.resumes else None
+        return self._taken_or_made(
+            STAR_MEASURES,
+            fingerprint,
+            lambda: self.store.replace(STAR_MEASURES, measures.rows(self.store.spark, self.measured)),
+        )
 
     def registry(self) -> DataFrame:
         candidates = keys.key_candidates(*(self.tables[name] for name in KEYED))
@@ -264,15 +274,7 @@ def build_star(
             run.tables["dim_key"] = run.registry()
         for layer in LAYERS:
             refresh(layer)
-        found = run.measures()
-        if found is None:
-            found = measures.scanned(run.tables)
-        star = Star(
-            _shown(run.tables),
-            unique_report_ids.result(),
-            as_of,
-            store.replace(STAR_MEASURES, found),
-        )
+        star = Star(_shown(run.tables), unique_report_ids.result(), as_of, run.measures())
     _mark_run(store, as_of, star.unique_report_ids)
     store.publish()
     return star

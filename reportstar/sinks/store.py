@@ -21,6 +21,9 @@ from reportstar.sinks.files import SmallFiles
 # Error conditions of a table that is not there, or has no rows yet.
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
 
+# Layers are written once and read often: smaller files are worth a little more work than the default codec does.
+CODEC = "zstd"
+
 _local_folders: dict[str, str] = {}
 
 
@@ -56,7 +59,7 @@ def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
 
 def _written(df: DataFrame) -> str:
     path = f"{shared_folder(df.sparkSession)}/scratch/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return path
 
 
@@ -129,11 +132,11 @@ class TableStore(OneRunStore):
         return _if_there(lambda: self.read(name))
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name), compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
+        df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name), compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 

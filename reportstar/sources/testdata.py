@@ -14,8 +14,12 @@ NATIVE_PREFIX = "مورد "
 ORDERS_PER_CAMPAIGN = 1000
 
 
+def _joined(texts: Column, separator: str) -> Column:
+    return F.array_join(F.sort_array(texts), separator)
+
+
 def _list_of(c: Column, separator: str) -> Column:
-    return F.array_join(F.sort_array(F.collect_set(c)), separator)
+    return _joined(F.collect_set(c), separator)
 
 
 def _case(selector: Column, choices: dict[int, Column], default: Column | None = None) -> Column:
@@ -32,13 +36,17 @@ def derive_raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     nation = table("nation")
     supplier = table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     part = table("part")
+    # Nations are joined last: Spark takes a joined side to be as large as the product of its parts and would deal all
+    # lines by supplier.
     lines = (
         table("lineitem")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
         .join(
-            supplier.select("s_suppkey", "n_name"), F.col("l_suppkey") == F.col("s_suppkey")
+            table("supplier").select("s_suppkey", "s_nationkey"),
+            F.col("l_suppkey") == F.col("s_suppkey"),
         )
         .join(part.select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
     return RawTables(
         _reports(table("orders"), table("customer"), lines, table("documents")),
@@ -52,16 +60,29 @@ def _campaign(brand: Column) -> Column:
     return F.concat(brand, F.lit("-"), block.cast("string"))
 
 
+def _named(keys: Column, prefix: str) -> Column:
+    return F.transform(keys, lambda key: F.concat(F.lit(prefix), key.cast("string")))
+
+
 def _reports(
     orders: DataFrame, customer: DataFrame, lines: DataFrame, documents: DataFrame
 ) -> DataFrame:
-    supplier_key = F.col("l_suppkey").cast("string")
-    per_order = lines.groupBy("l_orderkey").agg(
+    # Lines of an order are far apart, so sets gathered before the shuffle would move more bytes than the lines do. Keys are
+    # gathered once and get their names afterwards.
+    dealt = lines.select("l_orderkey", "p_type", "n_name", "l_suppkey", "p_brand").repartition("l_orderkey")
+    gathered = dealt.groupBy("l_orderkey").agg(
         F.min("p_type").alias("threat_type"),
-        _list_of(F.col("n_name"), ", ").alias("country"),
-        _list_of(F.concat(F.lit("SUP-"), supplier_key), "|").alias("id_list"),
-        _list_of(F.concat(F.lit(NATIVE_PREFIX), supplier_key), "|").alias("entity_names"),
-        _list_of(_campaign(F.col("p_brand")), "|").alias("related_groups"),
+        F.collect_set("n_name").alias("nations"),
+        F.collect_set("l_suppkey").alias("suppliers"),
+        F.collect_set("p_brand").alias("brands"),
+    )
+    per_order = gathered.select(
+        "l_orderkey",
+        "threat_type",
+        _joined(F.col("nations"), ", ").alias("country"),
+        _joined(_named(F.col("suppliers"), "SUP-"), "|").alias("id_list"),
+        _joined(_named(F.col("suppliers"), NATIVE_PREFIX), "|").alias("entity_names"),
+        _joined(F.transform("brands", _campaign), "|").alias("related_groups"),
     )
     key = F.col("o_orderkey")
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
