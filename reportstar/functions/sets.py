@@ -40,6 +40,16 @@ def group_key(members: Column) -> Column:
     return F.md5(F.array_join(members, "|"))
 
 
+def packed_key(key: Column) -> Column:
+    """The 16 bytes of a group key, for a shuffle: half of its text, which is hex that shuffle codecs cannot shorten."""
+    return F.unhex(key)
+
+
+def unpacked_key(packed: Column) -> Column:
+    """The group key of 16 bytes."""
+    return F.lower(F.hex(packed))
+
+
 def target_country_key(raw_list: Column, members: Column) -> Column:
     """Key of an adversary's target list. Only a NULL or empty text counts as "no target",
     and repeated members stay in the hash."""

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.functions.sets import packed_key, unpacked_key
 from reportstar.operators.bridging import resolve_members, unknown_if_null, with_weights
 
 BRIDGE_COLUMNS = ("member_value", "member_count", "weight_factor", "is_unknown_member")
@@ -16,6 +17,15 @@ def _stamped(df: DataFrame, as_of: datetime) -> DataFrame:
     return df.withColumns({"created_at": F.lit(as_of), "updated_at": F.lit(as_of)})
 
 
+def _set_bridge(
+    reports: DataFrame, key: str, members: str, lookup: DataFrame, id_col: str, as_of: datetime
+) -> DataFrame:
+    """Members of the sets that group keys name. The keys travel as bytes."""
+    sets = reports.select(packed_key(F.col(key)).alias(key), members)
+    rows = resolve_members(sets, key, members, lookup, id_col)
+    return _stamped(rows.withColumn(key, unpacked_key(F.col(key))), as_of)
+
+
 def _country_lookup(dim_country: DataFrame) -> DataFrame:
     return dim_country.select(
         F.upper(F.trim("country_name")).alias("member"), F.col("id").alias("country_id")
@@ -23,10 +33,8 @@ def _country_lookup(dim_country: DataFrame) -> DataFrame:
 
 
 def country_bridge(stg_report: DataFrame, dim_country: DataFrame, as_of: datetime) -> DataFrame:
-    rows = resolve_members(
-        stg_report, "country_group_key", "country_members", _country_lookup(dim_country), "country_id"
-    )
-    return _stamped(rows, as_of)
+    lookup = _country_lookup(dim_country)
+    return _set_bridge(stg_report, "country_group_key", "country_members", lookup, "country_id", as_of)
 
 
 def entity_lookup(dim_entity: DataFrame) -> DataFrame:
@@ -60,8 +68,7 @@ def entity_lookup(dim_entity: DataFrame) -> DataFrame:
 
 
 def entity_bridge(stg_report: DataFrame, lookup: DataFrame, as_of: datetime) -> DataFrame:
-    rows = resolve_members(stg_report, "entity_group_key", "entity_members", lookup, "entity_id")
-    return _stamped(rows, as_of)
+    return _set_bridge(stg_report, "entity_group_key", "entity_members", lookup, "entity_id", as_of)
 
 
 def group_bridge(stg_report: DataFrame, dim_adversary: DataFrame, as_of: datetime) -> DataFrame:
@@ -69,10 +76,7 @@ def group_bridge(stg_report: DataFrame, dim_adversary: DataFrame, as_of: datetim
     lookup = dim_adversary.filter(F.col("adversary_id").isNotNull()).select(
         F.upper(F.trim("adversary_id")).alias("member"), F.col("id").alias("adversary_dim_id")
     )
-    rows = resolve_members(
-        stg_report, "group_group_key", "group_members", lookup, "adversary_dim_id"
-    )
-    return _stamped(rows, as_of)
+    return _set_bridge(stg_report, "group_group_key", "group_members", lookup, "adversary_dim_id", as_of)
 
 
 def adversary_bridge(
@@ -83,10 +87,9 @@ def adversary_bridge(
         F.col("adversary_id").alias("member"), F.col("id").alias("adversary_dim_id")
     )
     claimed = report_adversaries.filter(F.size("adversary_members") > 0)
-    rows = resolve_members(
-        claimed, "adversary_group_key", "adversary_members", lookup, "adversary_dim_id"
+    return _set_bridge(
+        claimed, "adversary_group_key", "adversary_members", lookup, "adversary_dim_id", as_of
     )
-    return _stamped(rows, as_of)
 
 
 def adversary_country_bridge(

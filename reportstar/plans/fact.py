@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.functions.sets import packed_key, unpacked_key
 from reportstar.operators.bridging import unknown_if_null
 from reportstar.operators.numbering import number_rows
 from reportstar.plans.keys import REPORT_LABELS
@@ -17,6 +18,15 @@ from reportstar.sinks.store import cut_lineage
 GROUP_KEYS = ("country_group_key", "entity_group_key", "group_group_key", "adversary_group_key")
 
 
+def packed_keys(df: DataFrame) -> DataFrame:
+    """Group keys as bytes, for a shuffle of the rows."""
+    return df.withColumns({k: packed_key(F.col(k)) for k in GROUP_KEYS if k in df.columns})
+
+
+def unpacked_keys(df: DataFrame) -> DataFrame:
+    return df.withColumns({k: unpacked_key(F.col(k)) for k in GROUP_KEYS if k in df.columns})
+
+
 def with_row_key(stg_report: DataFrame) -> DataFrame:
     """A unique number per row. It must be written with the rows before it is used."""
     return stg_report.withColumn("row_key", F.monotonically_increasing_id())
@@ -44,9 +54,9 @@ def report_fact(
     fks = [f"{d}_id" for d in REPORT_LABELS]
     narrow = narrow.select("row_key", "report_id", *(unknown_if_null(c).alias(c) for c in fks))
     numbered = number_rows(narrow, ["report_id", "row_key"], "id", cut=cut)
-    adversary_keys = report_adversaries.select("row_key", "adversary_group_key")
-    wide = stg_report.join(numbered.drop("report_id"), "row_key").join(adversary_keys, "row_key")
-    return wide.select(
+    adversary_keys = packed_keys(report_adversaries.select("row_key", "adversary_group_key"))
+    wide = packed_keys(stg_report).join(numbered.drop("report_id"), "row_key").join(adversary_keys, "row_key")
+    return unpacked_keys(wide).select(
         "id",
         "report_id",
         "title",

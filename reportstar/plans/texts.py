@@ -32,6 +32,14 @@ def apart(reports: DataFrame) -> DataFrame:
     return keyed.select(*others[:place], TEXT_KEY, *others[place:])
 
 
+def apart_of(rest: DataFrame, own: DataFrame) -> DataFrame:
+    """The same of a feed in two parts: only keys of texts travel to their reports."""
+    name, *others = rest.columns
+    place = others.index("title") + 1
+    keys = own.select(name, text_key().alias(TEXT_KEY))
+    return rest.join(keys, name, "left").select(*others[:place], TEXT_KEY, *others[place:])
+
+
 def held(reports: DataFrame) -> tuple[str, ...]:
     """The columns that stand for the texts: themselves, or their key where they are stored apart."""
     return TEXTS if TEXTS[0] in reports.columns else (TEXT_KEY,)

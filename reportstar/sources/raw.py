@@ -35,6 +35,9 @@ class RawTables:
     report: DataFrame
     adversary: DataFrame
     entity: DataFrame
+    #: The report feed as (rest, texts), two tables that share a first column which names the texts of a report: for
+    #: whoever stores them apart, and need not put them beside their report before.
+    report_parts: tuple[DataFrame, DataFrame] | None = None
 
     @classmethod
     def from_frames(

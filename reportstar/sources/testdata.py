@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.sources.raw import RawTables
+from reportstar.sources.raw import REPORT_COLUMNS, RawTables
 
 NATIVE_PREFIX = "مورد "
 # An adversary is a brand within a run of this many orders, so that no list of report ids
@@ -37,7 +37,8 @@ def derive_raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     supplier = table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     part = table("part")
     # Nations are joined last: Spark takes a joined side to be as large as the product of its parts and would deal all
-    # lines by supplier.
+    # lines by supplier. Those of a report are joined when its lines are dealt, so that no names travel.
+    nations = nation.select("n_nationkey", "n_name")
     lines = (
         table("lineitem")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
@@ -46,12 +47,13 @@ def derive_raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
             F.col("l_suppkey") == F.col("s_suppkey"),
         )
         .join(part.select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
+    rest, own = _reports(table("orders"), table("customer"), lines, nations, table("documents"))
     return RawTables(
-        _reports(table("orders"), table("customer"), lines, table("documents")),
-        _adversaries(lines),
+        rest.join(own, "key", "left").select(*REPORT_COLUMNS),
+        _adversaries(lines.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))),
         _entities(supplier, table("region")),
+        (rest, own),
     )
 
 
@@ -65,12 +67,14 @@ def _named(keys: Column, prefix: str) -> Column:
 
 
 def _reports(
-    orders: DataFrame, customer: DataFrame, lines: DataFrame, documents: DataFrame
-) -> DataFrame:
+    orders: DataFrame, customer: DataFrame, lines: DataFrame, nations: DataFrame, documents: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Reports without their texts, and the texts, by the key of the order."""
     # Lines of an order are far apart, so sets gathered before the shuffle would move more bytes than the lines do. Keys are
     # gathered once and get their names afterwards.
-    dealt = lines.select("l_orderkey", "p_type", "n_name", "l_suppkey", "p_brand").repartition("l_orderkey")
-    gathered = dealt.groupBy("l_orderkey").agg(
+    dealt = lines.select("l_orderkey", "p_type", "s_nationkey", "l_suppkey", "p_brand").repartition("l_orderkey")
+    named = dealt.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    gathered = named.groupBy("l_orderkey").agg(
         F.min("p_type").alias("threat_type"),
         F.collect_set("n_name").alias("nations"),
         F.collect_set("l_suppkey").alias("suppliers"),
@@ -89,17 +93,28 @@ def _reports(
     dmy = F.date_format("o_orderdate", "dd/MM/yyyy")
     mdy = F.date_format("o_orderdate", "MM/dd/yyyy")
     # Every document is the text of some reports: their order keys modulo the number of documents.
-    texts = documents.select("doc_id", "text")
-    document = key % F.lit(documents.count())
-    return (
+    # Only the keys of orders meet the documents.
+    document = F.col("key") % F.lit(documents.count())
+    texts = (
+        orders.select(key.alias("key"))
+        .distinct()
+        .join(documents.select("doc_id", "text"), document == F.col("doc_id"))
+        .select(
+            "key",
+            F.when(F.col("key") % 10 < 9, F.col("text")).alias("description"),
+            F.when(F.col("key") % 8 == 1, F.col("text")).alias("actions"),
+            F.when(F.col("key") % 8 == 5, F.col("text")).alias("analysis"),
+        )
+    )
+    rest = (
         orders.join(
             customer.select("c_custkey", "c_mktsegment"),
             F.col("o_custkey") == F.col("c_custkey"),
             "left",
         )
         .join(per_order, key == F.col("l_orderkey"), "left")
-        .join(texts, document == F.col("doc_id"), "left")
         .select(
+            key.alias("key"),
             F.concat(
                 F.when(key % 50 == 0, F.lit("rpt-")).otherwise(F.lit("RPT-")), key.cast("string")
             ).alias("id"),
@@ -107,9 +122,6 @@ def _reports(
             .otherwise(F.lit("threat"))
             .alias("report_type"),
             F.concat(F.lit("Order "), key.cast("string")).alias("title"),
-            F.when(key % 10 < 9, F.col("text")).alias("description"),
-            F.when(key % 8 == 1, F.col("text")).alias("actions"),
-            F.when(key % 8 == 5, F.col("text")).alias("analysis"),
             _case(
                 key % 6,
                 {0: stamp, 1: F.concat(dmy, F.lit(" 00:00:00")), 2: dmy, 3: mdy, 4: F.lit(" ")},
@@ -142,6 +154,7 @@ def _reports(
             "related_groups",
         )
     )
+    return rest, texts
 
 
 def _adversaries(lines: DataFrame) -> DataFrame:

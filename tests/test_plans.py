@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import AS_OF, feeds
+from conftest import AS_OF, feeds, rows_of
 from pyspark.sql import functions as F
 
 from reportstar.operators.bridging import resolve_members
-from reportstar.plans import analytics, fact, staging, views
+from reportstar.plans import analytics, bridges, fact, staging, views
 from reportstar.plans.keys import REPORT_LABELS
 from reportstar.plans.pipeline import LABEL_DIM_TABLES, Star
 from reportstar.sinks.store import TableStore, cut_lineage
@@ -220,3 +220,24 @@ def test_counts_never_join_report_rows(spark, no_broadcast, skewed_star):
     scan = next(i for i, text in enumerate(lines) if "struct<country_group_key:string>" in text)
     above = [text for text in reversed(lines[:scan]) if "Exchange" in text or "Aggregate" in text]
     assert "HashAggregate" in above[0] and "partial_count" in above[0]
+
+
+def test_group_keys_travel_as_bytes(spark, no_broadcast):
+    """Whatever is dealt by key or row on the way to bridges and fact carries 16 bytes of a key, and the key comes back."""
+    raw = feeds(spark, reports=[{"id": "1", "country": "Oman"}, {"id": "2", "country": "Oman, Iran"}])
+    store = TableStore(spark)
+    stored = store.replace("stg_report", fact.with_row_key(staging.stage_report_fields(raw.report)))
+    dim = spark.createDataFrame([(1, "Oman")], "id long, country_name string")
+    bridge = bridges.country_bridge(stored, dim, AS_OF)
+    claims = store.replace(
+        "claims",
+        staging.with_adversaries(stored.select("row_key", "report_id"), staging.link_adversaries(raw.adversary)),
+    )
+    dims = {d: spark.createDataFrame([(-1, "Unknown")], f"id long, {c} string") for d, c in REPORT_LABELS.items()}
+    built = fact.report_fact(stored, claims, dims, AS_OF)
+    for plan, keys in ((plan_of(bridge), 1), (plan_of(built), 4)):
+        assert plan.count("unhex(") >= keys and plan.rindex("unhex(") > plan.index("Exchange")
+    keys = {r[0] for r in stored.select("country_group_key").collect()}
+    assert {r["country_group_key"] for r in bridge.collect()} == keys
+    want = stored.join(claims.drop("report_id"), "row_key").select("report_id", *fact.GROUP_KEYS)
+    assert rows_of(built, "report_id", *fact.GROUP_KEYS) == rows_of(want, "report_id", *fact.GROUP_KEYS)

@@ -13,6 +13,7 @@ from reportstar.plans import texts
 from reportstar.plans.pipeline import build_star, load_star
 from reportstar.plans.views import vw_report
 from reportstar.sinks.store import TableStore
+from reportstar.sources import derive_raw_tables
 
 LONG = "".join(f"word{i} " for i in range(2000))
 REPORTS = [
@@ -73,3 +74,23 @@ def test_a_feed_is_written_when_it_is_read(spark):
     assert rows_of(feed.report, *columns) == rows_of(raw.report, *columns)
     narrow = feed.report.filter(F.col("report_type") == "threat").select("id", "country")
     assert "Join" not in plan_of(narrow) and "description" not in plan_of(narrow)
+
+
+def test_only_keys_of_texts_travel_to_their_reports(spark):
+    """A feed in two parts: digests are taken where the texts are, and no wide row is dealt by text."""
+    plans = {}
+
+    class Planning(TableStore):
+        def replace(self, name, df, *rest):
+            plans[name] = plan_of(df)
+            return super().replace(name, df, *rest)
+
+    derived = derive_raw_tables(spark, contract.SMOKE_DIR)
+    feed = contract.Feeds(derived, Planning(spark)).report
+    assert plans["raw_report"].index("LeftOuter") < plans["raw_report"].index("sha2(")
+    assert "c_mktsegment" not in plans["raw_report_text"]
+    columns = derived.report.columns
+    assert rows_of(feed, *columns) == rows_of(derived.report, *columns)
+    documents = spark.read.parquet(f"{contract.SMOKE_DIR}/documents.parquet").select("text")
+    assert feed.select(F.col("description").alias("text")).dropna().subtract(documents).isEmpty()
+    assert feed.filter("description IS NOT NULL").count() > 0
