@@ -16,7 +16,7 @@ from functools import partial
 import numpy as np
 from pyspark.sql import DataFrame
 
-from reportstar.llm.repeats import Contexts, Spans, Units, remove_repeats
+from reportstar.llm.repeats import Contexts, Spans, Units, remove_repeats, stretches
 
 MOST_SHARDS = 256  # a shard's number is one byte of the interleave
 SHARD_SIZE = 1 << 15
@@ -188,7 +188,7 @@ def anchor_parts(strings: np.ndarray, kind: np.ndarray, sizes: np.ndarray) -> li
 
 
 def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
-    texts, docs, starts, codes = contexts
+    texts, docs, counts, starts, codes = contexts
     # Equal contexts are one string; whoever has it beyond the smallest document is an owner like the others.
     number: dict[bytes, int] = {}
     string_of = np.array([number.setdefault(t, len(number)) for t in texts])
@@ -201,7 +201,7 @@ def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
     shared = shared[np.argsort(kind[shared], kind="stable")]
     row = np.full(len(strings), -1)
     row[shared] = np.arange(len(shared))
-    runs: dict[int, list[tuple[int, int]]] = {}  # of covered windows, by row
+    of = turned = lengths = np.empty(0, np.int64)  # runs of covered windows: row, first window, number of windows
     if len(shared):
         parts = [
             smallest_by_window([strings[i] for i in part], smallest[part], window)
@@ -217,15 +217,21 @@ def covered_windows(contexts: Contexts, window: int, gram: int) -> Spans:
         lengths, turned = np.diff(turned), turned[:-1]
         lengths, turned = lengths[theirs[turned]], turned[theirs[turned]]
         of = np.searchsorted(first, turned, "right") - 1
-        for k, a, n in zip(of.tolist(), (turned - first[of]).tolist(), lengths.tolist(), strict=True):
-            runs.setdefault(k, []).append((a, n))
-    out = []
+        turned = turned - first[of]
+    runs = np.append(np.bincount(of, minlength=len(shared)), 0)  # the last is for strings without a row
+    # A context that a smaller document has too is covered whole, another one by the runs of its string.
     again = smallest[string_of] < docs
-    for i in np.flatnonzero(again | np.isin(row[string_of], list(runs))).tolist():
-        spans = [(0, len(texts[i]) - window + 1)] if again[i] else runs[int(row[string_of[i]])]
-        seen = list(zip(starts[i].tolist(), codes[i].tolist(), strict=True))
-        out += [(int(docs[i]), c, x + a, n) for a, n in spans for x, c in seen]
-    return out
+    its_row = row[string_of]
+    spans = np.where(again, 1, runs[its_row])
+    context = np.repeat(np.arange(len(texts)), spans)
+    windows_of = np.array([len(t) for t in texts], np.int64)[context] - window + 1
+    run = stretches((np.cumsum(runs) - runs)[its_row], spans)
+    whole = again[context]
+    at, size = np.zeros(len(context), np.int64), windows_of
+    at[~whole], size[~whole] = turned[run[~whole]], lengths[run[~whole]]
+    seen = stretches((np.cumsum(counts) - counts)[context], counts[context])
+    span = np.repeat(np.arange(len(context)), counts[context])
+    return np.column_stack([docs[context][span], codes[seen], starts[seen] + at[span], size[span]])
 
 
 def remove_repeated_bytes(

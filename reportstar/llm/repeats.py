@@ -36,10 +36,11 @@ HASH_BITS = np.uint64(40)
 ROW = pa.schema([("key", pa.int64()), ("blob", pa.binary())])
 ROW_DDL = "key long, blob binary"
 
-# What a bucket gets: contexts, the id each comes from, and its starts there with the code of the row's text.
-Contexts = tuple[list[bytes], np.ndarray, list[np.ndarray], list[np.ndarray]]
+# What a bucket gets: contexts, the id each comes from, how many starts it has there, and the starts of all with the
+# codes of their rows' texts.
+Contexts = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 # What it gives: id, code, first window, number of windows.
-Spans = list[tuple[int, int, int, int]]
+Spans = list[tuple[int, int, int, int]] | np.ndarray
 
 
 @dataclass(frozen=True)
@@ -185,17 +186,18 @@ def repeated_entries(blobs: list[bytes], groups: int):
         yield group, squeeze(d, s)
 
 
-def packed_contexts(contexts: list[bytes], docs: list[int], seen: list[list[tuple[int, int]]]) -> bytes:
-    numbers = squeeze(
-        np.array([len(c) for c in contexts]), np.array(docs, np.int64), np.array([len(s) for s in seen])
-    )
-    places = squeeze(*np.array([x for s in seen for x in s], np.int64).T)
+def packed_contexts(
+    contexts: list[bytes], docs: np.ndarray, counts: np.ndarray, starts: np.ndarray, codes: np.ndarray
+) -> bytes:
+    """counts: starts (with their codes) of each context."""
+    numbers = squeeze(np.array([len(c) for c in contexts]), docs, counts)
+    places = squeeze(starts, codes)
     text = zstandard.compress(b"".join(contexts), 3)
     return b"".join(len(x).to_bytes(8, "little") + x for x in (numbers, places, text))
 
 
 def unpacked_contexts(blobs: list[bytes]) -> Contexts:
-    contexts, docs, starts, codes = [], [], [], []
+    contexts, columns, places = [], [], []
     for blob in blobs:
         parts, at = [], 0
         while at < len(blob):
@@ -203,20 +205,24 @@ def unpacked_contexts(blobs: list[bytes]) -> Contexts:
             parts.append(blob[at + 8 : at + 8 + size])
             at += 8 + size
         sizes, doc, counts = unsqueeze(parts[0])
-        places, code = unsqueeze(parts[1])
+        columns.append((doc, counts))
+        places.append(unsqueeze(parts[1]))
         text, ends = zstandard.decompress(parts[2]), np.cumsum(sizes).tolist()
         contexts += [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        docs.append(doc)
-        lasts = np.cumsum(counts).tolist()
-        for a, b in zip([0, *lasts[:-1]], lasts, strict=True):
-            starts.append(places[a:b])
-            codes.append(code[a:b])
-    return contexts, np.concatenate(docs), starts, codes
+    docs, counts = (np.concatenate(c) for c in zip(*columns, strict=True))
+    starts, codes = (np.concatenate(c) for c in zip(*places, strict=True))
+    return contexts, docs, counts, starts, codes
+
+
+def stretches(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """firsts[0], firsts[0] + 1, ..., `counts[0]` of them, then those from firsts[1] on."""
+    return np.repeat(firsts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 def packed_spans(spans: Spans, groups: int) -> Iterator[tuple[int, bytes]]:
-    if spans:
-        doc, *rest = np.array(spans, np.int64).T
+    """spans: one a row."""
+    if len(spans):
+        doc, *rest = np.asarray(spans, np.int64).T
         for group, columns in grouped(group_of(doc, groups), doc, *rest):
             yield group, squeeze(*columns)
 
@@ -231,8 +237,9 @@ def by_document(blobs: list[bytes]) -> dict[int, list[np.ndarray]]:
 
 def contexts_of_group(units: Units, docs: list[tuple[int, bytes]], spots: dict, buckets: int, groups: int):
     """Contexts of a group of documents by bucket; covered windows known here already as key -1 - group."""
-    held: dict[bytes, tuple[int, int, list[tuple[int, int]]]] = {}
-    covered: Spans = []
+    number: dict[bytes, int] = {}
+    found: list[int] = []  # numbers of the contexts, as they come
+    rows: list[np.ndarray] = []  # bucket, id, code, first window and number of windows of each
     for name, packed in sorted(docs, key=lambda d: d[0]):
         if name not in spots:
             continue
@@ -251,22 +258,26 @@ def contexts_of_group(units: Units, docs: list[tuple[int, bytes]], spots: dict,
         firsts, lasts = firsts[mine], lasts[mine]
         bucket = (grams[of_window[firsts]] >> HASH_BITS) % np.uint64(buckets)
         low, high = starts[firsts].tolist(), ends[lasts + units.window - 1].tolist()
-        for key, a, b, s, e in zip(bucket.tolist(), low, high, firsts.tolist(), lasts.tolist(), strict=True):
-            context = raw[a:b]
-            known = held.get(context)
-            if known is None:
-                held[context] = (key, name, [(s, code)])
-            elif known[1] == name:
-                known[2].append((s, code))
-            else:
-                covered.append((name, code, s, e - s + 1))
-    for group, blob in packed_spans(covered, groups):
+        found += [number.setdefault(raw[a:b], len(number)) for a, b in zip(low, high, strict=True)]
+        row = np.empty((len(firsts), 5), np.int64)
+        row[:, 0], row[:, 1], row[:, 2], row[:, 3], row[:, 4] = bucket, name, code, firsts, lasts - firsts + 1
+        rows.append(row)
+    if not found:
+        return
+    row, string, strings = np.concatenate(rows), np.array(found), list(number)
+    # Numbers are handed out in order, so a context is new where its number is the next.
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(string), prepend=-1))
+    own = row[:, 1] == row[first[string], 1]
+    for group, blob in packed_spans(row[~own, 1:], groups):
         yield -1 - group, blob
-    by_bucket: dict[int, list[bytes]] = {}
-    for context, (key, _, _) in held.items():
-        by_bucket.setdefault(key, []).append(context)
-    for key, contexts in by_bucket.items():
-        yield key, packed_contexts(contexts, [held[c][1] for c in contexts], [held[c][2] for c in contexts])
+    counts = np.bincount(string[own], minlength=len(strings))
+    starts, codes = row[own, 3], row[own, 2]
+    seen = np.argsort(string[own], kind="stable")
+    firsts_of = np.cumsum(counts) - counts
+    for key, (mine,) in grouped(row[first, 0], np.arange(len(strings))):
+        places = seen[stretches(firsts_of[mine], counts[mine])]
+        contexts = [strings[i] for i in mine.tolist()]
+        yield key, packed_contexts(contexts, row[first[mine], 1], counts[mine], starts[places], codes[places])
 
 
 def cleaned(units: Units, raw: bytes, spans: list[np.ndarray] | None) -> tuple[int, int, int, bytes]:

@@ -90,7 +90,8 @@ def runs(flags: list[bool]) -> list[tuple[int, int]]:
 
 
 def covered_windows(contexts: Contexts, window: int) -> Spans:
-    texts, docs, starts, codes = contexts
+    texts, docs, counts, starts, codes = contexts
+    bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
     automaton = SuffixAutomaton()
     words: dict[bytes, int] = {}
     first: dict[bytes, int] = {}  # the document that brought a passage, and so put all of it in the automaton
@@ -106,9 +107,10 @@ def covered_windows(contexts: Contexts, window: int) -> Spans:
                 matched = [m >= window for m in automaton.matches(text)[window - 1 :]]
                 known = runs(matched)
                 fresh += [text[a : a + n + window - 1] for a, n in runs([not k for k in matched])]
+            seen = slice(bounds[i], bounds[i + 1])
             for at, size in known:
                 found += [
-                    (doc, c, s + at, size) for s, c in zip(starts[i].tolist(), codes[i].tolist(), strict=True)
+                    (doc, c, s + at, size) for s, c in zip(starts[seen].tolist(), codes[seen].tolist(), strict=True)
                 ]
         for text in fresh:  # only now: a document is not compared with itself
             automaton.add(text)
