@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.functions.sets import key_bytes
 from reportstar.sinks.store import cut_lineage
 
 
@@ -60,8 +61,12 @@ def summarize_reports_by(
 
     An id that occurs with one set only is counted with its set; only ids in several sets meet the members one by
     one. `unique_report_ids` says that there are no such ids and saves looking for them.
+
+    Members are dealt once, by the set alone: rows of a set are few, and their sums and the join with the reports find
+    them together.
     """
-    named = members.groupBy(key, *by).agg(
+    reports, members = (df.withColumn(key, key_bytes(F.col(key))) for df in (reports, members))
+    named = members.select(key, *by, "weight_factor").repartition(key).groupBy(key, *by).agg(
         F.count("*").alias("_rows"), F.sum("weight_factor").alias("_weight")
     )
     sets = rows_per_set(reports, [key], measures)

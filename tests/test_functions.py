@@ -18,7 +18,7 @@ from reportstar.functions import (
     target_country_key,
     tokens,
 )
-from reportstar.functions.sets import COMMA, PIPE
+from reportstar.functions.sets import COMMA, PIPE, key_bytes
 
 
 def column(spark, values, make, kind="string"):
@@ -138,3 +138,11 @@ def test_target_key_has_its_own_unknown_and_keeps_repeats(spark):
     values = [None, "", " ", "b|a|b", "|"]
     got = column(spark, values, lambda c: target_country_key(c, tokens(c, PIPE)))
     assert got == [md5("Unknown"), md5("Unknown"), md5(""), md5("A|B|B"), md5("")]
+
+
+def test_key_bytes_keep_all_keys_apart(spark):
+    keys = [None, "", "61", "a", "hot", "0" * 32, "ab" * 16, "AB" * 16, "g" * 32, "0" * 16, "\0" * 16, "0" * 64, "Ü"]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string").select("k", key_bytes(F.col("k")).alias("b"))
+    got = {r["k"]: r["b"] for r in rows.collect()}
+    assert got[None] is None and len(set(map(repr, got.values()))) == len(keys)
+    assert [k for k, b in got.items() if b is not None and len(b) == 16] == ["0" * 32, "ab" * 16]

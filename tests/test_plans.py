@@ -241,3 +241,14 @@ def test_group_keys_travel_as_bytes(spark, no_broadcast):
     assert {r["country_group_key"] for r in bridge.collect()} == keys
     want = stored.join(claims.drop("report_id"), "row_key").select("report_id", *fact.GROUP_KEYS)
     assert rows_of(built, "report_id", *fact.GROUP_KEYS) == rows_of(want, "report_id", *fact.GROUP_KEYS)
+
+
+def test_members_are_dealt_once_by_their_set(spark, no_broadcast, skewed_star):
+    """Not by set and name first, to be summed, and by set again, to meet the reports."""
+    question = analytics.weighted_country(skewed_star)
+    dealt = re.findall(r"Exchange hashpartitioning\(country_group_key#\d+([^\n]*)", plan_of(question))
+    assert len(dealt) == 2 and not any(", country_name" in keys for keys in dealt)
+    rows = skewed_star["fact_report"].join(skewed_star["bridge_country"], "country_group_key")
+    want = {r[0]: r[1] for r in rows.groupBy("country_id").count().collect()}
+    names = {"A": 1, "B": 2}
+    assert {names[r["country_name"]]: r["report_count"] for r in question.collect()} == want
