@@ -12,7 +12,7 @@ from reportstar.functions.sets import packed_key, unpacked_key
 from reportstar.operators.bridging import unknown_if_null
 from reportstar.operators.numbering import number_rows
 from reportstar.plans.keys import REPORT_LABELS
-from reportstar.plans.texts import held
+from reportstar.plans.texts import TEXT_KEY, held, with_texts
 from reportstar.sinks.store import cut_lineage
 
 GROUP_KEYS = ("country_group_key", "entity_group_key", "group_group_key", "adversary_group_key")
@@ -27,6 +27,11 @@ def unpacked_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({k: unpacked_key(F.col(k)) for k in GROUP_KEYS if k in df.columns})
 
 
+def beside_texts(reports: DataFrame, report_text: DataFrame) -> DataFrame:
+    """Reports with their texts in place of the key of these; group keys are bytes on the way."""
+    return unpacked_keys(with_texts(packed_keys(reports), report_text)).drop(TEXT_KEY)
+
+
 def with_row_key(stg_report: DataFrame) -> DataFrame:
     """A unique number per row. It must be written with the rows before it is used."""
     return stg_report.withColumn("row_key", F.monotonically_increasing_id())

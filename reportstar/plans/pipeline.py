@@ -38,6 +38,8 @@ class Star:
     as_of: datetime
     #: relation, measure, value as observed by the build; None: it stored none.
     measures: DataFrame | None = None
+    #: The fact as it is stored, with the key of its texts; None: its texts are in its rows.
+    fact_keyed: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -57,6 +59,11 @@ def report_ids_are_unique(stg_report: DataFrame) -> bool:
     return repeated.isEmpty()
 
 
+def _fact_keyed(tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    fact_report = tables["fact_report"]
+    return fact_report if texts.TEXT_KEY in fact_report.columns else None
+
+
 def _shown(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables as readers see them: the fact with its texts."""
     found = {name: tables[name] for name in STAR_TABLES}
@@ -274,7 +281,7 @@ def build_star(
             run.tables["dim_key"] = run.registry()
         for layer in LAYERS:
             refresh(layer)
-        star = Star(_shown(run.tables), unique_report_ids.result(), as_of, run.measures())
+        star = Star(_shown(run.tables), unique_report_ids.result(), as_of, run.measures(), _fact_keyed(run.tables))
     _mark_run(store, as_of, star.unique_report_ids)
     store.publish()
     return star
@@ -297,4 +304,5 @@ def load_star(store: Store) -> Star:
     if known is None or known["unique_report_ids"] is None:
         raise RuntimeError("the last build has not ended; build again before reading")
     tables = {name: store.read(name) for name in STAR_TABLES}
-    return Star(_shown(tables), known["unique_report_ids"], known["as_of"], store.read_if_exists(STAR_MEASURES))
+    measured = store.read_if_exists(STAR_MEASURES)
+    return Star(_shown(tables), known["unique_report_ids"], known["as_of"], measured, _fact_keyed(tables))

@@ -146,6 +146,30 @@ def stage_report_fields(raw_report: DataFrame, report_type: str = REPORT_TYPE) -
     ).withColumns({f"{s}_group_key": group_key(F.col(f"{s}_members")) for s in sets})
 
 
+# Sets that no member can break, as it holds no separator: column -> (pattern, text) of the separator.
+DELIMITED = {
+    "country_members": (COMMA, ","),
+    "entity_members": (PIPE, "|"),
+    "group_members": (PIPE, "|"),
+    "country_labels": (COMMA, ","),
+}
+KEYED_SETS = ("country", "entity", "group", "adversary")
+
+
+def packed_sets(staged: DataFrame) -> DataFrame:
+    """Staged reports for a shuffle: lists as delimited text, without the keys of sets, which follow from these."""
+    keys = (f"{s}_group_key" for s in KEYED_SETS)
+    return staged.drop(*keys).withColumns({c: F.array_join(c, text) for c, (_, text) in DELIMITED.items()})
+
+
+def unpacked_sets(packed: DataFrame) -> DataFrame:
+    """The lists again, and the keys of the sets; the adversaries, which may hold any separator, travel as a list."""
+    lists = packed.withColumns(
+        {c: F.array_remove(F.split(c, pattern), "") for c, (pattern, _) in DELIMITED.items()}
+    )
+    return lists.withColumns({f"{s}_group_key": group_key(F.col(f"{s}_members")) for s in KEYED_SETS})
+
+
 def stage_report_keys(raw_report: DataFrame, report_type: str = REPORT_TYPE) -> DataFrame:
     """The same with a key in place of the texts."""
     return stage_report_fields(apart(raw_report), report_type)

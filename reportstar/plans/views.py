@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from reportstar.operators.bridging import UNKNOWN_ID
 from reportstar.operators.counting import summarize_reports_by
 from reportstar.plans.dims import LABEL_COLUMNS
-from reportstar.plans.fact import GROUP_KEYS
+from reportstar.functions.sets import key_bytes
+from reportstar.plans.fact import GROUP_KEYS, beside_texts
 from reportstar.plans.keys import REPORT_LABELS
 from reportstar.plans.pipeline import LABEL_DIM_TABLES, Star
 from reportstar.plans.texts import TEXT_KEY, TEXTS
@@ -32,15 +33,21 @@ HEADER = ("report_id", "title", "report_date", "classification", "importance", "
 SHARE = ("weight_factor", "is_unknown_member")
 
 
-def vw_report(star: Star) -> DataFrame:
-    view = star["fact_report"]
+def _labelled(star: Star, view: DataFrame) -> DataFrame:
     for dimension in REPORT_LABELS:
         dim = star[LABEL_DIM_TABLES[dimension]].select(
             F.col("id").alias(f"{dimension}_id"),
             F.col(LABEL_COLUMNS[dimension]).alias(REPORT_VIEW_LABELS[dimension]),
         )
         view = view.join(dim, f"{dimension}_id")
-    return view.select(
+    return view
+
+
+def vw_report(star: Star) -> DataFrame:
+    """Texts stored apart meet narrow rows: labels and the text of keys come afterwards."""
+    stored = star.fact_keyed
+    view = star["fact_report"] if stored is None else beside_texts(stored, star["report_text"])
+    return _labelled(star, view).select(
         "id",
         "report_id",
         "title",
@@ -115,7 +122,9 @@ def adversary_members(star: Star) -> DataFrame:
 
 
 def _member_view(star: Star, members: DataFrame, key: str) -> DataFrame:
-    return vw_report(star).select(*HEADER, key).join(members, key).drop(key)
+    stored = star["fact_report"] if star.fact_keyed is None else star.fact_keyed
+    reports = _labelled(star, stored).select(*HEADER, key_bytes(F.col(key)).alias(key))
+    return reports.join(members.withColumn(key, key_bytes(F.col(key))), key).drop(key)
 
 
 def vw_report_country(star: Star) -> DataFrame:

@@ -9,7 +9,8 @@ from conftest import AS_OF, feeds, rows_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from reportstar.plans import texts
+from reportstar.functions import group_key
+from reportstar.plans import analytics, fact, quality, staging, texts, views
 from reportstar.plans.pipeline import build_star, load_star
 from reportstar.plans.views import vw_report
 from reportstar.sinks.store import TableStore
@@ -94,3 +95,47 @@ def test_only_keys_of_texts_travel_to_their_reports(spark):
     documents = spark.read.parquet(f"{contract.SMOKE_DIR}/documents.parquet").select("text")
     assert feed.select(F.col("description").alias("text")).dropna().subtract(documents).isEmpty()
     assert feed.filter("description IS NOT NULL").count() > 0
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_group_keys_meet_texts_as_bytes(spark, built, no_broadcast):
+    """Whatever is dealt by the key of its texts carries 16 bytes of a group key."""
+    star = load_star(built)
+    for shown in (vw_report(star), fact.beside_texts(built.read("fact_report"), built.read("report_text"))):
+        plan = shown._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("unhex(") >= 4 and plan.rindex("unhex(") > plan.index("Exchange hashpartitioning(text_key")
+        assert rows_of(shown, "report_id", *fact.GROUP_KEYS, *texts.TEXTS) == rows_of(
+            star["fact_report"], "report_id", *fact.GROUP_KEYS, *texts.TEXTS
+        )
+
+
+def test_sets_travel_as_text_without_their_keys(spark):
+    lists = [None, "", " , ", "Oman", "oman, Iran,Oman", "A|B, C", "A, B|C", "ß, ǆ"]
+    rows = [
+        {"id": str(i), "country": c, "entity_ids": e, "related_groups": g}
+        for i, (c, e, g) in enumerate(zip(lists, [*lists[1:], "x|y"], [*lists[2:], "p,q|r", " | "]))
+    ]
+    staged = staging.stage_report_keys(feeds(spark, reports=rows).report).withColumn(
+        "adversary_members", F.array(F.lit("A|B"), F.lit("C,D"))
+    )
+    whole = staged.withColumn("adversary_group_key", group_key(F.col("adversary_members")))
+    packed = staging.packed_sets(whole)
+    assert not {c for c in packed.columns if c.endswith("_group_key")}
+    assert {packed.schema[c].dataType.simpleString() for c in staging.DELIMITED} == {"string"}
+    assert rows_of(staging.unpacked_sets(packed), *whole.columns) == rows_of(whole, *whole.columns)
+
+
+@pytest.mark.parametrize(
+    "ask", [views.vw_report_entity, views.vw_report_adversary]
+)
+def test_sets_are_dealt_by_the_bytes_of_their_keys(spark, built, no_broadcast, ask):
+    assert "unhex(" in ask(load_star(built))._jdf.queryExecution().executedPlan().toString()
