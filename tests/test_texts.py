@@ -135,7 +135,7 @@ def test_sets_travel_as_text_without_their_keys(spark):
 
 
 @pytest.mark.parametrize(
-    "ask", [views.vw_report_entity, views.vw_report_adversary]
+    "ask", [quality.uniqueness, quality.weight_sums, views.vw_report_entity, views.vw_report_adversary]
 )
 def test_sets_are_dealt_by_the_bytes_of_their_keys(spark, built, no_broadcast, ask):
     assert "unhex(" in ask(load_star(built))._jdf.queryExecution().executedPlan().toString()
