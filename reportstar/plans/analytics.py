@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportstar.functions.sets import key_bytes
 from reportstar.operators.counting import rows_per_set, split_ids, summarize_reports_by
 from reportstar.plans.pipeline import Star
 from reportstar.plans.views import adversary_targets, country_members, entity_members
@@ -221,30 +222,54 @@ def sector_breakdown(star: Star) -> DataFrame:
 SET_PAIR = ["group_group_key", "adversary_group_key"]
 
 
-def ids_apart(star: Star, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct report ids per combination of `keys`, and (id, keys) of ids that have several."""
+def ids_apart(star: Star, keys: list[str], reports: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct report ids per combination of `keys`, and (id, keys) of ids that have several. `reports`: the fact, if
+    its keys are to be spelled differently."""
+    reports = star["fact_report"] if reports is None else reports
     if star.unique_report_ids:
-        return rows_per_set(star["fact_report"], keys).withColumnRenamed("reports", "ids"), None
-    return split_ids(star["fact_report"], keys)
+        return rows_per_set(reports, keys).withColumnRenamed("reports", "ids"), None
+    return split_ids(reports, keys)
 
 
-def _agreement(star: Star, reports: DataFrame, by: list[str]) -> DataFrame:
-    """(by, known adversary, named, attributed) for `reports` (by, pair of sets): the two views in a full outer join,
-    done as a union that is summed up."""
-
-    def side(bridge: str, key: str, named: bool) -> DataFrame:
-        members = star[bridge].filter(KNOWN).select(key, "adversary_dim_id")
-        return reports.join(members, key).select(
-            *by,
-            F.col("adversary_dim_id").alias("adversary_id"),
-            F.lit(named).alias("named_in_report"),
-            F.lit(not named).alias("attributed"),
+def _by_pair(star: Star) -> DataFrame:
+    return star["fact_report"].select("report_id", *(key_bytes(F.col(k)).alias(k) for k in SET_PAIR))
+
+
+def _met(star: Star, reports: DataFrame, by: list[str]) -> DataFrame:
+    """(by, known adversary, named, attributed) of each of `reports` (by, pair of sets): the two views in a full outer
+    join. The members of a set are one value, so that each pair meets its adversaries inside its row."""
+
+    def members(bridge: str, key: str) -> DataFrame:
+        known = star[bridge].filter(KNOWN).select(key_bytes(F.col(key)).alias(key), "adversary_dim_id")
+        return known.groupBy(key).agg(F.collect_set("adversary_dim_id").alias(bridge))
+
+    def found(ids: Column, named: bool, attributed: bool) -> Column:
+        return F.transform(
+            ids,
+            lambda i: F.struct(
+                i.alias("adversary_id"),
+                F.lit(named).alias("named_in_report"),
+                F.lit(attributed).alias("attributed"),
+            ),
         )
 
-    both = side("bridge_group_adversary", "group_group_key", True).unionByName(
-        side("bridge_adversary", "adversary_group_key", False)
+    met = reports.join(members("bridge_group_adversary", "group_group_key"), "group_group_key", "left").join(
+        members("bridge_adversary", "adversary_group_key"), "adversary_group_key", "left"
     )
-    return both.groupBy(*by, "adversary_id").agg(
+    none = F.array().cast("array<long>")
+    named = F.coalesce("bridge_group_adversary", none)
+    claimed = F.coalesce("bridge_adversary", none)
+    both = F.concat(
+        found(F.array_intersect(named, claimed), True, True),
+        found(F.array_except(named, claimed), True, False),
+        found(F.array_except(claimed, named), False, True),
+    )
+    return met.select(*by, F.inline(both))
+
+
+def _agreement(star: Star, reports: DataFrame, by: list[str]) -> DataFrame:
+    """The same, summed up over reports that share `by`."""
+    return _met(star, reports, by).groupBy(*by, "adversary_id").agg(
         F.max("named_in_report").alias("named_in_report"), F.max("attributed").alias("attributed")
     )
 
@@ -258,9 +283,10 @@ def attribution_agreement(star: Star) -> DataFrame:
     """Per report id and known adversary: named by the report, attributed by the registry. Reports without an id are
     no one's."""
     shown = ["report_id", "adversary_id", "adversary_name", "named_in_report", "attributed"]
-    alone, several = ids_apart(star, SET_PAIR)
-    by_pair = _with_adversary_name(star, _agreement(star, alone.select(*SET_PAIR), SET_PAIR))
-    reports = star["fact_report"].filter(F.col("report_id").isNotNull()).select("report_id", *SET_PAIR)
+    pairs = _by_pair(star)
+    alone, several = ids_apart(star, SET_PAIR, pairs)
+    by_pair = _with_adversary_name(star, _met(star, alone.select(*SET_PAIR), SET_PAIR))
+    reports = pairs.filter(F.col("report_id").isNotNull())
     if several is None:
         if not star.unique_report_ids:
             reports = reports.distinct()
@@ -277,8 +303,8 @@ def attribution_summary(star: Star) -> DataFrame:
     def ids_where(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("ids")).otherwise(0))
 
-    alone, several = ids_apart(star, SET_PAIR)
-    found = _agreement(star, alone, [*SET_PAIR, "ids"]).drop(*SET_PAIR)
+    alone, several = ids_apart(star, SET_PAIR, _by_pair(star))
+    found = _met(star, alone, ["ids"])
     if several is not None:
         many = _agreement(star, several, ["report_id"]).withColumn("ids", F.lit(1).cast("long"))
         found = found.unionByName(many.select(found.columns))

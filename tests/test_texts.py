@@ -139,3 +139,10 @@ def test_sets_travel_as_text_without_their_keys(spark):
 )
 def test_sets_are_dealt_by_the_bytes_of_their_keys(spark, built, no_broadcast, ask):
     assert "unhex(" in ask(load_star(built))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_sets_meet_their_adversaries_in_their_row(spark, built, no_broadcast):
+    """The fan-out of pairs x adversaries is summed per adversary, and not dealt by pair."""
+    plan = analytics.attribution_summary(load_star(built))._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^\n]*), ENSURE", plan)
+    assert not [keys for keys in dealt if "adversary_id" in keys and "group_key" in keys]
