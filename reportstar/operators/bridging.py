@@ -39,7 +39,11 @@ def resolve_members(
     need the rows by set only, which is how the merge left them if `lookup` is broadcast,
     and one exchange away if it is not.
     """
-    sets = reports.select(key, members).distinct()
+    return resolve_sets(reports.select(key, members).distinct(), key, members, lookup, id_col)
+
+
+def resolve_sets(sets: DataFrame, key: str, members: str, lookup: DataFrame, id_col: str) -> DataFrame:
+    """The same for sets that are distinct already."""
     resolved = (
         sets.select(key, F.explode(members).alias("member"))
         .join(lookup, "member", "left")

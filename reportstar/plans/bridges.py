@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.functions.sets import packed_key, unpacked_key
-from reportstar.operators.bridging import resolve_members, unknown_if_null, with_weights
+from reportstar.functions.sets import group_key, packed_key, unpacked_key
+from reportstar.operators.bridging import resolve_sets, unknown_if_null, with_weights
+from reportstar.plans.staging import DELIMITED
 
 BRIDGE_COLUMNS = ("member_value", "member_count", "weight_factor", "is_unknown_member")
 
@@ -20,12 +21,21 @@ def _stamped(df: DataFrame, as_of: datetime) -> DataFrame:
 def _set_bridge(
     reports: DataFrame, key: str, members: str, lookup: DataFrame, id_col: str, as_of: datetime
 ) -> DataFrame:
-    """Members of the sets that group keys name. The keys travel as bytes."""
-    sets = reports.select(packed_key(F.col(key)).alias(key), members)
-    rows = resolve_members(sets, key, members, lookup, id_col)
+    """Members of the sets that group keys name. Sets are made distinct without their keys, which follow from them and
+    travel as bytes afterwards."""
+    sets = _distinct_sets(reports, members).select(packed_key(group_key(F.col(members))).alias(key), members)
+    rows = resolve_sets(sets, key, members, lookup, id_col)
     return _stamped(rows.withColumn(key, unpacked_key(F.col(key))), as_of)
 
 
+def _distinct_sets(reports: DataFrame, members: str) -> DataFrame:
+    if members not in DELIMITED:
+        return reports.select(members).distinct()
+    pattern, text = DELIMITED[members]
+    sets = reports.select(F.array_join(members, text).alias(members)).distinct()
+    return sets.select(F.array_remove(F.split(members, pattern), "").alias(members))
+
+
 def _country_lookup(dim_country: DataFrame) -> DataFrame:
     return dim_country.select(
         F.upper(F.trim("country_name")).alias("member"), F.col("id").alias("country_id")

@@ -252,3 +252,19 @@ def test_members_are_dealt_once_by_their_set(spark, no_broadcast, skewed_star):
     want = {r[0]: r[1] for r in rows.groupBy("country_id").count().collect()}
     names = {"A": 1, "B": 2}
     assert {names[r["country_name"]]: r["report_count"] for r in question.collect()} == want
+
+
+def test_sets_of_a_bridge_travel_without_their_keys(spark):
+    """The first exchange, which makes the sets distinct, carries a text per set and nothing else."""
+    lists = ["Oman", "Oman, Iran", "A|B, C", "A, B|C", "", "Iran, Oman"]
+    raw = feeds(spark, reports=[{"id": str(i), "country": c} for i, c in enumerate(lists)])
+    stored = TableStore(spark).replace("stg_report", fact.with_row_key(staging.stage_report_fields(raw.report)))
+    dim = spark.createDataFrame([(1, "Oman"), (2, "a|b")], "id long, country_name string")
+    bridge = bridges.country_bridge(stored, dim, AS_OF)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan_of(bridge))
+    of_sets = [keys for keys in dealt if "country_members" in keys]
+    assert len(of_sets) == 1 and re.fullmatch(r"country_members#\d+, \d+", of_sets[0])
+    want = resolve_members(
+        stored, "country_group_key", "country_members", bridges._country_lookup(dim), "country_id"
+    )
+    assert rows_of(bridge, *want.columns) == rows_of(want, *want.columns)
