@@ -34,7 +34,7 @@ def rated_reports(star: Star, scale: Mapping[str, int] = SEVERITY) -> DataFrame:
         _severity_of(F.col("importance_level"), scale).alias("severity"),
     )
     return (
-        star["fact_report"]
+        star.reports
         .join(severity, "importance_level_id")
         .withColumn("rated", F.col("severity").isNotNull().cast("long"))
     )
@@ -88,7 +88,7 @@ def adversary_country_reports(star: Star, scale: Mapping[str, int] = SEVERITY) -
 def top_entities(star: Star) -> DataFrame:
     return (
         summarize_reports_by(
-            star["fact_report"],
+            star.reports,
             "entity_group_key",
             entity_members(star).filter(KNOWN),
             ["name_en", "sector"],
@@ -129,7 +129,7 @@ def country_distribution(star: Star, scale: Mapping[str, int] = SEVERITY) -> Dat
     )
     links = star["bridge_adversary"].filter(KNOWN).select("adversary_group_key", "adversary_dim_id")
     pairs = (
-        star["fact_report"].select("country_group_key", "adversary_group_key").distinct()
+        star.reports.select("country_group_key", "adversary_group_key").distinct()
         .join(countries.select("country_group_key", "country_name"), "country_group_key")
         .select("country_name", "adversary_group_key")
         .distinct()
@@ -197,7 +197,7 @@ def weighted_country(star: Star) -> DataFrame:
     """Fair-share reports per country: a report on n countries counts 1/n for each."""
     return (
         summarize_reports_by(
-            star["fact_report"],
+            star.reports,
             "country_group_key",
             country_members(star),
             ["country_name"],
@@ -211,7 +211,7 @@ def weighted_country(star: Star) -> DataFrame:
 def sector_breakdown(star: Star) -> DataFrame:
     by = ["sector", "category", "entity_type"]
     return summarize_reports_by(
-        star["fact_report"],
+        star.reports,
         "entity_group_key",
         entity_members(star).filter("is_registered"),
         by,
@@ -225,14 +225,14 @@ SET_PAIR = ["group_group_key", "adversary_group_key"]
 def ids_apart(star: Star, keys: list[str], reports: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Distinct report ids per combination of `keys`, and (id, keys) of ids that have several. `reports`: the fact, if
     its keys are to be spelled differently."""
-    reports = star["fact_report"] if reports is None else reports
+    reports = star.reports if reports is None else reports
     if star.unique_report_ids:
         return rows_per_set(reports, keys).withColumnRenamed("reports", "ids"), None
     return split_ids(reports, keys)
 
 
 def _by_pair(star: Star) -> DataFrame:
-    return star["fact_report"].select("report_id", *(key_bytes(F.col(k)).alias(k) for k in SET_PAIR))
+    return star.reports.select("report_id", *(key_bytes(F.col(k)).alias(k) for k in SET_PAIR))
 
 
 def _met(star: Star, reports: DataFrame, by: list[str]) -> DataFrame:

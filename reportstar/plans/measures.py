@@ -6,7 +6,7 @@ A build attaches them to the write of a table, so they cost no scan, and stores
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,10 +80,14 @@ def rows(spark: SparkSession, measured: Mapping[str, Values]) -> DataFrame:
     return spark.createDataFrame(listed, SCHEMA).coalesce(1)
 
 
-def scanned(tables: Mapping[str, DataFrame]) -> DataFrame:
+def relations_with(measure: str) -> list[str]:
+    return [relation for relation, of in MEASURES.items() if measure in of()]
+
+
+def scanned(tables: Mapping[str, DataFrame], relations: Collection[str] = tuple(MEASURES)) -> DataFrame:
     """The same table, from the stored rows."""
     found = []
-    for relation in MEASURES:
+    for relation in relations:
         pairs = [
             F.struct(F.lit(name).alias("measure"), F.col(name).alias("value")) for name in MEASURES[relation]()
         ]

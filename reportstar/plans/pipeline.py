@@ -8,6 +8,7 @@ from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from reportstar.sources.raw import RawTables, feed_fingerprint
 
 LABEL_DIM_TABLES = {d: f"dim_{d}" for d in dims.LABEL_COLUMNS}
 STAR_INFO = "star_info"
+#: The report feed once more, for the model that reads its texts: others do with their key, if they are stored apart.
+REPORTS_WITH_TEXTS = "raw_report_with_texts"
 STAR_MEASURES = "star_measures"
 #: To be raised when a model changes: tables of the old one are then not taken over.
 MODELS_VERSION = "2"
@@ -44,6 +47,11 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    @property
+    def reports(self) -> DataFrame:
+        """The fact for whoever reads no texts; it may hold them or not."""
+        return self.tables["fact_report"] if self.fact_keyed is None else self.fact_keyed
+
     def label_dims(self) -> dict[str, DataFrame]:
         return {d: self.tables[table] for d, table in LABEL_DIM_TABLES.items()}
 
@@ -66,11 +74,14 @@ def _fact_keyed(tables: Mapping[str, DataFrame]) -> DataFrame | None:
 
 def _shown(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables as readers see them: the fact with its texts."""
-    found = {name: tables[name] for name in STAR_TABLES}
-    if texts.TEXT_KEY in found["fact_report"].columns:
-        with_texts = texts.with_texts(found["fact_report"], found["report_text"])
-        found["fact_report"] = with_texts.drop(texts.TEXT_KEY)
-    return found
+    return {name: tables[name] for name in STAR_TABLES} | {"fact_report": _fact_shown(tables)}
+
+
+def _fact_shown(tables: Mapping[str, DataFrame]) -> DataFrame:
+    keyed = _fact_keyed(tables)
+    if keyed is None:
+        return tables["fact_report"]
+    return texts.with_texts(keyed, tables["report_text"]).drop(texts.TEXT_KEY)
 
 
 @dataclass(frozen=True)
@@ -125,8 +136,8 @@ STAGING: dict[str, Model] = {
         False,
     ),
     "report_text": Model(
-        ("raw_report",),
-        lambda t, b: texts.distinct_texts(staging.of_type(t["raw_report"], b.report_type)),
+        (REPORTS_WITH_TEXTS,),
+        lambda t, b: texts.distinct_texts(staging.of_type(t[REPORTS_WITH_TEXTS], b.report_type)),
         False,
     ),
 }
@@ -150,6 +161,19 @@ LAYERS: tuple[dict[str, Model], ...] = (
 )
 
 
+def tables_below(names: Collection[str]) -> set[str]:
+    """These tables, all that they follow from, and the feeds."""
+    models = {name: model for layer in (STAGING, *LAYERS) for name, model in layer.items()}
+    found: set[str] = set()
+    pending = [*names]
+    while pending:
+        name = pending.pop()
+        if name not in found:
+            found.add(name)
+            pending += KEYED if name == "dim_key" else models[name].reads if name in models else ()
+    return found
+
+
 class _Run:
     """One run over a store: tables by name, and how each is made or taken over."""
 
@@ -205,6 +229,11 @@ class _Run:
             lambda: self.store.replace(STAR_MEASURES, measures.rows(self.store.spark, self.measured)),
         )
 
+    def refresh(self, models: Mapping[str, Model], chosen: Collection[str], pool: ThreadPoolExecutor) -> None:
+        """Models of one layer do not read each other and are submitted together."""
+        pending = {name: pool.submit(self.model, name, model) for name, model in models.items() if name in chosen}
+        self.tables.update({name: job.result() for name, job in pending.items()})
+
     def registry(self) -> DataFrame:
         candidates = keys.key_candidates(*(self.tables[name] for name in KEYED))
         cut = self.build.scratch("key_positions")
@@ -220,6 +249,79 @@ class _Run:
         )
 
 
+def _scratch(store: Store) -> Callable[[str], Callable[[DataFrame], DataFrame]]:
+    """Tables overwritten by the next run, so that they do not pile up."""
+    return lambda name: lambda df: store.replace(f"scratch_{name}", df)
+
+
+class StarOnDemand:
+    """Reads like a `Star`. A table is written when it is first read, after all that it follows from, by the models of
+    `build_star`: whoever asks for a dimension does not pay for bridges. `whole` is the complete star.
+
+    `sources` gives the feeds by name, each called once at most, and the reports apart from and with their texts.
+    """
+
+    def __init__(
+        self,
+        sources: Mapping[str, Callable[[], DataFrame]],
+        store: Store,
+        as_of: datetime,
+        report_type: str = staging.REPORT_TYPE,
+        parallel_models: int = 4,
+    ):
+        self.sources, self.as_of, self.parallel_models = sources, as_of, parallel_models
+        self._run = _Run(store, Build(as_of, report_type, _scratch(store)), {}, dict.fromkeys(sources))
+
+    def _made(self, *names: str) -> Mapping[str, DataFrame]:
+        run = self._run
+        missing = tables_below(names) - run.tables.keys()
+        if not missing.isdisjoint(STAR_TABLES):
+            with ThreadPoolExecutor(self.parallel_models) as pool:
+                read = {name: pool.submit(self.sources[name]) for name in self.sources if name in missing}
+                run.tables.update({name: job.result() for name, job in read.items()})
+                run.refresh(STAGING, missing, pool)
+                if "dim_key" in missing:
+                    run.tables["dim_key"] = run.registry()
+                for layer in LAYERS:
+                    run.refresh(layer, missing, pool)
+        return run.tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "fact_report":
+            return _fact_shown(self._made(name, "report_text"))
+        return self._made(name)[name]
+
+    @property
+    def fact_keyed(self) -> DataFrame | None:
+        return _fact_keyed(self._made("fact_report"))
+
+    @property
+    def reports(self) -> DataFrame:
+        return self._made("fact_report")["fact_report"]
+
+    def label_dims(self) -> dict[str, DataFrame]:
+        tables = self._made(*LABEL_DIM_TABLES.values())
+        return {d: tables[table] for d, table in LABEL_DIM_TABLES.items()}
+
+    @cached_property
+    def unique_report_ids(self) -> bool:
+        return report_ids_are_unique(self["stg_report"])
+
+    @property
+    def measures(self) -> DataFrame | None:
+        return self.whole.measures
+
+    @cached_property
+    def whole(self) -> Star:
+        run = self._run
+        _mark_run(run.store, self.as_of, None)
+        tables = self._made(*STAR_TABLES)
+        star = Star(_shown(tables), self.unique_report_ids, self.as_of, run.measures(), _fact_keyed(tables))
+        _mark_run(run.store, self.as_of, star.unique_report_ids)
+        run.store.publish()
+        return star
+
+
 def build_star(
     raw: RawTables,
     store: Store,
@@ -255,11 +357,11 @@ def build_star(
     if store.resumes:
         known = {name: known[name] or feed_fingerprint(feed) for name, feed in sources.items()}
 
-    def scratch(name: str) -> Callable[[DataFrame], DataFrame]:
-        """Overwritten by the next run, so that scratch tables do not pile up."""
-        return lambda df: store.replace(f"scratch_{name}", df)
-
-    run = _Run(store, Build(as_of, report_type, scratch), dict(sources), known)
+    chosen = STAR_TABLES if only is None else only
+    known[REPORTS_WITH_TEXTS] = known["raw_report"]
+    run = _Run(
+        store, Build(as_of, report_type, _scratch(store)), {**sources, REPORTS_WITH_TEXTS: raw.report}, known
+    )
     if last is not None:
         run.tables |= last.tables
         if store.resumes:
@@ -269,18 +371,12 @@ def build_star(
                 run.measured.setdefault(row["relation"], {})[row["measure"]] = row["value"]
     _mark_run(store, as_of, None)
     with ThreadPoolExecutor(parallel_models) as pool:
-
-        def refresh(models: Mapping[str, Model]) -> None:
-            chosen = {n: m for n, m in models.items() if only is None or n in only}
-            pending = {name: pool.submit(run.model, name, model) for name, model in chosen.items()}
-            run.tables.update({name: job.result() for name, job in pending.items()})
-
-        refresh(STAGING)
+        run.refresh(STAGING, chosen, pool)
         unique_report_ids = pool.submit(report_ids_are_unique, run.tables["stg_report"])
-        if only is None or "dim_key" in only:
+        if "dim_key" in chosen:
             run.tables["dim_key"] = run.registry()
         for layer in LAYERS:
-            refresh(layer)
+            run.refresh(layer, chosen, pool)
         star = Star(_shown(run.tables), unique_report_ids.result(), as_of, run.measures(), _fact_keyed(run.tables))
     _mark_run(store, as_of, star.unique_report_ids)
     store.publish()

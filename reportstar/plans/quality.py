@@ -84,8 +84,12 @@ def unknown_rates(star: Star) -> DataFrame:
 def freshness(star: Star, now: datetime) -> DataFrame:
     """Age of the last refresh and of the newest member of every dimension, and of the last
     report update in the fact."""
+    return ages(measured(star), now)
+
+
+def ages(observed: DataFrame, now: datetime) -> DataFrame:
     moment = F.unix_timestamp(F.lit(now))
-    return measures.per_relation(measured(star), "refreshed", "newest", "newest_known").select(
+    return measures.per_relation(observed, "refreshed", "newest", "newest_known").select(
         F.col("relation").alias("table"),
         (moment - F.col("refreshed")).alias("refresh_age_seconds"),
         (moment - F.coalesce("newest_known", "newest")).alias("newest_age_seconds"),
@@ -125,10 +129,10 @@ def referential(star: Star) -> DataFrame:
         if key:
             fact_keys[f"fact_report.{key}"] = key
             targets.append(_pairs(star[name], {f"fact_report.{key}": key}))
-    used.append(_pairs(star["fact_report"], fact_keys))
+    used.append(_pairs(star.reports, fact_keys))
 
     relations = [*fact_keys, *(f"{name}.{fk}" for name, (_, fk, _) in bridges.items())]
-    none_yet = star["fact_report"].sparkSession.range(1).select(
+    none_yet = star.reports.sparkSession.range(1).select(
         F.explode(F.array(*(F.lit(r) for r in relations))).alias("relation"),
         F.lit(None).cast("string").alias("key"),
         F.lit(0).cast("long").alias("count"),
@@ -163,7 +167,7 @@ def weight_sums(star: Star) -> DataFrame:
         weights = _keyed(shown, key).groupBy(key).agg(F.sum("weight_factor").alias("total"))
         off = F.col("total").isNull() | (F.abs(F.col("total") - 1) > WEIGHT_TOLERANCE)
         checks.append(
-            rows_per_set(_keyed(star["fact_report"], key), [key])
+            rows_per_set(_keyed(star.reports, key), [key])
             .join(weights, key, "left")
             .agg(
                 F.lit(name).alias("bridge"),
@@ -200,7 +204,7 @@ def member_coverage(star: Star) -> DataFrame:
     for view, (members_of, key) in MEMBER_VIEWS.items():
         shown = members_of(star).select(key, F.lit(True).alias("shown")).distinct()
         checks.append(
-            rows_per_set(star["fact_report"], [key])
+            rows_per_set(star.reports, [key])
             .join(shown, key, "left")
             .agg(
                 F.lit(view).alias("view"),

@@ -25,7 +25,9 @@ def with_key(reports: DataFrame) -> DataFrame:
 
 
 def apart(reports: DataFrame) -> DataFrame:
-    """The key in place of the texts."""
+    """The key in place of the texts; a feed that comes without them is left as it is."""
+    if TEXTS[0] not in reports.columns:
+        return reports
     keyed = with_key(reports)
     place = keyed.columns.index(TEXTS[0])
     others = [c for c in keyed.columns if c not in (TEXT_KEY, *TEXTS)]

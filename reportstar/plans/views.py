@@ -122,8 +122,7 @@ def adversary_members(star: Star) -> DataFrame:
 
 
 def _member_view(star: Star, members: DataFrame, key: str) -> DataFrame:
-    stored = star["fact_report"] if star.fact_keyed is None else star.fact_keyed
-    reports = _labelled(star, stored).select(*HEADER, key_bytes(F.col(key)).alias(key))
+    reports = _labelled(star, star.reports).select(*HEADER, key_bytes(F.col(key)).alias(key))
     return reports.join(members.withColumn(key, key_bytes(F.col(key))), key).drop(key)
 
 
@@ -197,7 +196,7 @@ def vw_entity_coverage(star: Star) -> DataFrame:
     )
     unknown_sets = star["bridge_entity"].filter("is_unknown_member")
     reports = summarize_reports_by(
-        star["fact_report"],
+        star.reports,
         "entity_group_key",
         unknown_sets,
         ["is_unknown_member"],
