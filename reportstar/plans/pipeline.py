@@ -23,7 +23,7 @@ STAR_INFO = "star_info"
 REPORTS_WITH_TEXTS = "raw_report_with_texts"
 STAR_MEASURES = "star_measures"
 #: To be raised when a model changes: tables of the old one are then not taken over.
-MODELS_VERSION = "2"
+MODELS_VERSION = "3"
 STAR_TABLES = (
     "stg_adversary", "stg_entity", "adversary_links", "stg_report", "report_text", "stg_report_adversary",
     "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup",

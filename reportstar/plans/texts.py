@@ -14,9 +14,9 @@ TEXT_KEY = "text_key"
 
 
 def text_key() -> Column:
-    """SHA-256 over the digests of the texts; NULL if a report has none."""
+    """16 bytes of a SHA-256 over the digests of the texts, as many as a group key has; NULL if a report has none."""
     digests = (F.coalesce(F.sha2(F.col(c), 256), F.lit("-")) for c in TEXTS)
-    return F.when(F.coalesce(*TEXTS).isNotNull(), F.unhex(F.sha2(F.concat(*digests), 256)))
+    return F.when(F.coalesce(*TEXTS).isNotNull(), F.unhex(F.substring(F.sha2(F.concat(*digests), 256), 1, 32)))
 
 
 def with_key(reports: DataFrame) -> DataFrame:

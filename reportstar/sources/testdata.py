@@ -57,8 +57,11 @@ def derive_raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     )
 
 
-def _campaign(brand: Column) -> Column:
-    block = F.floor(F.col("l_orderkey") / ORDERS_PER_CAMPAIGN)
+def _block() -> Column:
+    return F.floor(F.col("l_orderkey") / ORDERS_PER_CAMPAIGN)
+
+
+def _campaign(brand: Column, block: Column) -> Column:
     return F.concat(brand, F.lit("-"), block.cast("string"))
 
 
@@ -72,7 +75,8 @@ def _reports(
     """Reports without their texts, and the texts, by the key of the order."""
     # Lines of an order are far apart, so sets gathered before the shuffle would move more bytes than the lines do. Keys are
     # gathered once and get their names afterwards.
-    dealt = lines.select("l_orderkey", "p_type", "s_nationkey", "l_suppkey", "p_brand").repartition("l_orderkey")
+    # Numbers go first: shuffle codecs find more in rows whose texts are side by side.
+    dealt = lines.select("l_orderkey", "l_suppkey", "s_nationkey", "p_brand", "p_type").repartition("l_orderkey")
     named = dealt.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     gathered = named.groupBy("l_orderkey").agg(
         F.min("p_type").alias("threat_type"),
@@ -86,7 +90,7 @@ def _reports(
         _joined(F.col("nations"), ", ").alias("country"),
         _joined(_named(F.col("suppliers"), "SUP-"), "|").alias("id_list"),
         _joined(_named(F.col("suppliers"), NATIVE_PREFIX), "|").alias("entity_names"),
-        _joined(F.transform("brands", _campaign), "|").alias("related_groups"),
+        _joined(F.transform("brands", lambda brand: _campaign(brand, _block())), "|").alias("related_groups"),
     )
     key = F.col("o_orderkey")
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
@@ -158,16 +162,17 @@ def _reports(
 
 
 def _adversaries(lines: DataFrame) -> DataFrame:
+    """Keys are gathered as numbers and named afterwards. Lines without a brand are of one campaign, which has no name."""
     targets = F.when(F.col("l_quantity") >= 45, F.col("n_name"))
+    block = F.when(F.col("p_brand").isNotNull(), _block())
     return (
         lines.filter(F.col("l_returnflag") == "R")
-        .groupBy("p_brand", _campaign(F.col("p_brand")).alias("campaign"))
+        .groupBy("p_brand", block.alias("block"))
         .agg(
-            _list_of(F.concat(F.lit("RPT-"), F.col("l_orderkey").cast("string")), "|").alias(
-                "report_ids"
-            ),
+            _joined(_named(F.collect_set("l_orderkey"), "RPT-"), "|").alias("report_ids"),
             _list_of(targets, "|").alias("targets"),
         )
+        .withColumn("campaign", _campaign(F.col("p_brand"), F.col("block")))
         .select(
             F.when(F.col("p_brand").endswith("5"), F.col("campaign"))
             .otherwise(F.upper("campaign"))

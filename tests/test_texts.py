@@ -14,7 +14,7 @@ from reportstar.plans import analytics, fact, quality, staging, texts, views
 from reportstar.plans.pipeline import build_star, load_star
 from reportstar.plans.views import vw_report
 from reportstar.sinks.store import TableStore
-from reportstar.sources import derive_raw_tables
+from reportstar.sources import derive_raw_tables, testdata
 
 LONG = "".join(f"word{i} " for i in range(2000))
 REPORTS = [
@@ -146,3 +146,28 @@ def test_pairs_of_sets_meet_their_adversaries_in_their_row(spark, built, no_broa
     plan = analytics.attribution_summary(load_star(built))._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"Exchange hashpartitioning\(([^\n]*), ENSURE", plan)
     assert not [keys for keys in dealt if "adversary_id" in keys and "group_key" in keys]
+
+
+def test_keys_of_texts_are_16_bytes(spark, built):
+    keys = built.read("report_text").select(F.length(texts.TEXT_KEY).alias("n"))
+    assert {row["n"] for row in keys.collect()} == {16}
+
+
+def test_lists_of_adversaries_are_gathered_as_numbers(spark):
+    """Names that follow from keys do not travel; lines without a brand stay one campaign without a name."""
+    lines = spark.createDataFrame(
+        [(1, 50, "A", "R", "X"), (999, 1, "B", "R", "X"), (1000, 50, "B", "R", "X"), (2, 1, "A", "N", "X")]
+        + [(5, 50, "A", "R", None), (5000, 50, "B", "R", None)],
+        "l_orderkey long, l_quantity int, n_name string, l_returnflag string, p_brand string",
+    )
+    found = testdata._adversaries(lines)
+    assert rows_of(found, "adversary_id", "adversary", "report_ids", "targeted_country") == sorted(
+        [
+            ("X-0", "Actor X-0", "RPT-1|RPT-999", "A"),
+            ("X-1", "Actor X-1", "RPT-1000", "B"),
+            (None, None, "RPT-5|RPT-5000", "A|B"),
+        ],
+        key=repr,
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "RPT-" not in plan[plan.index("Exchange hashpartitioning") :]
