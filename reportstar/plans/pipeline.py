@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import cached_property
 
@@ -23,7 +24,7 @@ STAR_INFO = "star_info"
 REPORTS_WITH_TEXTS = "raw_report_with_texts"
 STAR_MEASURES = "star_measures"
 #: To be raised when a model changes: tables of the old one are then not taken over.
-MODELS_VERSION = "3"
+MODELS_VERSION = "4"
 STAR_TABLES = (
     "stg_adversary", "stg_entity", "adversary_links", "stg_report", "report_text", "stg_report_adversary",
     "dim_key", *LABEL_DIM_TABLES.values(), "dim_adversary", "dim_entity", "entity_lookup",
@@ -73,8 +74,8 @@ def _fact_keyed(tables: Mapping[str, DataFrame]) -> DataFrame | None:
 
 
 def _shown(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The tables as readers see them: the fact with its texts."""
-    return {name: tables[name] for name in STAR_TABLES} | {"fact_report": _fact_shown(tables)}
+    """The tables as readers see them: the fact with its texts, staged sets with their keys."""
+    return {name: staging.with_set_keys(name, tables[name]) for name in STAR_TABLES} | {"fact_report": _fact_shown(tables)}
 
 
 def _fact_shown(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -99,7 +100,8 @@ class Build:
 
     as_of: datetime
     report_type: str
-    scratch: Callable[[str], Callable[[DataFrame], DataFrame]]
+    #: Given while a table is made.
+    scratch: Callable[[str], Callable[[DataFrame], DataFrame]] | None = None
 
 
 def _label_dim(dimension: str) -> Model:
@@ -116,12 +118,12 @@ def _with_adversaries(t: Mapping[str, DataFrame], _: Build) -> DataFrame:
 
 def _fact(t: Mapping[str, DataFrame], b: Build) -> DataFrame:
     label_dims = {d: t[table] for d, table in LABEL_DIM_TABLES.items()}
-    return fact.report_fact(
-        t["stg_report"], t["stg_report_adversary"], label_dims, b.as_of, b.scratch("fact_positions")
-    )
+    staged = (staging.with_set_keys(name, t[name]) for name in ("stg_report", "stg_report_adversary"))
+    return fact.report_fact(*staged, label_dims, b.as_of, b.scratch("fact_positions"))
 
 
-# Models of one layer do not read each other. `dim_key`, which grows, comes after the first.
+# Models of one layer do not read each other. `dim_key`, which grows, comes after the first. Those that deal all reports, or
+# the members of all their sets, stand alone: else the shuffle files of all of them would lie on disk side by side.
 STAGING: dict[str, Model] = {
     "stg_adversary": Model(("raw_adversary",), lambda t, b: staging.adversary_targets(t["raw_adversary"]), False),
     "adversary_links": Model(("raw_adversary",), lambda t, b: staging.link_adversaries(t["raw_adversary"]), False),
@@ -150,11 +152,11 @@ LAYERS: tuple[dict[str, Model], ...] = (
         **{table: _label_dim(d) for d, table in LABEL_DIM_TABLES.items()},
     },
     {"entity_lookup": Model(("dim_entity",), lambda t, b: bridges.entity_lookup(t["dim_entity"]))},
+    {"fact_report": Model(("stg_report", "stg_report_adversary", *LABEL_DIM_TABLES.values()), _fact)},
+    {"bridge_entity": _bridge(bridges.entity_bridge, "stg_report", "entity_lookup")},
+    {"bridge_group_adversary": _bridge(bridges.group_bridge, "stg_report", "dim_adversary")},
     {
-        "fact_report": Model(("stg_report", "stg_report_adversary", *LABEL_DIM_TABLES.values()), _fact),
-        "bridge_entity": _bridge(bridges.entity_bridge, "stg_report", "entity_lookup"),
         "bridge_country": _bridge(bridges.country_bridge, "stg_report", "dim_country"),
-        "bridge_group_adversary": _bridge(bridges.group_bridge, "stg_report", "dim_adversary"),
         "bridge_adversary": _bridge(bridges.adversary_bridge, "stg_report_adversary", "dim_adversary"),
         "bridge_adversary_country": _bridge(bridges.adversary_country_bridge, "stg_adversary", "dim_country"),
     },
@@ -206,13 +208,14 @@ class _Run:
 
     def model(self, name: str, model: Model) -> DataFrame:
         def make() -> DataFrame:
-            rows = model.build(self.tables, self.build)
-            if name not in measures.MEASURES:
-                return self.store.replace(name, rows)
-            seen = Observation()
-            table = self.store.replace(name, rows.observe(seen, *measures.columns(name)))
-            self.measured[name] = seen.get
-            return table
+            with _scratch(self.store) as scratch:
+                rows = staging.without_set_keys(name, model.build(self.tables, replace(self.build, scratch=scratch)))
+                if name not in measures.MEASURES:
+                    return self.store.replace(name, rows)
+                seen = Observation()
+                table = self.store.replace(name, rows.observe(seen, *measures.columns(name)))
+                self.measured[name] = seen.get
+                return table
 
         return self.made(name, model.reads, model.dated, make)
 
@@ -236,29 +239,39 @@ class _Run:
 
     def registry(self) -> DataFrame:
         candidates = keys.key_candidates(*(self.tables[name] for name in KEYED))
-        cut = self.build.scratch("key_positions")
-        return self.made(
-            "dim_key",
-            KEYED,
-            False,
-            lambda: self.store.extend(
-                "dim_key",
-                lambda existing: keys.register(candidates, existing, self.build.as_of, cut),
-                partition_by=["dimension"],
-            ),
-        )
 
+        def make() -> DataFrame:
+            with _scratch(self.store) as scratch:
+                cut = scratch("key_positions")
+                return self.store.extend(
+                    "dim_key",
+                    lambda existing: keys.register(candidates, existing, self.build.as_of, cut),
+                    partition_by=["dimension"],
+                )
+
+        return self.made("dim_key", KEYED, False, make)
+
+
+@contextmanager
+def _scratch(store: Store) -> Iterator[Callable[[str], Callable[[DataFrame], DataFrame]]]:
+    """Tables that a model needs while it is made; they go when it is written, or the next run overwrites them."""
+    names: list[str] = []
+
+    def scratch(name: str) -> Callable[[DataFrame], DataFrame]:
+        names.append(f"scratch_{name}")
+        return lambda df: store.replace(f"scratch_{name}", df)
 
-def _scratch(store: Store) -> Callable[[str], Callable[[DataFrame], DataFrame]]:
-    """Tables overwritten by the next run, so that they do not pile up."""
-    return lambda name: lambda df: store.replace(f"scratch_{name}", df)
+    yield scratch
+    for name in names:
+        store.drop(name)
 
 
 class StarOnDemand:
     """Reads like a `Star`. A table is written when it is first read, after all that it follows from, by the models of
     `build_star`: whoever asks for a dimension does not pay for bridges. `whole` is the complete star.
 
-    `sources` gives the feeds by name, each called once at most, and the reports apart from and with their texts.
+    `sources` gives the feeds by name, each called once at most, and the reports apart from and with their texts. They are
+    made one after another. `staged` is called when all of staging is written: no table is made from the feeds after that.
     """
 
     def __init__(
@@ -268,18 +281,20 @@ class StarOnDemand:
         as_of: datetime,
         report_type: str = staging.REPORT_TYPE,
         parallel_models: int = 4,
+        staged: Callable[[], None] = lambda: None,
     ):
-        self.sources, self.as_of, self.parallel_models = sources, as_of, parallel_models
-        self._run = _Run(store, Build(as_of, report_type, _scratch(store)), {}, dict.fromkeys(sources))
+        self.sources, self.as_of, self.parallel_models, self.staged = sources, as_of, parallel_models, staged
+        self._run = _Run(store, Build(as_of, report_type), {}, dict.fromkeys(sources))
 
     def _made(self, *names: str) -> Mapping[str, DataFrame]:
         run = self._run
         missing = tables_below(names) - run.tables.keys()
         if not missing.isdisjoint(STAR_TABLES):
+            run.tables.update({name: self.sources[name]() for name in self.sources if name in missing})
             with ThreadPoolExecutor(self.parallel_models) as pool:
-                read = {name: pool.submit(self.sources[name]) for name in self.sources if name in missing}
-                run.tables.update({name: job.result() for name, job in read.items()})
                 run.refresh(STAGING, missing, pool)
+                if STAGING.keys() <= run.tables.keys():
+                    self.staged()
                 if "dim_key" in missing:
                     run.tables["dim_key"] = run.registry()
                 for layer in LAYERS:
@@ -289,11 +304,12 @@ class StarOnDemand:
     def __getitem__(self, name: str) -> DataFrame:
         if name == "fact_report":
             return _fact_shown(self._made(name, "report_text"))
-        return self._made(name)[name]
+        return staging.with_set_keys(name, self._made(name)[name])
 
     @property
     def fact_keyed(self) -> DataFrame | None:
-        return _fact_keyed(self._made("fact_report"))
+        """With what its keys of texts stand for; `reports` is without."""
+        return _fact_keyed(self._made("fact_report", "report_text"))
 
     @property
     def reports(self) -> DataFrame:
@@ -360,7 +376,7 @@ def build_star(
     chosen = STAR_TABLES if only is None else only
     known[REPORTS_WITH_TEXTS] = known["raw_report"]
     run = _Run(
-        store, Build(as_of, report_type, _scratch(store)), {**sources, REPORTS_WITH_TEXTS: raw.report}, known
+        store, Build(as_of, report_type), {**sources, REPORTS_WITH_TEXTS: raw.report}, known
     )
     if last is not None:
         run.tables |= last.tables

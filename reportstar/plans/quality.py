@@ -24,6 +24,7 @@ from reportstar.plans.views import (
     group_members,
     metric_rows,
 )
+from reportstar.sinks.store import cut_lineage
 
 WEIGHT_TOLERANCE = 1e-9
 
@@ -180,11 +181,19 @@ def weight_sums(star: Star) -> DataFrame:
     return stack(checks)
 
 
+def _rows_in_doubt(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key may occur twice, and so all whose key does: those that share the 8 bytes of a hash with another.
+    Hashes are counted first, and written, so that of the rows of one relation at a time no more is dealt."""
+    hashed = rows.withColumn("_hash", F.xxhash64(*keys))
+    shared = cut_lineage(hashed.groupBy("_hash").count().filter(F.col("count") > 1).select("_hash"))
+    return hashed.join(shared, "_hash", "left_semi")
+
+
 def uniqueness(star: Star) -> DataFrame:
     set_key = {name: key for name, (key, _, _) in REPORT_BRIDGES.items()}
     return stack(
         [
-            (_keyed(star[name], set_key[name]) if name in set_key else star[name])
+            _rows_in_doubt(_keyed(star[name], set_key[name]) if name in set_key else star[name], keys)
             .groupBy(*keys)
             .count()
             .agg(

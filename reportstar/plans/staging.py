@@ -170,6 +170,23 @@ def unpacked_sets(packed: DataFrame) -> DataFrame:
     return lists.withColumns({f"{s}_group_key": group_key(F.col(f"{s}_members")) for s in KEYED_SETS})
 
 
+# Stored table -> its sets, whose keys are not stored: they are hashes, the larger half of the table, and follow from the sets.
+UNKEYED_SETS = {"stg_report": ("country", "entity", "group"), "stg_report_adversary": ("adversary",)}
+
+
+def without_set_keys(name: str, table: DataFrame) -> DataFrame:
+    return table.drop(*(f"{s}_group_key" for s in UNKEYED_SETS.get(name, ())))
+
+
+def with_set_keys(name: str, stored: DataFrame) -> DataFrame:
+    """The table as its readers know it, its keys made as they are read."""
+    keys = {f"{s}_group_key": group_key(F.col(f"{s}_members")) for s in UNKEYED_SETS.get(name, ())}
+    missing = {key: made for key, made in keys.items() if key not in stored.columns}
+    last = [c for c in stored.columns if c == "row_key" and name == "stg_report"]
+    shown = [c for c in stored.columns if c not in last]
+    return stored.withColumns(missing).select(*shown, *missing, *last) if missing else stored
+
+
 def stage_report_keys(raw_report: DataFrame, report_type: str = REPORT_TYPE) -> DataFrame:
     """The same with a key in place of the texts."""
     return stage_report_fields(apart(raw_report), report_type)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from reportstar.sinks.files import SmallFiles
+from reportstar.sinks.store import shuffles_freed
 
 POINTER = "published.json"
 SCRATCH, GROWN = "scratch_", "grown"
@@ -85,7 +86,8 @@ class RunStore:
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         folder = f"runs/{self.run}/{name}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
+        with shuffles_freed(self.spark):
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
         self.tables[name] = Stored((folder,), df.schema.json())
         return self.read(name)
 
@@ -103,7 +105,8 @@ class RunStore:
             existing = self._load(Stored(folders, notes[0].schema)) if notes else None
             rows = build(existing)
             folder = f"{GROWN}/{name}/version_id={uuid.uuid4().hex}"
-            rows.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
+            with shuffles_freed(self.spark):
+                rows.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
             added = Stored((folder,), rows.schema.json())
             if notes and self._load(added).isEmpty():
                 self.files.delete(folder)
@@ -115,6 +118,11 @@ class RunStore:
                 return self.read(name)
             self.files.delete(folder)
 
+    def drop(self, name: str) -> None:
+        if (stored := self.tables.pop(name, None)) is not None:
+            for folder in stored.folders:
+                self.files.delete(folder)
+
     def identity(self, name: str) -> str | None:
         """Tells this content of the table from every other."""
         return "|".join(self.tables[name].folders) if name in self.tables else None

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from threading import Lock
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
@@ -26,6 +28,33 @@ CODEC = "zstd"
 
 _local_folders: dict[str, str] = {}
 
+# With it Spark deletes the shuffle files of an execution when that ends, and not when the driver happens to collect its
+# garbage: until then the files of all layers would lie on disk side by side.
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: Counter[str] = Counter()
+_found: dict[str, str | None] = {}
+_lock = Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """For writes of tables that are read back: nobody reads their shuffle files again. Several threads may be in such a
+    block; the last to leave puts the session's setting back."""
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        if not _freeing[session]:
+            _found[session] = spark.conf.get(FREES_SHUFFLES, None)
+            spark.conf.set(FREES_SHUFFLES, "true")
+        _freeing[session] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _freeing[session] -= 1
+            if not _freeing[session]:
+                before = _found.pop(session)
+                spark.conf.unset(FREES_SHUFFLES) if before is None else spark.conf.set(FREES_SHUFFLES, before)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir. Only a local session, where
@@ -59,7 +88,8 @@ def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
 
 def _written(df: DataFrame) -> str:
     path = f"{shared_folder(df.sparkSession)}/scratch/{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=CODEC)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path, compression=CODEC)
     return path
 
 
@@ -95,6 +125,10 @@ class Store(Protocol):
         """Add the rows that `build` makes from the table so far (None: there is none)."""
         ...
 
+    def drop(self, name: str) -> None:
+        """Delete a scratch table, or one that nobody reads any more."""
+        ...
+
     def publish(self) -> None:
         """The run is complete."""
         ...
@@ -132,13 +166,18 @@ class TableStore(OneRunStore):
         return _if_there(lambda: self.read(name))
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name), compression=CODEC)
+        with shuffles_freed(self.spark):
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name), compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name), compression=CODEC)
+        with shuffles_freed(self.spark):
+            df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name), compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def drop(self, name: str) -> None:
+        SmallFiles(self.spark, self.root).delete(name)
+
 
 class CatalogStore(OneRunStore):
     """Tables of a catalog schema. A provider with atomic replacement (Delta, Iceberg) gives
@@ -159,17 +198,21 @@ class CatalogStore(OneRunStore):
         return _if_there(lambda: self.read(name))
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        if self.provider == "parquet":
-            df.write.format("parquet").mode("overwrite").saveAsTable(self.table(name))
-        else:
-            df.writeTo(self.table(name)).using(self.provider).createOrReplace()
+        with shuffles_freed(self.spark):
+            if self.provider == "parquet":
+                df.write.format("parquet").mode("overwrite").saveAsTable(self.table(name))
+            else:
+                df.writeTo(self.table(name)).using(self.provider).createOrReplace()
         return self.read(name)
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         writer = df.write.format(self.provider).mode("append").partitionBy(*partition_by)
-        writer.saveAsTable(self.table(name))
+        with shuffles_freed(self.spark):
+            writer.saveAsTable(self.table(name))
         return self.read(name)
 
+    def drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}")
 
     def create_view(self, name: str, sql: str) -> None:
         """A view of the catalog, for every session that shares it."""
