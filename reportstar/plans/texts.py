@@ -6,6 +6,8 @@ meet it where somebody reads them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,16 @@ TEXTS = ("description", "actions", "analysis")
 TEXT_KEY = "text_key"
 
 
-def text_key() -> Column:
-    """16 bytes of a SHA-256 over the digests of the texts, as many as a group key has; NULL if a report has none."""
-    digests = (F.coalesce(F.sha2(F.col(c), 256), F.lit("-")) for c in TEXTS)
-    return F.when(F.coalesce(*TEXTS).isNotNull(), F.unhex(F.substring(F.sha2(F.concat(*digests), 256), 1, 32)))
+def digest(text: str) -> Column:
+    return F.sha2(F.col(text), 256)
+
+
+def text_key(of: Callable[[str], Column] = digest) -> Column:
+    """16 bytes of a SHA-256 over the digests of the texts, as many as a group key has; NULL if a report has none.
+    `of`: the digest of a text by its column, for whoever has made it before."""
+    digests = [of(c) for c in TEXTS]
+    named = F.concat(*(F.coalesce(d, F.lit("-")) for d in digests))
+    return F.when(F.coalesce(*digests).isNotNull(), F.unhex(F.substring(F.sha2(named, 256), 1, 32)))
 
 
 def with_key(reports: DataFrame) -> DataFrame:
@@ -35,10 +43,10 @@ def apart(reports: DataFrame) -> DataFrame:
 
 
 def apart_of(rest: DataFrame, own: DataFrame) -> DataFrame:
-    """The same of a feed in two parts: only keys of texts travel to their reports."""
+    """The same of a feed in two parts: only keys of texts travel to their reports. The second part may be these already."""
     name, *others = rest.columns
     place = others.index("title") + 1
-    keys = own.select(name, text_key().alias(TEXT_KEY))
+    keys = with_key(own).select(name, TEXT_KEY)
     return rest.join(keys, name, "left").select(*others[:place], TEXT_KEY, *others[place:])
 
 

@@ -38,6 +38,9 @@ class RawTables:
     #: The report feed as (rest, texts), two tables that share a first column which names the texts of a report: for
     #: whoever stores them apart, and need not put them beside their report before.
     report_parts: tuple[DataFrame, DataFrame] | None = None
+    #: The same in slices which together are the feed, with the key of the texts in place of these: for whoever writes
+    #: them one after another, so that the shuffle files of one slice lie on disk at a time.
+    report_slices: tuple[tuple[DataFrame, DataFrame], ...] = ()
 
     @classmethod
     def from_frames(

@@ -6,12 +6,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportstar.plans.texts import TEXT_KEY, digest, text_key
 from reportstar.sources.raw import REPORT_COLUMNS, RawTables
 
 NATIVE_PREFIX = "مورد "
 # An adversary is a brand within a run of this many orders, so that no list of report ids
 # is longer, and the number of adversaries grows with the data.
 ORDERS_PER_CAMPAIGN = 1000
+# Reports are written in slices of their orders, each from about so many bytes of the file of lines, so that the lines of
+# one slice at a time are dealt. Every slice reads the tables again, so there are so many at most.
+SLICE_BYTES, MOST_SLICES = 32 << 20, 8
 
 
 def _joined(texts: Column, separator: str) -> Column:
@@ -48,15 +52,31 @@ def derive_raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
         )
         .join(part.select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    rest, own = _reports(table("orders"), table("customer"), lines, nations, table("documents"))
+    orders, customer, documents = table("orders"), table("customer"), table("documents")
+    written = table("lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    n = max(1, min(MOST_SLICES, round(int(written) / SLICE_BYTES)))
+    pieces = documents.count()
+    rest, own = _rest(orders, customer, lines, nations), _texts(orders, documents, pieces)
     return RawTables(
         rest.join(own, "key", "left").select(*REPORT_COLUMNS),
         _adversaries(lines.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))),
         _entities(supplier, table("region")),
         (rest, own),
+        tuple(
+            (
+                _rest(_slice(orders, "o_orderkey", i, n), customer, _slice(lines, "l_orderkey", i, n), nations),
+                _text_keys(_slice(orders, "o_orderkey", i, n), documents, pieces),
+            )
+            for i in range(n)
+        ),
     )
 
 
+def _slice(df: DataFrame, key: str, i: int, n: int) -> DataFrame:
+    """The i-th of n, all rows of a key in one."""
+    return df if n == 1 else df.filter(F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(n)) == i)
+
+
 def _block() -> Column:
     return F.floor(F.col("l_orderkey") / ORDERS_PER_CAMPAIGN)
 
@@ -69,10 +89,37 @@ def _named(keys: Column, prefix: str) -> Column:
     return F.transform(keys, lambda key: F.concat(F.lit(prefix), key.cast("string")))
 
 
-def _reports(
-    orders: DataFrame, customer: DataFrame, lines: DataFrame, nations: DataFrame, documents: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Reports without their texts, and the texts, by the key of the order."""
+def _own_text(key: Column, text: Column) -> dict[str, Column]:
+    """What a report has of its document."""
+    return {
+        "description": F.when(key % 10 < 9, text),
+        "actions": F.when(key % 8 == 1, text),
+        "analysis": F.when(key % 8 == 5, text),
+    }
+
+
+def _with_document(orders: DataFrame, documents: DataFrame, pieces: int) -> DataFrame:
+    """Every document is the text of some reports: their order keys modulo the number of documents. Only the keys of
+    orders meet the documents."""
+    keys = orders.select(F.col("o_orderkey").alias("key")).distinct()
+    return keys.join(documents, F.col("key") % F.lit(pieces) == F.col("doc_id"))
+
+
+def _texts(orders: DataFrame, documents: DataFrame, pieces: int) -> DataFrame:
+    """The texts of reports by the key of the order."""
+    met = _with_document(orders, documents.select("doc_id", "text"), pieces)
+    return met.select("key", *(t.alias(c) for c, t in _own_text(F.col("key"), F.col("text")).items()))
+
+
+def _text_keys(orders: DataFrame, documents: DataFrame, pieces: int) -> DataFrame:
+    """Their keys, for which only digests of documents travel."""
+    met = _with_document(orders, documents.select("doc_id", digest("text").alias("digest")), pieces)
+    own = _own_text(F.col("key"), F.col("digest"))
+    return met.select("key", text_key(own.__getitem__).alias(TEXT_KEY))
+
+
+def _rest(orders: DataFrame, customer: DataFrame, lines: DataFrame, nations: DataFrame) -> DataFrame:
+    """Reports without their texts, by the key of the order."""
     # Lines of an order are far apart, so sets gathered before the shuffle would move more bytes than the lines do. Keys are
     # gathered once and get their names afterwards.
     # Numbers go first: shuffle codecs find more in rows whose texts are side by side.
@@ -96,22 +143,16 @@ def _reports(
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     dmy = F.date_format("o_orderdate", "dd/MM/yyyy")
     mdy = F.date_format("o_orderdate", "MM/dd/yyyy")
-    # Every document is the text of some reports: their order keys modulo the number of documents.
-    # Only the keys of orders meet the documents.
-    document = F.col("key") % F.lit(documents.count())
-    texts = (
-        orders.select(key.alias("key"))
-        .distinct()
-        .join(documents.select("doc_id", "text"), document == F.col("doc_id"))
-        .select(
-            "key",
-            F.when(F.col("key") % 10 < 9, F.col("text")).alias("description"),
-            F.when(F.col("key") % 8 == 1, F.col("text")).alias("actions"),
-            F.when(F.col("key") % 8 == 5, F.col("text")).alias("analysis"),
-        )
-    )
-    rest = (
-        orders.join(
+    # Prices are put into their class before the orders are dealt: they are the one column that does not repeat.
+    classed = orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
+        F.when(F.col("o_totalprice") >= 300000, F.lit("High"))
+        .when(F.col("o_totalprice") >= 100000, F.lit("Medium"))
+        .otherwise(F.lit("nul"))
+        .alias("importance"),
+    )
+    return (
+        classed.join(
             customer.select("c_custkey", "c_mktsegment"),
             F.col("o_custkey") == F.col("c_custkey"),
             "left",
@@ -144,10 +185,7 @@ def _reports(
                 F.col("o_orderpriority"),
             ).alias("classification"),
             F.col("o_orderstatus").alias("evidence_type"),
-            F.when(F.col("o_totalprice") >= 300000, F.lit("High"))
-            .when(F.col("o_totalprice") >= 100000, F.lit("Medium"))
-            .otherwise(F.lit("nul"))
-            .alias("importance"),
+            "importance",
             F.col("c_mktsegment").alias("observation_source"),
             "threat_type",
             "country",
@@ -158,7 +196,6 @@ def _reports(
             "related_groups",
         )
     )
-    return rest, texts
 
 
 def _adversaries(lines: DataFrame) -> DataFrame:

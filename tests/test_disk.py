@@ -12,10 +12,11 @@ from conftest import rows_of, star_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from reportstar.plans import fact, quality, staging
+from reportstar.plans import fact, quality, staging, texts
 from reportstar.plans.pipeline import load_star
 from reportstar.sinks.store import FREES_SHUFFLES, CatalogStore, TableStore, cut_lineage, shuffles_freed
 from reportstar.sinks.runs import RunStore
+from reportstar.sources import derive_raw_tables, testdata
 
 REPORTS = [
     {"id": "1", "country": "Oman, Iran", "entity_ids": "E1|E2", "related_groups": "A"},
@@ -126,3 +127,37 @@ def test_feeds_that_a_query_has_shown_stay(spark, build):
     shown = contract.queries()["clean_null_words"](spark, contract.SMOKE_DIR)
     assert contract.queries()["vw_report"](spark, contract.SMOKE_DIR).count() > 0
     assert FEEDS - {"raw_entity"} <= stored(build) and shown.count() > 0
+
+
+def test_reports_are_written_in_slices_that_are_the_feed(spark, monkeypatch):
+    """As many as the lines need, no more than the most; a slice deals its own orders and lines, and digests of documents."""
+    assert len(derive_raw_tables(spark, contract.SMOKE_DIR).report_slices) == 1
+    monkeypatch.setattr(testdata, "SLICE_BYTES", 1)
+    monkeypatch.setattr(testdata, "MOST_SLICES", 3)
+    derived = derive_raw_tables(spark, contract.SMOKE_DIR)
+    assert len(derived.report_slices) == 3
+    written = []
+
+    class Slices(TableStore):
+        def replace(self, name, df, *rest):
+            written.append((name, df))
+            return super().replace(name, df, *rest)
+
+        def append(self, name, df, *rest):
+            written.append((name, df))
+            return super().append(name, df, *rest)
+
+    feed = contract.Feeds(derived, Slices(spark))
+    keyed = feed.report_keyed
+    counts = [df.count() for name, df in written]
+    assert [name for name, _ in written] == ["raw_report"] * 3 and min(counts) > 0
+    assert sum(counts) == keyed.count() == spark.read.parquet(f"{contract.SMOKE_DIR}/orders.parquet").count()
+    for _, df in written:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        dealt = plan[: plan.rindex("sha2(")]
+        assert "text#" not in dealt and plan.count("pmod(xxhash64(") >= 3
+        assert plan.rindex("High") > plan.index("Join")
+    columns = derived.report.columns
+    assert rows_of(feed.report, *columns) == rows_of(derived.report, *columns)
+    key = derived.report.select("id", texts.text_key().alias("k"))
+    assert rows_of(keyed, "id", texts.TEXT_KEY) == rows_of(key, "id", "k")
