@@ -15,7 +15,7 @@ NATIVE_PREFIX = "مورد "
 ORDERS_PER_CAMPAIGN = 1000
 # Reports are written in slices of their orders, each from about so many bytes of the file of lines, so that the lines of
 # one slice at a time are dealt. Every slice reads the tables again, so there are so many at most.
-SLICE_BYTES, MOST_SLICES = 32 << 20, 8
+SLICE_BYTES, MOST_SLICES = 32 << 20, 4
 
 
 def _joined(texts: Column, separator: str) -> Column:
